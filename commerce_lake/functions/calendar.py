@@ -52,5 +52,8 @@ def rotating_day(df: DataFrame, column: str, today: dt.date) -> dt.date | None:
 
 def on_day(column: str, day: dt.date) -> Column:
     """Half-open range over one calendar day; reaches the scan, unlike a test on a cast column."""
-    start = dt.datetime.combine(day, dt.time())
-    return (F.col(column) >= F.lit(start)) & (F.col(column) < F.lit(start + dt.timedelta(days=1)))
+    start, end = (
+        F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
+        for d in (day, day + dt.timedelta(days=1))
+    )
+    return (F.col(column) >= start) & (F.col(column) < end)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,38 +16,32 @@ def _sortable(kind: T.DataType) -> bool:
 
 
 def dedup_by_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[Column] = (),
-    *,
-    null_keys: str = "drop",
+    df: DataFrame, keys: Sequence[str], latest: Sequence[str] = (), *, null_keys: str = "drop"
 ) -> DataFrame:
-    """Keep the first row of each key in `order_by` order.
+    """Keep the row of each key with the largest `latest` values.
 
     The remaining columns break ties, so the choice never depends on the partitioning. Spark
     reduces each key to one row per input task before the shuffle (`WindowGroupLimit`), so a key
     with very many copies costs no more than others.
 
-    null_keys="drop" leaves out rows without a key. "content" keeps them and removes only exact
-    repeats of the columns not named in `order_by`.
+    null_keys="drop" leaves out rows without a key. "content" keeps them and removes only
+    repeats that agree in every column outside `latest`.
     """
-    keys = list(keys)
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    others = [f.name for f in df.schema if f.name not in keys and _sortable(f.dataType)]
+    rest = [
+        f.name
+        for f in df.schema
+        if f.name not in keys and f.name not in latest and _sortable(f.dataType)
+    ]
     partition = [F.col(k) for k in keys]
     if null_keys == "drop":
-        df = df.dropna(subset=keys)
+        df = df.dropna(subset=list(keys))
     elif null_keys == "content":
-        used = df.select(*order_by).columns if order_by else []
-        content = [F.col(n) for n in others if n not in used]
-        partition.append(F.when(no_key, F.struct(*content)))
+        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        partition.append(F.when(no_key, F.struct(*rest)) if rest else F.lit(None))
     else:
         raise ValueError(f"unknown null_keys {null_keys!r}")
-    ranked = W.partitionBy(*partition).orderBy(*order_by, *others) if (order_by or others) else None
-    if ranked is None:
+    order = [F.col(c).desc_nulls_last() for c in latest] + [F.col(c) for c in rest]
+    if not order:
         return df.distinct()
-    return (
-        df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
-    )
+    best_first = W.partitionBy(*partition).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(best_first)).where("_rank = 1").drop("_rank")

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+# A key seen less often than this in the sample may be there by chance.
+_FEWEST_SAMPLES = 10
+
+
 @dataclass(frozen=True)
 class HotKey:
     """A join key with so many rows that they are spread over `parts` partitions."""
@@ -22,7 +26,7 @@ def find_hot_keys(
     key: str,
     *,
     min_share: float = 0.001,
-    fraction: float = 0.01,
+    fraction: float = 0.0001,
     min_rows: int = 10_000_000,
     seed: int = 7,
 ) -> list[HotKey]:
@@ -49,7 +53,7 @@ def find_hot_keys(
     return [
         HotKey(row["value"], max(2, round(row["count"] / sampled * partitions)))
         for row in counts
-        if row["count"] >= min_share * sampled
+        if row["count"] >= max(min_share * sampled, _FEWEST_SAMPLES)
     ]
 
 
