@@ -8,11 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commerce_lake.functions.cleaning import (
-    EVENT_TIME_FORMAT,
-    format_timestamp,
-    scrub_non_finite,
-)
+from commerce_lake.functions.cleaning import format_timestamp, scrub_non_finite
 from commerce_lake.operators.envelope import assign_batches, day_slice, unify
 from commerce_lake.operators.joins import HotKey, inherit_event_time, rows_of
 from commerce_lake.schemas import STREAM_TYPES
@@ -57,11 +53,11 @@ def build_event_stream(
 
 
 def landing_records(
-    stream: DataFrame, ingested_at: Column | None = None, pattern: str | None = EVENT_TIME_FORMAT
+    stream: DataFrame, ingested_at: Column | None = None, pattern: str | None = None
 ) -> DataFrame:
     """Envelopes as they are written to the landing folder: times as text.
 
-    `pattern=None` keeps fractions of a second.
+    Fractions of a second are kept unless `pattern` says otherwise.
     """
     time = F.col("event_time")
     text = time.cast("string") if pattern is None else format_timestamp(time, pattern)

@@ -30,47 +30,55 @@ RECORD_ID = {
     "reviews": "review_id",
 }
 
-_DATA = (
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def columns(text: str) -> T.StructType:
+    """Schema from `name type, name type, ...`; unlike `fromDDL` it needs no session."""
+    pairs = (column.split() for column in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+DATA_FIELDS = columns(
     "event_id string, user_id string, product_id string, event_type string, "
     "order_id string, total_amount double, order_status string, "
     "order_item_id string, quantity int, item_price double, "
     "review_id string, rating double, review_text string"
 )
-
-DATA_FIELDS = T.StructType.fromDDL(_DATA)
-ENVELOPE = T.StructType.fromDDL(
-    f"stream_type string, event_time string, ingestion_time string, data struct<{_DATA}>"
-)
-BRONZE_STREAM = T.StructType.fromDDL(
-    f"stream_type string, event_time string, ingestion_time string, {_DATA}"
-)
-USERS = T.StructType.fromDDL(
-    "user_id string, name string, email string, city string, gender string"
-)
-PRODUCTS = T.StructType.fromDDL(
+_ENVELOPE_HEAD = columns("stream_type string, event_time string, ingestion_time string")
+ENVELOPE = T.StructType([*_ENVELOPE_HEAD, T.StructField("data", DATA_FIELDS)])
+BRONZE_STREAM = T.StructType([*_ENVELOPE_HEAD, *DATA_FIELDS])
+USERS = columns("user_id string, name string, email string, city string, gender string")
+PRODUCTS = columns(
     "product_id string, product_name string, category string, price double, brand string"
 )
 
-DIM_USERS = T.StructType.fromDDL(
-    "user_id string, name string, email string, gender string, city string"
-)
-DIM_PRODUCTS = T.StructType.fromDDL(
+DIM_USERS = columns("user_id string, name string, email string, gender string, city string")
+DIM_PRODUCTS = columns(
     "product_id string, product_name string, category string, list_price double, "
     "brand string, avg_rating double, review_count bigint"
 )
-DIM_DATE = T.StructType.fromDDL(
+DIM_DATE = columns(
     "date_id date, year int, month int, day int, quarter int, day_of_week int, "
     "day_name string, month_name string, is_weekend boolean"
 )
-DIM_ORDER_STATUS = T.StructType.fromDDL("status_id int, order_status string")
-DIM_EVENT_TYPE = T.StructType.fromDDL("event_type_id int, event_type_name string")
-FACT_ORDERS = T.StructType.fromDDL(
+DIM_ORDER_STATUS = columns("status_id int, order_status string")
+DIM_EVENT_TYPE = columns("event_type_id int, event_type_name string")
+FACT_ORDERS = columns(
     "order_item_id string, order_id string, user_id string, product_id string, "
     "order_date_id date, status_id int, order_timestamp timestamp, quantity int, "
     "item_price double, list_price double, line_total double, total_amount double, "
     "is_returned int, gold_created_at timestamp"
 )
-FACT_EVENTS = T.StructType.fromDDL(
+FACT_EVENTS = columns(
     "event_id string, user_id string, product_id string, event_date_id date, "
     "event_type_id int, funnel_step int, event_timestamp timestamp, gold_created_at timestamp"
 )
