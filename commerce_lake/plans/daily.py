@@ -1,4 +1,4 @@
-"""The daily run: land new files, rebuild what they touch, refresh dimensions, publish."""
+"""The daily run: land new files, rebuild the days they touch, refresh dimensions, publish."""
 
 from __future__ import annotations
 
@@ -11,20 +11,38 @@ from pyspark.sql import functions as F
 
 from commerce_lake import schemas
 from commerce_lake.operators.joins import find_hot_keys
+from commerce_lake.operators.merge import merge_by_key
 from commerce_lake.operators.quality import table_summary
 from commerce_lake.plans import gold
 from commerce_lake.plans.bronze import ingest_static_bronze
 from commerce_lake.sinks.files import write_parquet, write_partitioned
 from commerce_lake.sinks.publish import Fact, publish_all
 from commerce_lake.sinks.versions import create_database, write_version
-from commerce_lake.sources.files import read_or_empty, read_parquet, split_bronze
+from commerce_lake.sources.files import read_or_empty, split_bronze
 from commerce_lake.sources.tables import table_exists
 from commerce_lake.streaming.facts import start_rebuild
 from commerce_lake.streaming.landing import read_landing
 
-FACT_ORDERS = Fact("fact_orders", "order_item_id", "order_date_id")
-FACT_EVENTS = Fact("fact_events", "event_id", "event_date_id")
-PATH_DIMENSIONS = ("dim_users", "dim_products", "dim_order_status", "dim_event_type")
+FACTS = {
+    "fact_orders": Fact("fact_orders", "order_item_id", "order_date_id"),
+    "fact_events": Fact("fact_events", "event_id", "event_date_id"),
+}
+# Dimensions that grow by merging what a run brings in, with their key.
+MERGED_DIMENSIONS = {
+    "dim_date": "date_id",
+    "dim_order_status": "order_status",
+    "dim_event_type": "event_type_name",
+}
+# Dimensions that are replaced by the reference tables of the run.
+REPLACED_DIMENSIONS = ("dim_users", "dim_products")
+CONTRACTS = {
+    "dim_users": schemas.DIM_USERS,
+    "dim_products": schemas.DIM_PRODUCTS,
+    "fact_orders": schemas.FACT_ORDERS,
+    "fact_events": schemas.FACT_EVENTS,
+}
+_TOUCHED = schemas.columns("batch_id bigint, day date")
+_PUBLISHED = schemas.columns("batch_id bigint")
 
 
 @dataclass(frozen=True)
@@ -55,9 +73,45 @@ class Lake:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
-    @property
-    def checkpoint(self) -> str:
-        return f"{self.root}/state/stream"
+    def gold_table(self, name: str) -> str:
+        return f"{self.gold_database}.{name}"
+
+    def state(self, name: str) -> str:
+        return f"{self.root}/state/{name}"
+
+
+# --- landing and facts
+
+
+def land_static(spark: SparkSession, lake: Lake) -> None:
+    for name, schema in (("users", schemas.USERS), ("products", schemas.PRODUCTS)):
+        ingest_static_bronze(
+            spark,
+            lake.static_landing(name),
+            schema,
+            lake.bronze(name),
+            multi_line=lake.multi_line,
+        )
+
+
+def land_stream(spark: SparkSession, lake: Lake) -> None:
+    """Bring all new landing files into Bronze and into the fact partitions they touch."""
+    arrivals = read_landing(
+        spark,
+        lake.stream_landing,
+        multi_line=lake.multi_line,
+        max_files=lake.max_files,
+        archive=lake.archive,
+    )
+
+    def rebuild(dates: Sequence[dt.date] | None, batch_id: int) -> None:
+        rebuild_facts(spark, lake, dates)
+        note = spark.createDataFrame([(batch_id, d) for d in dates or [None]], _TOUCHED)
+        note.coalesce(1).write.mode("append").parquet(lake.state("touched"))
+
+    start_rebuild(
+        arrivals, lake.bronze("stream"), lake.state("stream"), rebuild
+    ).awaitTermination()
 
 
 def rebuild_facts(
@@ -69,92 +123,119 @@ def rebuild_facts(
     """
     tables = split_bronze(spark, lake.bronze("stream"), by_date=True, dates=dates)
     products = read_or_empty(spark, lake.bronze("products"), schemas.PRODUCTS)
-    orders = gold.build_fact_orders(
-        tables["order_items"],
-        tables["orders"],
-        gold.list_prices(products),
-        returned_label=lake.returned_label,
-        dates=dates,
-        hot_orders=find_hot_keys(tables["order_items"], "order_id"),
-        hot_products=find_hot_keys(tables["order_items"], "product_id"),
-    )
-    events = gold.build_fact_events(tables["events"], dates=dates)
-    for fact, df in ((FACT_ORDERS, orders), (FACT_EVENTS, events)):
+    built = {
+        "fact_orders": gold.build_fact_orders(
+            tables["order_items"],
+            tables["orders"],
+            gold.list_prices(products),
+            returned_label=lake.returned_label,
+            dates=dates,
+            hot_orders=find_hot_keys(tables["order_items"], "order_id"),
+            hot_products=find_hot_keys(tables["order_items"], "product_id"),
+        ),
+        "fact_events": gold.build_fact_events(tables["events"], dates=dates),
+    }
+    for name, df in built.items():
+        day = FACTS[name].date_column
         # Records without a readable time stay in Bronze (see gold.undated).
-        dated = df.where(F.col(fact.date_column).isNotNull())
-        write_partitioned(dated, lake.gold(fact.name), [fact.date_column])
+        write_partitioned(df.where(F.col(day).isNotNull()), lake.gold(name), [day])
 
 
-def rebuild_dimensions(spark: SparkSession, lake: Lake) -> None:
-    tables = split_bronze(spark, lake.bronze("stream"), by_date=True)
-    users = read_parquet(spark, lake.bronze("users"), schemas.USERS)
-    products = read_parquet(spark, lake.bronze("products"), schemas.PRODUCTS)
-    built = {
-        "dim_users": gold.build_dim_users(users),
-        "dim_products": gold.build_dim_products(products, tables["reviews"]),
-        "dim_order_status": gold.build_dim_order_status(tables["orders"]),
-        "dim_event_type": gold.build_dim_event_type(tables["events"]),
+# --- what a run still has to pass on
+
+
+def last_batch(spark: SparkSession, lake: Lake, name: str, schema) -> int:
+    found = read_or_empty(spark, lake.state(name), schema).agg(F.max("batch_id")).first()[0]
+    return -1 if found is None else found
+
+
+def pending_dates(spark: SparkSession, lake: Lake) -> list[dt.date] | None:
+    """Days rebuilt since the last publication that succeeded; None stands for all days."""
+    done = last_batch(spark, lake, "published", _PUBLISHED)
+    notes = read_or_empty(spark, lake.state("touched"), _TOUCHED)
+    # A batch notes a bounded number of days, or a single null (see touched_dates).
+    days = [r[0] for r in notes.where(F.col("batch_id") > done).select("day").distinct().collect()]
+    return None if None in days else days
+
+
+def note_published(spark: SparkSession, lake: Lake) -> None:
+    batch = last_batch(spark, lake, "touched", _TOUCHED)
+    if batch > last_batch(spark, lake, "published", _PUBLISHED):
+        done = spark.createDataFrame([(batch,)], _PUBLISHED)
+        done.coalesce(1).write.mode("append").parquet(lake.state("published"))
+
+
+# --- dimensions
+
+
+def rebuild_dimensions(
+    spark: SparkSession, lake: Lake, dates: Sequence[dt.date] | None = None
+) -> None:
+    """Refresh the dimensions; `dates` limits where new days, statuses and types are looked for."""
+    everything = split_bronze(spark, lake.bronze("stream"), by_date=True)
+    users = read_or_empty(spark, lake.bronze("users"), schemas.USERS)
+    products = read_or_empty(spark, lake.bronze("products"), schemas.PRODUCTS)
+    write_parquet(gold.build_dim_users(users), lake.gold("dim_users"))
+    write_parquet(
+        gold.build_dim_products(products, everything["reviews"]), lake.gold("dim_products")
+    )
+    if dates is not None and not dates:
+        return
+    recent = split_bronze(spark, lake.bronze("stream"), by_date=True, dates=dates)
+    found = {
+        "dim_date": gold.build_dim_date(
+            gold.event_days(*recent.values()), lake.first_day, lake.last_day
+        ),
+        "dim_order_status": gold.build_dim_order_status(recent["orders"]),
+        "dim_event_type": gold.build_dim_event_type(recent["events"]),
     }
-    for name, df in built.items():
-        write_parquet(df, lake.gold(name))
-    days = gold.event_days(*tables.values())
-    dim_date = gold.build_dim_date(days, lake.first_day, lake.last_day)
-    name = f"{lake.gold_database}.dim_date"
-    if table_exists(spark, name):
-        dim_date = gold.merge_dim_date(spark.table(name), dim_date)
-    write_version(dim_date.orderBy("date_id"), name)
+    for name, new in found.items():
+        key, table = MERGED_DIMENSIONS[name], lake.gold_table(name)
+        if table_exists(spark, table):
+            new = merge_by_key(spark.table(table), new, [key])
+        write_version(new.orderBy(key), table)
+
+
+# --- the whole
 
 
 def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    contracts = {
-        "dim_users": schemas.DIM_USERS,
-        "dim_products": schemas.DIM_PRODUCTS,
-        "dim_order_status": schemas.DIM_ORDER_STATUS,
-        "dim_event_type": schemas.DIM_EVENT_TYPE,
-        "fact_orders": schemas.FACT_ORDERS,
-        "fact_events": schemas.FACT_EVENTS,
+    merged = {
+        name: spark.table(lake.gold_table(name))
+        for name in MERGED_DIMENSIONS
+        if table_exists(spark, lake.gold_table(name))
     }
-    tables = {n: read_or_empty(spark, lake.gold(n), s) for n, s in contracts.items()}
-    return {"dim_date": spark.table(f"{lake.gold_database}.dim_date"), **tables}
+    return merged | {n: read_or_empty(spark, lake.gold(n), s) for n, s in CONTRACTS.items()}
+
+
+def publish_gold(
+    spark: SparkSession, lake: Lake, dates: Sequence[dt.date] | None = None
+) -> dict[str, int | None]:
+    """Publish all dimensions and the fact rows of `dates`."""
+    tables = gold_tables(spark, lake)
+    names = [n for n in (*MERGED_DIMENSIONS, *REPLACED_DIMENSIONS) if n in tables]
+    facts = [(fact, tables[name]) for name, fact in FACTS.items()]
+    return publish_all({n: tables[n] for n in names}, facts, lake.warehouse_database, dates)
 
 
 def run_daily(spark: SparkSession, lake: Lake) -> dict[str, int | None]:
     """One run over everything that has arrived since the last one; any failure stops it.
 
     Starting again after a failure continues where it stopped, and a run without new files
-    leaves Gold and the warehouse as they are.
+    changes no fact. Work grows with the days touched, not with the age of the lake, except for
+    product ratings, which need all reviews.
     """
-    for name, schema in (("users", schemas.USERS), ("products", schemas.PRODUCTS)):
-        ingest_static_bronze(
-            spark,
-            lake.static_landing(name),
-            schema,
-            lake.bronze(name),
-            multi_line=lake.multi_line,
-        )
-    arrivals = read_landing(
-        spark,
-        lake.stream_landing,
-        multi_line=lake.multi_line,
-        max_files=lake.max_files,
-        archive=lake.archive,
-    )
-    start_rebuild(
-        arrivals,
-        lake.bronze("stream"),
-        lake.checkpoint,
-        lambda dates: rebuild_facts(spark, lake, dates),
-    ).awaitTermination()
     create_database(spark, lake.gold_database, lake.gold("tables"))
     create_database(spark, lake.warehouse_database, f"{lake.root}/warehouse")
-    rebuild_dimensions(spark, lake)
-    tables = gold_tables(spark, lake)
-    return publish_all(
-        {n: tables[n] for n in ("dim_date", *PATH_DIMENSIONS)},
-        [(f, tables[f.name]) for f in (FACT_ORDERS, FACT_EVENTS)],
-        lake.warehouse_database,
-    )
+    land_static(spark, lake)
+    land_stream(spark, lake)
+    dates = pending_dates(spark, lake)
+    rebuild_dimensions(spark, lake, dates)
+    published = publish_gold(spark, lake, dates)
+    note_published(spark, lake)
+    return published
 
 
 def summarize(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Row counts of all Gold tables, from the file footers."""
     return table_summary(gold_tables(spark, lake))

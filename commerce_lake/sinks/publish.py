@@ -20,11 +20,11 @@ MOST_DATES = 5_000
 
 @dataclass(frozen=True)
 class Fact:
-    """How a fact table is published."""
+    """How a fact table is published. Its rows keep their day, so only days at hand are read."""
 
     name: str
     key: str
-    date_column: str | None = None
+    date_column: str
 
 
 def table_name(database: str, name: str) -> str:
@@ -105,20 +105,29 @@ def append_fact(
     if date_column:
         writer = writer.partitionBy(date_column)
     writer.saveAsTable(table)
-    return appended.get["rows"] or 0
+    return appended.get.get("rows") or 0
 
 
 def publish_all(
     dimensions: Mapping[str, DataFrame],
     facts: Sequence[tuple[Fact, DataFrame]],
     database: str,
+    dates: Sequence | None = None,
 ) -> dict[str, int | None]:
-    """Publish dimensions, then facts; the first failure stops the run."""
+    """Publish dimensions, then facts; the first failure stops the run.
+
+    With `dates`, only the fact rows of these days are looked at. A fact table that does not
+    exist yet, or whose columns have changed, is filled from all days.
+    """
     done: dict[str, int | None] = {}
     for name, df in dimensions.items():
         done[name] = publish_dimension(df, database, name)
     for fact, df in facts:
         table = table_name(database, fact.name)
         drop_if_schema_changed(df.sparkSession, table, df.schema)
-        done[fact.name] = append_fact(df, table, fact.key, date_column=fact.date_column)
+        if dates is not None and table_exists(df.sparkSession, table):
+            df = df.where(F.col(fact.date_column).isin(list(dates)))
+        done[fact.name] = append_fact(
+            df, table, fact.key, date_column=fact.date_column, key_implies_date=True
+        )
     return done

@@ -135,8 +135,12 @@ def read_bronze(
 
 
 def split_bronze(spark: SparkSession, path: str, **options) -> Mapping[str, DataFrame]:
-    """One frame per stream type, each reading its own partition only."""
-    return {name: read_bronze(spark, path, name, **options) for name in schemas.STREAM_TYPES}
+    """One frame per stream type, each reading its own partitions only.
+
+    The folder is listed once for all of them, and nothing is cached, so partition filters work.
+    """
+    df = read_bronze(spark, path, **options)
+    return {name: df.where(F.col("stream_type") == name) for name in schemas.STREAM_TYPES}
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:

@@ -38,12 +38,13 @@ def start_rebuild(
     stream: DataFrame,
     bronze: str,
     checkpoint: str,
-    rebuild: Callable[[Sequence[dt.date] | None], None],
+    rebuild: Callable[[Sequence[dt.date] | None, int], None],
 ) -> StreamingQuery:
     """Land each micro-batch in Bronze (by day), then rebuild the days it touched.
 
-    `rebuild` gets the touched days (None: too many to list, rebuild all) and must read *all*
-    Bronze rows of these days, so that a late row never replaces a full day by a partial one.
+    `rebuild` gets the touched days (None: too many to list, rebuild all) and the batch number.
+    It must read *all* Bronze rows of these days, so that a late row never replaces a full day by
+    a partial one.
     A replayed micro-batch lands its rows again; the builders drop such repeats.
     """
 
@@ -55,7 +56,7 @@ def start_rebuild(
         dated = rows.where((F.col("stream_type") != REJECTED) & F.col(EVENT_DATE).isNotNull())
         dates = touched_dates(dated, EVENT_DATE)
         if dates is None or dates:
-            rebuild(dates)
+            rebuild(dates, batch_id)
 
     return _start(stream, land, checkpoint)
 

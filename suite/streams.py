@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from commerce_lake import schemas
 from commerce_lake.operators.envelope import assign_batches, batch_type_counts
 from commerce_lake.operators.envelope import record_id as id_of
+from commerce_lake.operators.quality import table_summary
 from commerce_lake.plans import gold
-from commerce_lake.plans.daily import Lake, run_daily, summarize
 from commerce_lake.plans.event_stream import build_event_stream, landing_records
 from commerce_lake.sinks.files import write_json, write_partitioned
-from commerce_lake.sources.files import read_bronze
+from commerce_lake.sources.files import read_bronze, split_bronze
 from commerce_lake.streaming.facts import start_append, start_rebuild
 from commerce_lake.streaming.landing import read_landing, start_bronze
-from suite.entities import FLAT, LOADED_AT, RETURNED, Tables, time_text
+from suite.entities import FLAT, LOADED_AT, Tables, time_text
 from suite.registry import query
 from suite.scans import FLAT_COLUMNS
 from suite.star import FACT_EVENTS_SQL, FIRST_DAY, LAST_DAY, loaded_at
@@ -106,7 +106,7 @@ def stream_late_partition_rebuild(t: Tables) -> DataFrame:
     landing, bronze = t.new_path("landing_late"), t.new_path("bronze_by_day")
     fact, state = t.new_path("fact_events"), t.new_path("state")
 
-    def rebuild(dates) -> None:
+    def rebuild(dates, batch_id) -> None:
         rows = read_bronze(t.spark, bronze, "events", by_date=True, dates=dates)
         built = gold.build_fact_events(rows, loaded_at=loaded_at())
         write_partitioned(built, fact, ["event_date_id"])
@@ -138,20 +138,20 @@ def stream_late_partition_rebuild(t: Tables) -> DataFrame:
     "stream",
 )
 def gold_summary(t: Tables) -> DataFrame:
-    """Row counts of Gold after a daily run over everything."""
-    landing = t.new_path("daily_landing")
-    lake = Lake(
-        landing=landing,
-        root=t.new_path("daily"),
-        gold_database=t.new_database("gold"),
-        warehouse_database=t.new_database("published"),
-        multi_line=False,
-        first_day=FIRST_DAY,
-        last_day=LAST_DAY,
-        returned_label=RETURNED,
+    """Row counts of the Gold tables built from Bronze."""
+    bronze = split_bronze(t.spark, t.bronze())
+    products = gold.build_dim_products(t.products(), bronze["reviews"])
+    days = gold.event_days(*bronze.values())
+    return table_summary(
+        {
+            "dim_users": gold.build_dim_users(t.users()),
+            "dim_products": products,
+            "dim_date": gold.build_dim_date(days, FIRST_DAY, LAST_DAY),
+            "dim_order_status": gold.build_dim_order_status(bronze["orders"]),
+            "dim_event_type": gold.build_dim_event_type(bronze["events"]),
+            "fact_orders": gold.build_fact_orders(
+                bronze["order_items"], bronze["orders"], products
+            ),
+            "fact_events": gold.build_fact_events(bronze["events"]),
+        }
     )
-    _deliver(t, t.envelopes(), lake.stream_landing)
-    write_json(t.users(), lake.static_landing("users"))
-    write_json(t.products(), lake.static_landing("products"))
-    run_daily(t.spark, lake)
-    return summarize(t.spark, lake)
