@@ -10,19 +10,20 @@ from commerce_lake.operators.numbering import number_rows
 _SMALLEST = {"hash": -(2**31), "hash64": -(2**63)}
 
 
+def non_negative(value: Column, smallest: int) -> Column:
+    """The absolute value; the smallest integer, which has none, stays as it is."""
+    return F.when(value == F.lit(smallest), value).otherwise(F.abs(value))
+
+
 def hash_key(value: Column | str, strategy: str = "hash") -> Column:
-    """Stable non-negative id of a natural key; null for null.
+    """Stable id of a natural key; null for null.
 
-    `hash` has 32 bits and suits a handful of values, `hash64` any number of them. The smallest
-    integer has no positive counterpart and stays as it is.
+    `hash` has 32 bits and suits a handful of values, `hash64` any number of them.
     """
     value = F.col(value) if isinstance(value, str) else value
     hashed = F.hash(value) if strategy == "hash" else F.xxhash64(value)
     # A null value hashes to the bare seed, which must not become an id.
-    return F.when(
-        value.isNotNull(),
-        F.when(hashed == F.lit(_SMALLEST[strategy]), hashed).otherwise(F.abs(hashed)),
-    )
+    return F.when(value.isNotNull(), non_negative(hashed, _SMALLEST[strategy]))
 
 
 def add_surrogate_key(

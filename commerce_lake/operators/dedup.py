@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commerce_lake.functions.cleaning import require_not_null
+
 
 def _sortable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
@@ -34,7 +36,7 @@ def dedup_by_key(
     ]
     partition = [F.col(k) for k in keys]
     if null_keys == "drop":
-        df = df.dropna(subset=list(keys))
+        df = require_not_null(df, *keys)
     elif null_keys == "content":
         no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         partition.append(F.when(no_key, F.struct(*rest)) if rest else F.lit(None))

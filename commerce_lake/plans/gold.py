@@ -14,7 +14,6 @@ from commerce_lake.functions.cleaning import (
     parse_date,
     parse_timestamp,
     require_not_null,
-    to_int,
 )
 from commerce_lake.functions.keys import add_surrogate_key, hash_key
 from commerce_lake.operators.dedup import dedup_by_key
@@ -118,7 +117,7 @@ def order_lines(items: DataFrame, *, resent: bool = True) -> DataFrame:
         "order_item_id",
         "order_id",
         "product_id",
-        to_int(F.col("quantity")).alias("quantity"),
+        F.col("quantity").try_cast("int").alias("quantity"),
         F.col("item_price").try_cast("double").alias("item_price"),
     )
 

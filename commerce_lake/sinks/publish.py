@@ -95,17 +95,19 @@ def append_fact(
     if table_exists(spark, table):
         dates = touched_dates(df, date_column) if key_implies_date and date_column else None
         existing = target_keys(spark, table, key, date_column, dates)
-    appended = Observation()
-    result = new_rows(checked, key, existing).observe(appended, F.count("*").alias("rows"))
+    result = new_rows(checked, key, existing)
     if existing is not None:
         result = result.select(*spark.table(table).columns)
     if date_column:
         result = result.hint("rebalance", F.col(date_column))
+    # Observed last: an empty shuffle further up would be planned away together with the count.
+    appended = Observation()
+    result = result.observe(appended, F.count("*").alias("rows"))
     writer = result.write.format("parquet").mode("append")
     if date_column:
         writer = writer.partitionBy(date_column)
     writer.saveAsTable(table)
-    return appended.get.get("rows") or 0
+    return appended.get["rows"]
 
 
 def publish_all(

@@ -1,12 +1,14 @@
 """Tables that are replaced as a whole while readers keep working.
 
-Each refresh writes a new table `name__v000007` and then points the view `name` at it, a single
-catalog call. Until then readers see the old version; a failed write changes nothing.
+Each refresh writes a new table `name__v000007_1f3a9c2e` and then points the view `name` at it, a
+single catalog call. Until then readers see the old version; a failed write changes nothing. The
+last part of the name is random, so that files left behind by a failed write are never in the way.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,17 +20,20 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
 
+def _number(table: str) -> int:
+    return int(table.lower().rpartition(_MARK)[2].partition("_")[0])
+
+
 def versions(spark: SparkSession, name: str) -> list[str]:
     """Stored versions of `database.name`, oldest first."""
     database, short = name.split(".")
-    pattern = re.compile(re.escape(short.lower() + _MARK) + r"(\d+)$")
+    pattern = re.compile(re.escape(short.lower() + _MARK) + r"\d+_[0-9a-f]+$")
     found = [
         t.name
         for t in spark.catalog.listTables(database, f"{short}{_MARK}*")
         if pattern.match(t.name.lower())
     ]
-    ordered = sorted(found, key=lambda n: int(n.lower().rpartition(_MARK)[2]))
-    return [f"{database}.{n}" for n in ordered]
+    return [f"{database}.{n}" for n in sorted(found, key=_number)]
 
 
 def write_version(df: DataFrame, name: str, *, keep: int = 2) -> int:
@@ -39,9 +44,9 @@ def write_version(df: DataFrame, name: str, *, keep: int = 2) -> int:
     """
     spark = df.sparkSession
     stored = versions(spark, name)
-    number = int(stored[-1].rpartition(_MARK)[2]) + 1 if stored else 1
-    stage = f"{name}{_MARK}{number:06d}"
-    # Fails if another writer took the same number; the table appears only when complete.
+    number = _number(stored[-1]) + 1 if stored else 1
+    stage = f"{name}{_MARK}{number:06d}_{uuid.uuid4().hex[:8]}"
+    # The table appears in the catalog only when it is complete.
     df.write.format("parquet").mode("errorifexists").saveAsTable(stage)
     try:
         rows = spark.table(stage).count()

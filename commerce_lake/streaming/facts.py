@@ -49,12 +49,16 @@ def start_rebuild(
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        rows = bronze_rows(batch, by_date=True)
-        write_partitioned(
-            rows, bronze, bronze_partitions(True), replace="append", allow_null=True
-        )
-        dated = rows.where((F.col("stream_type") != REJECTED) & F.col(EVENT_DATE).isNotNull())
-        dates = touched_dates(dated, EVENT_DATE)
+        # Kept (on disk where memory is short) so that the files are parsed once.
+        rows = bronze_rows(batch, by_date=True).persist()
+        try:
+            write_partitioned(
+                rows, bronze, bronze_partitions(True), replace="append", allow_null=True
+            )
+            dated = rows.where((F.col("stream_type") != REJECTED) & F.col(EVENT_DATE).isNotNull())
+            dates = touched_dates(dated, EVENT_DATE)
+        finally:
+            rows.unpersist()
         if dates is None or dates:
             rebuild(dates, batch_id)
 

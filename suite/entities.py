@@ -15,6 +15,7 @@ from commerce_lake.sinks.files import write_json
 RETURNED = "F"
 LOADED_AT = "2024-02-01 00:00:00"
 
+# Almost unique: a few lines share all four numbers, so facts and ratings keep one of them.
 _LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 # One view per entity; times stay timestamps here.

@@ -15,7 +15,7 @@ from commerce_lake.plans.bronze import ingest_static_bronze
 from commerce_lake.plans.event_stream import timed_tables
 from commerce_lake.sinks.files import write_json
 from commerce_lake.sinks.versions import write_version
-from commerce_lake.sources.files import read_bronze
+from commerce_lake.sources.files import read_bronze, split_bronze
 from suite.entities import FLAT, LOADED_AT, RETURNED, Tables, as_text, day_text, time_text
 from suite.registry import query
 from suite.scans import FLAT_COLUMNS
@@ -55,7 +55,9 @@ PRODUCTS_SQL = """
            coalesce(avg_rating, 0.0) AS avg_rating, coalesce(review_count, 0) AS review_count
     FROM products LEFT JOIN (
         SELECT product_id, round(avg(rating), 2) AS avg_rating, count(review_id) AS review_count
-        FROM reviews WHERE rating IS NOT NULL GROUP BY product_id
+        FROM (SELECT * FROM reviews QUALIFY row_number() OVER (
+                  PARTITION BY review_id ORDER BY product_id, user_id, rating, event_time) = 1)
+        WHERE rating IS NOT NULL GROUP BY product_id
     ) USING (product_id)
 """
 FACT_ORDERS_SQL = f"""
@@ -67,7 +69,9 @@ FACT_ORDERS_SQL = f"""
            round(i.item_price * i.quantity, 2) AS line_total, o.total_amount,
            CAST(o.order_status = '{RETURNED}' AS INTEGER) AS is_returned,
            '{LOADED_AT}.000000' AS gold_created_at
-    FROM items i JOIN shop_orders o USING (order_id) LEFT JOIN products p USING (product_id)
+    FROM (SELECT * FROM items QUALIFY row_number() OVER (
+              PARTITION BY order_item_id ORDER BY product_id, quantity, item_price) = 1) i
+    JOIN shop_orders o USING (order_id) LEFT JOIN products p USING (product_id)
 """
 FACT_EVENTS_SQL = f"""
     SELECT event_id, user_id, product_id, {day_text('event_time')} AS event_date_id,
@@ -118,6 +122,27 @@ def fact_events(t: Tables) -> DataFrame:
     return schemas.require_schema(built, schemas.FACT_EVENTS)
 
 
+@query("fact_orders_from_bronze", FACT_ORDERS_SQL, "items", "shop_orders", "products")
+def fact_orders_from_bronze(t: Tables) -> DataFrame:
+    """The same facts after a round trip through landing files and Bronze."""
+    bronze = split_bronze(t.spark, t.bronze())
+    return gold.build_fact_orders(
+        bronze["order_items"],
+        bronze["orders"],
+        gold.list_prices(t.products()),
+        returned_label=RETURNED,
+        hot_orders=find_hot_keys(bronze["order_items"], "order_id"),
+        hot_products=find_hot_keys(bronze["order_items"], "product_id"),
+        loaded_at=loaded_at(),
+    )
+
+
+@query("fact_events_from_bronze", FACT_EVENTS_SQL, "shop_events")
+def fact_events_from_bronze(t: Tables) -> DataFrame:
+    events = split_bronze(t.spark, t.bronze())["events"]
+    return gold.build_fact_events(events, loaded_at=loaded_at())
+
+
 @query("dim_users", "SELECT user_id, name, email, gender, city FROM users", "users")
 def dim_users(t: Tables) -> DataFrame:
     return schemas.require_schema(gold.build_dim_users(t.users()), schemas.DIM_USERS)
@@ -205,10 +230,10 @@ def agg_product_ratings(t: Tables) -> DataFrame:
 @query(
     "fk_orphans",
     f"""
-    SELECT {day_text('o_orderdate')} AS orphan_key, count(*) AS fact_rows
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE o_orderdate > TIMESTAMP '1999-12-31' GROUP BY 1
+    SELECT {day_text('event_time')} AS orphan_key, count(DISTINCT order_item_id) AS fact_rows
+    FROM items WHERE event_time >= TIMESTAMP '2000-01-01' GROUP BY 1
     """,
+    "items",
 )
 def fk_orphans(t: Tables) -> DataFrame:
     """Order days outside of a calendar that ends too early."""

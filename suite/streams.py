@@ -130,7 +130,7 @@ def stream_late_partition_rebuild(t: Tables) -> DataFrame:
         WHERE event_time >= TIMESTAMP '{FIRST_DAY}' AND event_time < TIMESTAMP '2025-01-01'
     UNION ALL SELECT 'dim_order_status', count(DISTINCT order_status) FROM shop_orders
     UNION ALL SELECT 'dim_event_type', count(DISTINCT event_type) FROM shop_events
-    UNION ALL SELECT 'fact_orders', count(*) FROM items
+    UNION ALL SELECT 'fact_orders', count(DISTINCT order_item_id) FROM items
     UNION ALL SELECT 'fact_events', count(*) FROM shop_events
     """,
     "users",

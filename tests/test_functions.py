@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from commerce_lake.functions import calendar, cleaning
-from commerce_lake.functions.keys import add_surrogate_key, hash_key
+from commerce_lake.functions.keys import add_surrogate_key, hash_key, non_negative
 from commerce_lake.operators.quality import key_collisions
 from frames import frame, values
 
@@ -72,12 +72,11 @@ def test_hash_keys_are_stable_and_null_for_null(spark):
 
 
 def test_smallest_hash_does_not_fail(spark):
-    # A hash without a positive counterpart; plain abs() raises on it.
-    smallest = F.lit(-(2**31))
-    key = F.when(smallest == F.lit(-(2**31)), smallest).otherwise(F.abs(smallest))
-    assert spark.range(1).select(key).first()[0] == -(2**31)
+    smallest = -(2**31)
+    df = frame(spark, "n int", [smallest], [-5], [7])
+    assert [r[0] for r in df.select(non_negative(F.col("n"), smallest)).collect()] == [smallest, 5, 7]
     with pytest.raises(Exception, match="OVERFLOW"):
-        spark.range(1).select(F.abs(F.col("id").cast("int") - F.lit(2**31 - 1) - F.lit(1))).collect()
+        df.select(F.abs("n")).collect()
 
 
 @pytest.mark.parametrize("strategy", ["hash", "hash64", "dense", "monotonic"])
