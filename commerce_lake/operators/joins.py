@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 _FEWEST_SAMPLES = 10
 
 
+# A lookup table of up to this many (narrow) rows is sent to every executor, tens of megabytes.
+BROADCAST_ROWS = 500_000
+
+
 @dataclass(frozen=True)
 class HotKey:
     """A join key with so many rows that they are spread over `parts` partitions."""
@@ -57,6 +61,19 @@ def find_hot_keys(
     ]
 
 
+def plan_lookup(
+    rows: DataFrame, dimension: DataFrame, key: str, dimension_rows: int
+) -> tuple[DataFrame, list[HotKey]]:
+    """The dimension and the hot keys to pass to `lookup`, given an upper bound of its size.
+
+    A small dimension is broadcast, and skew does not matter. A larger one is shuffled, and the
+    rows of hot keys are spread.
+    """
+    if dimension_rows <= BROADCAST_ROWS:
+        return F.broadcast(dimension), []
+    return dimension, find_hot_keys(rows, key)
+
+
 def join_on_key(
     left: DataFrame,
     right: DataFrame,

@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from commerce_lake.operators.joins import BROADCAST_ROWS
 from commerce_lake.shared import materialize
 
 # monotonically_increasing_id keeps the partition number above this many bits.
 _ROW_BITS = 33
-# Rows of the offset table that may be sent to every executor (about 30 bytes each).
-_BROADCAST_ROWS = 500_000
 
 
 def number_rows(
@@ -26,6 +25,9 @@ def number_rows(
     is written once between the two steps because both must see the same partition limits.
     Rows equal in `order_by` are told apart by a hash of their content; exact copies by the input
     partition they come from, so many copies still spread over several tasks.
+
+    Meant for the whole table or for few groups of any size (days, say). For very many groups
+    that are all small, `row_number` is the cheaper way.
     """
     within = list(within)
     helpers = ["_tie", "_copy", "_position"]
@@ -57,7 +59,7 @@ def number_rows(
         ),
         "offsets",
     )
-    if offsets.count() <= _BROADCAST_ROWS:
+    if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     match = part == F.col("_part")
     for column in within:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake import schemas
-from commerce_lake.operators.joins import find_hot_keys
+from commerce_lake.operators.joins import find_hot_keys, plan_lookup
 from commerce_lake.operators.merge import merge_by_key
 from commerce_lake.operators.quality import table_summary
 from commerce_lake.plans import gold
@@ -122,16 +122,20 @@ def rebuild_facts(
     An order item is stored under the day of its order, so one day of Bronze is complete.
     """
     tables = split_bronze(spark, lake.bronze("stream"), by_date=True, dates=dates)
+    items = tables["order_items"]
     products = read_or_empty(spark, lake.bronze("products"), schemas.PRODUCTS)
+    prices, hot_products = plan_lookup(
+        items, gold.list_prices(products), "product_id", products.count()
+    )
     built = {
         "fact_orders": gold.build_fact_orders(
-            tables["order_items"],
+            items,
             tables["orders"],
-            gold.list_prices(products),
+            prices,
             returned_label=lake.returned_label,
             dates=dates,
-            hot_orders=find_hot_keys(tables["order_items"], "order_id"),
-            hot_products=find_hot_keys(tables["order_items"], "product_id"),
+            hot_orders=find_hot_keys(items, "order_id"),
+            hot_products=hot_products,
         ),
         "fact_events": gold.build_fact_events(tables["events"], dates=dates),
     }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_lake import schemas
-from commerce_lake.operators.joins import find_hot_keys
+from commerce_lake.operators.joins import find_hot_keys, plan_lookup
 from commerce_lake.operators.quality import key_collisions, orphan_keys
 from commerce_lake.plans import gold
 from commerce_lake.plans.bronze import ingest_static_bronze
@@ -98,19 +98,26 @@ def dim_products_of(t: Tables) -> DataFrame:
     return gold.build_dim_products(t.products(), as_text(t.reviews()))
 
 
-def fact_orders_of(t: Tables) -> DataFrame:
-    items = t.items()
+def fact_orders_from(t: Tables, items: DataFrame, orders: DataFrame) -> DataFrame:
+    products = t.products()
+    prices, hot_products = plan_lookup(
+        items, gold.list_prices(products), "product_id", products.count()
+    )
     return gold.build_fact_orders(
         items,
-        as_text(t.orders()),
-        gold.list_prices(t.products()),
+        orders,
+        prices,
         returned_label=RETURNED,
         hot_orders=find_hot_keys(items, "order_id"),
-        hot_products=find_hot_keys(items, "product_id"),
+        hot_products=hot_products,
         loaded_at=loaded_at(),
     )
 
 
+def fact_orders_of(t: Tables) -> DataFrame:
+    return fact_orders_from(t, t.items(), as_text(t.orders()))
+
+
 @query("fact_orders", FACT_ORDERS_SQL, "items", "shop_orders", "products")
 def fact_orders(t: Tables) -> DataFrame:
     return schemas.require_schema(fact_orders_of(t), schemas.FACT_ORDERS)
@@ -126,15 +133,7 @@ def fact_events(t: Tables) -> DataFrame:
 def fact_orders_from_bronze(t: Tables) -> DataFrame:
     """The same facts after a round trip through landing files and Bronze."""
     bronze = split_bronze(t.spark, t.bronze())
-    return gold.build_fact_orders(
-        bronze["order_items"],
-        bronze["orders"],
-        gold.list_prices(t.products()),
-        returned_label=RETURNED,
-        hot_orders=find_hot_keys(bronze["order_items"], "order_id"),
-        hot_products=find_hot_keys(bronze["order_items"], "product_id"),
-        loaded_at=loaded_at(),
-    )
+    return fact_orders_from(t, bronze["order_items"], bronze["orders"])
 
 
 @query("fact_events_from_bronze", FACT_EVENTS_SQL, "shop_events")

@@ -253,8 +253,10 @@ def join_left_expr(t: Tables) -> DataFrame:
     "shop_orders",
 )
 def semi_items_of_day_orders(t: Tables) -> DataFrame:
+    items = t.items()
     orders = envelope.day_slice(t.orders(), "event_time", ORDER_DAY)
-    return joins.rows_of(t.items(), orders, "order_id").select(
+    hot = joins.find_hot_keys(items, "order_id")
+    return joins.rows_of(items, orders, "order_id", hot).select(
         "order_item_id", "order_id", "product_id"
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from commerce_lake.operators import envelope as env
 from commerce_lake.operators.dedup import dedup_by_key
 from commerce_lake.operators.joins import (
-    HotKey, find_hot_keys, inherit_event_time, join_on_key, lookup, rows_of,
+    HotKey, find_hot_keys, inherit_event_time, join_on_key, lookup, plan_lookup, rows_of,
 )
 from commerce_lake.operators.merge import merge_by_key, union_distinct
 from commerce_lake.operators.numbering import number_rows
@@ -115,6 +115,19 @@ def test_hot_keys_are_found(spark, skewed):
     assert find_hot_keys(left.where("false"), "key", fraction=1.0, min_rows=0) == []
 
 
+def test_only_small_dimensions_are_broadcast(spark, skewed, capsys):
+    left, right = skewed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small, hot = plan_lookup(left, right, "key", 300)
+        assert hot == [] and "BroadcastHashJoin" in plan_of(lookup(left, small, "key", ["v"]), capsys)
+        large, hot = plan_lookup(left, right, "key", 10**9)
+        plan = plan_of(lookup(left, large, "key", ["v"], hot), capsys)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_lookups(spark):
     items = frame(spark, "order_id string, n int", ["o1", 1], ["o9", 2], [None, 3])
     orders = frame(spark, "order_id string, event_time string, x int", ["o1", "t", 5])
