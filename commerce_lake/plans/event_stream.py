@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commerce_lake.functions.cleaning import format_timestamp, scrub_non_finite
-from commerce_lake.operators.envelope import assign_batches, day_slice, unify
+from commerce_lake.operators.envelope import assign_batches, day_slice, stream_order, unify
 from commerce_lake.operators.joins import HotKey, inherit_event_time, rows_of
 from commerce_lake.schemas import STREAM_TYPES
 
@@ -53,11 +53,14 @@ def build_event_stream(
 
 
 def landing_records(
-    stream: DataFrame, ingested_at: Column | None = None, pattern: str | None = None
+    stream: DataFrame,
+    ingested_at: Column | None = None,
+    pattern: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Envelopes as they are written to the landing folder: times as text.
 
-    Fractions of a second are kept unless `pattern` says otherwise.
+    Fractions of a second are kept unless `pattern` says otherwise. `keep` names further columns.
     """
     time = F.col("event_time")
     text = time.cast("string") if pattern is None else format_timestamp(time, pattern)
@@ -67,4 +70,21 @@ def landing_records(
         text.alias("event_time"),
         format_timestamp(arrival).alias("ingestion_time"),
         "data",
+        *keep,
     )
+
+
+def write_batch_files(stream: DataFrame, path: str, ingested_at: Column | None = None) -> None:
+    """One JSON array file per batch of a batched stream, its records in stream order.
+
+    A batch is a single value while it is written; its length is the batch size of the stream.
+    """
+    order = [c.alias(f"_order{n}") for n, c in enumerate(stream_order())]
+    names = [f"_order{n}" for n in range(len(order))]
+    placed = landing_records(stream.select("*", *order), ingested_at, keep=("batch_id", *names))
+    record = F.struct("stream_type", "event_time", "ingestion_time", "data").alias("record")
+    ordered = F.array_sort(F.collect_list(F.struct(*names, record)))
+    arrays = placed.groupBy("batch_id").agg(
+        F.to_json(F.transform(ordered, lambda r: r["record"]), {"ignoreNullFields": "false"})
+    )
+    arrays.toDF("batch_id", "value").write.partitionBy("batch_id").text(path)

@@ -10,9 +10,13 @@ from commerce_lake.operators.envelope import assign_batches, batch_type_counts
 from commerce_lake.operators.envelope import record_id as id_of
 from commerce_lake.operators.quality import table_summary
 from commerce_lake.plans import gold
-from commerce_lake.plans.event_stream import build_event_stream, landing_records
+from commerce_lake.plans.event_stream import (
+    build_event_stream,
+    landing_records,
+    write_batch_files,
+)
 from commerce_lake.sinks.files import write_json, write_partitioned
-from commerce_lake.sources.files import read_bronze, split_bronze
+from commerce_lake.sources.files import read_bronze, read_envelopes, split_bronze
 from commerce_lake.streaming.facts import start_append, start_rebuild
 from commerce_lake.streaming.landing import read_landing, start_bronze
 from suite.entities import FLAT, LOADED_AT, Tables, time_text
@@ -69,6 +73,14 @@ def counts_per_batch(t: Tables) -> DataFrame:
     return batch_type_counts(build_event_stream(t.source_tables(), BATCH))
 
 
+@query("sink_json_batches", f"SELECT {FLAT} FROM stream", "stream")
+def sink_json_batches(t: Tables) -> DataFrame:
+    """Array files of one batch each, read back as multi-line JSON."""
+    path = t.new_path("batches")
+    write_batch_files(build_event_stream(t.source_tables(), BATCH), path)
+    return read_envelopes(t.spark, path).select(*FLAT_COLUMNS)
+
+
 @query("stream_ingest_envelope", f"SELECT {FLAT} FROM stream", "stream")
 def stream_ingest_envelope(t: Tables) -> DataFrame:
     bronze = t.new_path("streamed_bronze")

@@ -1,4 +1,6 @@
 import datetime as dt
+import glob
+import json
 import random
 
 import pytest
@@ -12,7 +14,7 @@ from commerce_lake.operators.joins import (
 from commerce_lake.operators.merge import merge_by_key, union_distinct
 from commerce_lake.operators.numbering import number_rows
 from commerce_lake.operators.quality import count_by, orphan_keys, table_summary
-from commerce_lake.plans.event_stream import build_event_stream, tables_of_day
+from commerce_lake.plans.event_stream import build_event_stream, tables_of_day, write_batch_files
 from commerce_lake.schemas import SchemaMismatch, require_columns, require_schema, columns
 from frames import frame, values
 
@@ -231,6 +233,20 @@ def test_event_stream_orders_parents_first_and_batches(spark, shop):
     assert total["data"]["total_amount"] is None
 
 
+def test_batch_files_are_ordered_arrays(spark, shop, tmp_path):
+    path = str(tmp_path / "batches")
+    write_batch_files(build_event_stream(shop, 3), path)
+    found = {}
+    for file in glob.glob(f"{path}/batch_id=*/*.txt"):
+        number = int(file.split("batch_id=")[1].split("/")[0])
+        found[number] = [r["stream_type"] for r in json.load(open(file))]
+    assert found == {
+        0: ["events", "orders", "order_items"],
+        1: ["reviews", "events", "orders"],
+        2: ["order_items"],
+    }
+
+
 def test_one_day_of_the_stream(spark, shop):
     day = tables_of_day(shop, dt.date(2024, 1, 2))
     assert {n: df.count() for n, df in day.items()} == {
