@@ -25,16 +25,20 @@ FIRST_DAY = dt.date(2023, 1, 1)
 LAST_DAY = dt.date(2026, 12, 31)
 
 
-def _latest(df: DataFrame, keys: Sequence[str], null_keys: str = "drop") -> DataFrame:
-    """One row per key, the one that arrived last where arrival times are known."""
-    return dedup_by_key(
-        df, keys, [ARRIVAL] if ARRIVAL in df.columns else [], null_keys=null_keys
-    )
+def _latest(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], null_keys: str = "drop"
+) -> DataFrame:
+    """One row per key, the one that arrived last where arrival times are known.
+
+    Only `columns` are read and shuffled, and only they break ties.
+    """
+    known = [ARRIVAL] if ARRIVAL in df.columns else []
+    unique = dedup_by_key(df.select(*columns, *known), keys, known, null_keys=null_keys)
+    return unique.select(*columns)
 
 
 def build_dim_users(users: DataFrame) -> DataFrame:
-    columns = ["user_id", "name", "email", "gender", "city"]
-    return _latest(users, ["user_id"]).select(*columns)
+    return _latest(users, ["user_id"], ["user_id", "name", "email", "gender", "city"])
 
 
 def product_ratings(reviews: DataFrame) -> DataFrame:
@@ -48,9 +52,8 @@ def product_ratings(reviews: DataFrame) -> DataFrame:
 
 def list_prices(products: DataFrame) -> DataFrame:
     """Every product once, with the columns that do not depend on reviews."""
-    return _latest(products, ["product_id"]).select(
-        "product_id", "product_name", "category", F.col("price").alias("list_price"), "brand"
-    )
+    columns = ["product_id", "product_name", "category", "price", "brand"]
+    return _latest(products, ["product_id"], columns).withColumnRenamed("price", "list_price")
 
 
 def build_dim_products(
@@ -61,7 +64,8 @@ def build_dim_products(
     `resent=False` states that no review occurs twice and saves the check.
     """
     if resent:
-        reviews = _latest(reviews, ["review_id"], null_keys="content")
+        columns = ["review_id", "product_id", "rating"]
+        reviews = _latest(reviews, ["review_id"], columns, null_keys="content")
     return lookup(
         list_prices(products), product_ratings(reviews), "product_id", ["avg_rating", "review_count"]
     ).withColumns(
@@ -110,9 +114,10 @@ def build_dim_event_type(events: DataFrame, strategy: str = "hash") -> DataFrame
 
 def order_lines(items: DataFrame, *, resent: bool = True) -> DataFrame:
     """Order items that have an order and a product, each once."""
+    columns = ["order_item_id", "order_id", "product_id", "quantity", "item_price"]
     usable = require_not_null(items, "order_id", "product_id")
     if resent:
-        usable = _latest(usable, ["order_item_id"], null_keys="content")
+        usable = _latest(usable, ["order_item_id"], columns, null_keys="content")
     return usable.select(
         "order_item_id",
         "order_id",
@@ -126,7 +131,10 @@ def order_heads(
     orders: DataFrame, *, resent: bool = True, dates: Sequence[dt.date] | None = None
 ) -> DataFrame:
     """Orders with parsed times, each once; with `dates`, those of these days."""
-    usable = _latest(orders, ["order_id"]) if resent else require_not_null(orders, "order_id")
+    columns = ["order_id", "user_id", "event_time", "total_amount", "order_status"]
+    usable = require_not_null(orders, "order_id")
+    if resent:
+        usable = _latest(usable, ["order_id"], columns)
     heads = usable.select(
         "order_id",
         "user_id",
@@ -214,7 +222,8 @@ def build_fact_events(
     if dates is not None:
         rows = rows.where(parse_date("event_time").isin(list(dates)))
     if resent:
-        rows = _latest(rows, ["event_id"])
+        columns = ["event_id", "user_id", "product_id", "event_type", "event_time"]
+        rows = _latest(rows, ["event_id"], columns)
     if event_types is None:
         rows = rows.withColumn("event_type_id", hash_key("event_type", strategy))
     else:

@@ -56,7 +56,7 @@ PRODUCTS_SQL = """
     FROM products LEFT JOIN (
         SELECT product_id, round(avg(rating), 2) AS avg_rating, count(review_id) AS review_count
         FROM (SELECT * FROM reviews QUALIFY row_number() OVER (
-                  PARTITION BY review_id ORDER BY product_id, user_id, rating, event_time) = 1)
+                  PARTITION BY review_id ORDER BY product_id, rating) = 1)
         WHERE rating IS NOT NULL GROUP BY product_id
     ) USING (product_id)
 """
