@@ -29,6 +29,7 @@ def find_hot_keys(
     df: DataFrame,
     key: str,
     *,
+    rows: int | None = None,
     min_share: float = 0.001,
     fraction: float = 0.0001,
     min_rows: int = 10_000_000,
@@ -37,8 +38,11 @@ def find_hot_keys(
     """Keys (null too) holding at least `min_share` of the rows, at most 1/min_share of them.
 
     Reads a sample of the key column alone. The sample only decides how rows are spread, never
-    which rows a join returns. Frames below `min_rows` are too small for skew to matter.
+    which rows a join returns. Frames below `min_rows` are too small for skew to matter; with
+    `rows`, the known size, they are not even sampled.
     """
+    if rows is not None and rows < min_rows:
+        return []
     seen = Observation()
     counts = (
         df.select(F.col(key).alias("value"))
@@ -62,16 +66,16 @@ def find_hot_keys(
 
 
 def plan_lookup(
-    rows: DataFrame, dimension: DataFrame, key: str, dimension_rows: int
+    table: DataFrame, rows: int, dimension: DataFrame, dimension_rows: int, key: str
 ) -> tuple[DataFrame, list[HotKey]]:
-    """The dimension and the hot keys to pass to `lookup`, given an upper bound of its size.
+    """The dimension and the hot keys to pass to `lookup`, given the sizes of both tables.
 
     A small dimension is broadcast, and skew does not matter. A larger one is shuffled, and the
     rows of hot keys are spread.
     """
     if dimension_rows <= BROADCAST_ROWS:
         return F.broadcast(dimension), []
-    return dimension, find_hot_keys(rows, key)
+    return dimension, find_hot_keys(table, key, rows=rows)
 
 
 def join_on_key(

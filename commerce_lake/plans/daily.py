@@ -124,8 +124,10 @@ def rebuild_facts(
     tables = split_bronze(spark, lake.bronze("stream"), by_date=True, dates=dates)
     items = tables["order_items"]
     products = read_or_empty(spark, lake.bronze("products"), schemas.PRODUCTS)
+    # Both counts come from the file footers.
+    rows = items.count()
     prices, hot_products = plan_lookup(
-        items, gold.list_prices(products), "product_id", products.count()
+        items, rows, gold.list_prices(products), products.count(), "product_id"
     )
     built = {
         "fact_orders": gold.build_fact_orders(
@@ -134,7 +136,7 @@ def rebuild_facts(
             prices,
             returned_label=lake.returned_label,
             dates=dates,
-            hot_orders=find_hot_keys(items, "order_id"),
+            hot_orders=find_hot_keys(items, "order_id", rows=rows),
             hot_products=hot_products,
         ),
         "fact_events": gold.build_fact_events(tables["events"], dates=dates),

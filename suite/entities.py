@@ -79,11 +79,11 @@ FLAT = (
 
 
 def day_text(value: str) -> str:
-    return f"strftime({value}, '%Y-%m-%d')"
+    return f"CAST(CAST({value} AS DATE) AS VARCHAR)"
 
 
 def time_text(value: str) -> str:
-    return f"strftime({value}, '%Y-%m-%d %H:%M:%S.%f')"
+    return f"CAST({value} AS VARCHAR)"
 
 
 def with_entities(sql: str, *names: str) -> str:

@@ -16,12 +16,8 @@ SQL: dict[str, str] = {}
 
 def portable(df: DataFrame) -> DataFrame:
     """Dates and timestamps as text, so that two engines can be compared value by value."""
-    text = {}
-    for field in df.schema:
-        if isinstance(field.dataType, T.DateType):
-            text[field.name] = F.date_format(field.name, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            text[field.name] = F.date_format(field.name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    text = {f.name: F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, times)}
     return df.withColumns(text) if text else df
 
 

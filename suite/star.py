@@ -68,7 +68,7 @@ FACT_ORDERS_SQL = f"""
            i.quantity, i.item_price, p.price AS list_price,
            round(i.item_price * i.quantity, 2) AS line_total, o.total_amount,
            CAST(o.order_status = '{RETURNED}' AS INTEGER) AS is_returned,
-           '{LOADED_AT}.000000' AS gold_created_at
+           '{LOADED_AT}' AS gold_created_at
     FROM (SELECT * FROM items QUALIFY row_number() OVER (
               PARTITION BY order_item_id ORDER BY product_id, quantity, item_price) = 1) i
     JOIN shop_orders o USING (order_id) LEFT JOIN products p USING (product_id)
@@ -78,7 +78,7 @@ FACT_EVENTS_SQL = f"""
            {id_case('event_type', EVENT_TYPE_ID)} AS event_type_id,
            {id_case('event_type', EVENT_TYPE_ID)} AS funnel_step,
            {time_text('event_time')} AS event_timestamp,
-           '{LOADED_AT}.000000' AS gold_created_at
+           '{LOADED_AT}' AS gold_created_at
     FROM shop_events
     WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND product_id IS NOT NULL
 """
@@ -99,16 +99,16 @@ def dim_products_of(t: Tables) -> DataFrame:
 
 
 def fact_orders_from(t: Tables, items: DataFrame, orders: DataFrame) -> DataFrame:
-    products = t.products()
+    products, rows = t.products(), items.count()
     prices, hot_products = plan_lookup(
-        items, gold.list_prices(products), "product_id", products.count()
+        items, rows, gold.list_prices(products), products.count(), "product_id"
     )
     return gold.build_fact_orders(
         items,
         orders,
         prices,
         returned_label=RETURNED,
-        hot_orders=find_hot_keys(items, "order_id"),
+        hot_orders=find_hot_keys(items, "order_id", rows=rows),
         hot_products=hot_products,
         loaded_at=loaded_at(),
     )

@@ -205,7 +205,7 @@ def rotating_day(t: Tables) -> DataFrame:
 )
 def join_items_orders(t: Tables) -> DataFrame:
     items = t.items()
-    hot = joins.find_hot_keys(items, "order_id")
+    hot = joins.find_hot_keys(items, "order_id", rows=items.count())
     return joins.join_on_key(items, t.orders(), "order_id", hot=hot).select(
         "order_item_id", "order_id", "user_id", "order_status", "quantity"
     )
@@ -225,7 +225,7 @@ def join_items_orders(t: Tables) -> DataFrame:
 def join_left_lookup(t: Tables) -> DataFrame:
     items = t.items().select("order_item_id", "product_id")
     counts = t.reviews().groupBy("product_id").agg(F.count("*").alias("review_count"))
-    hot = joins.find_hot_keys(items, "product_id")
+    hot = joins.find_hot_keys(items, "product_id", rows=items.count())
     return joins.lookup(items, counts, "product_id", ["review_count"], hot).select(
         "order_item_id", "product_id", "review_count"
     )
@@ -255,7 +255,7 @@ def join_left_expr(t: Tables) -> DataFrame:
 def semi_items_of_day_orders(t: Tables) -> DataFrame:
     items = t.items()
     orders = envelope.day_slice(t.orders(), "event_time", ORDER_DAY)
-    hot = joins.find_hot_keys(items, "order_id")
+    hot = joins.find_hot_keys(items, "order_id", rows=items.count())
     return joins.rows_of(items, orders, "order_id", hot).select(
         "order_item_id", "order_id", "product_id"
     )
@@ -268,7 +268,7 @@ def semi_items_of_day_orders(t: Tables) -> DataFrame:
 )
 def enrich_item_event_time(t: Tables) -> DataFrame:
     items = t.items()
-    hot = joins.find_hot_keys(items, "order_id")
+    hot = joins.find_hot_keys(items, "order_id", rows=items.count())
     return joins.inherit_event_time(items, t.orders(), "order_id", hot).select(
         "order_item_id", "event_time"
     )

@@ -113,7 +113,7 @@ def test_hot_keys_are_found(spark, skewed):
     found = find_hot_keys(left, "key", min_share=0.05, fraction=1.0, min_rows=100)
     assert {h.value for h in found} == {"hot", None}
     assert all(h.parts >= 2 for h in found)
-    assert find_hot_keys(left, "key") == []
+    assert find_hot_keys(left, "key") == find_hot_keys(left, "key", rows=6000) == []
     assert find_hot_keys(left.where("false"), "key", fraction=1.0, min_rows=0) == []
 
 
@@ -121,9 +121,9 @@ def test_only_small_dimensions_are_broadcast(spark, skewed, capsys):
     left, right = skewed
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small, hot = plan_lookup(left, right, "key", 300)
+        small, hot = plan_lookup(left, 6000, right, 300, "key")
         assert hot == [] and "BroadcastHashJoin" in plan_of(lookup(left, small, "key", ["v"]), capsys)
-        large, hot = plan_lookup(left, right, "key", 10**9)
+        large, hot = plan_lookup(left, 6000, right, 10**9, "key")
         plan = plan_of(lookup(left, large, "key", ["v"], hot), capsys)
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
     finally:
