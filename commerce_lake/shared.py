@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(maxsize=1)
+def _folder_of_this_process() -> str:
+    return tempfile.mkdtemp(prefix="commerce-lake-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's `spark.checkpoint.dir`.
 
@@ -18,9 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="commerce-lake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _folder_of_this_process()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

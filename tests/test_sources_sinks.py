@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -29,16 +30,20 @@ def test_shared_folder_is_the_clusters(spark):
     assert shared.new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_cluster_sessions_must_name_a_shared_folder():
-    class Conf:
-        def get(self, key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+def bare_session(master):
+    """A session without spark.checkpoint.dir."""
+    return SimpleNamespace(conf={"spark.master": master})
 
-    class Session:
-        conf = Conf()
 
+def test_cluster_sessions_must_name_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared.shared_folder(Session())
+        shared.shared_folder(bare_session("yarn"))
+
+
+def test_local_sessions_may_go_without():
+    folder = shared.shared_folder(bare_session("local[2]"))
+    assert os.path.isdir(folder)
+    assert folder == shared.shared_folder(bare_session("local[4]"))
 
 
 # --- files
