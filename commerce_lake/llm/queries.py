@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commerce_lake.llm.ann import build_index, search_index, valid_vectors
+from commerce_lake.llm.packing import pack, token_pieces
 from commerce_lake.llm.sharding import shard_documents
-from commerce_lake.llm.tables import read_table
+from commerce_lake.llm.tables import keep, read_table
 from commerce_lake.llm.token_counts import TokenRollup
+from commerce_lake.llm.toxicity import learn, score
 from commerce_lake.llm.url_filters import judge_urls
 from commerce_lake.shared import new_folder
 
@@ -78,17 +82,54 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
     labels = read_table(spark, folder, "labels")
     rollup = TokenRollup(spark, new_folder(spark, "token_counts"))
-    rollup.apply("arrival", docs.withColumn("op", F.lit("insert")))
+    counted = keep(rollup.count(docs).drop("text"), "token_counted")
+    rollup.apply("arrival", counted.withColumn("op", F.lit("insert")), counted=True)
     toxic = labels.where("toxic = 1").select("doc_id", F.lit("delete").alias("op")).distinct()
     empty = [F.lit(None).cast("string").alias(c) for c in ("source", "lang", "text")]
     rollup.apply("toxic", toxic.select("*", *empty))
     poor = labels.where("quality = 0 AND toxic = 0").select("doc_id").distinct()
-    revised = docs.join(poor, "doc_id").withColumns({"op": F.lit("revise"), "source": F.lit("review")})
-    rollup.apply("quality", revised)
-    rollup.apply("quality", revised)
+    revised = counted.join(poor, "doc_id").withColumns({"op": F.lit("revise"), "source": F.lit("review")})
+    rollup.apply("quality", revised, counted=True)
+    rollup.apply("quality", revised, counted=True)
     return rollup.totals()
 
 
+@query()
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    queries = valid_vectors(vectors, "vec_id", "embedding").where("vec_id % 50 = 0")
+    return search_index(build_index(vectors), queries)
+
+
+def bucket(buckets: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % buckets
+
+
+TOXIC_FROM = 0.3
+
+
+@query()
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    weights = learn(docs, read_table(spark, folder, "labels"), learn_from=bucket(4) != 2)
+    return score(docs, weights).select(
+        "doc_id", F.coalesce(bucket(4) == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
+BYTE_BPE = {
+    "vocabulary": public_tokenizers.path("byte_bpe_50k.json"),
+    "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    "pattern": public_tokenizers.PATTERN,
+}
+
+
+@query()
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(token_pieces(read_table(spark, folder, "documents"), **BYTE_BPE))
+
+
 SHARDS = 24
 
 

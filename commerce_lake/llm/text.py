@@ -16,8 +16,11 @@ BLOCK_BYTES = 1 << 21
 _random = np.random.default_rng(20240607)
 _LETTER = _random.integers(0, 1 << 64, 256, dtype=np.uint64)
 _LETTER[65:91] = _LETTER[97:123]  # A-Z count as a-z
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
+#: Bytes that part words: white space; or all of ASCII but letters and digits.
+SPACE = np.zeros(256, bool)
+SPACE[[32, *range(9, 14)]] = True
+LETTERS = np.ones(256, bool)
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _BASE = int(_random.integers(0, 1 << 62)) * 8 + 3
 _STEP = _random.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers = np.ones(1, np.uint64)
@@ -70,11 +73,11 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         row = end
 
 
-def words(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(flat: np.ndarray, at: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word (A-Z lower-cased) in order, and the index of each document's first word."""
     if not len(flat):
         return np.empty(0, np.uint64), np.zeros(len(at), np.int64)
-    inside = ~_SPACE[flat]
+    inside = ~gap[flat]
     first = np.zeros(len(flat) + 1, bool)
     first[at] = True
     begins = inside.copy()

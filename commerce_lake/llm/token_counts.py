@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Tokenizer version -> what a text's tokens are, as a pattern.
 PATTERNS = {
@@ -30,7 +31,8 @@ def pattern_counts(text: Column, patterns: dict[str, str] = PATTERNS) -> Column:
 
 def vocabulary_counts(df: DataFrame, text: str, vocabulary: str, version: str) -> DataFrame:
     """Add `counts` like pattern_counts, by a tokenizer file (`tokenizers` JSON), batch by batch."""
-    out = df.schema.add("counts", "array<struct<tokenizer:string,tokens:bigint>>")
+    kind = T.ArrayType(T.StructType().add("tokenizer", "string").add("tokens", "bigint"))
+    out = T.StructType([*df.schema, T.StructField("counts", kind)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
@@ -90,9 +92,11 @@ class TokenRollup:
         keys = ["doc_id", "source", "lang", "tokenizer"]
         return self.entries().groupBy(*keys).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 OR tokens <> 0")
 
-    def apply(self, batch: str, changes: DataFrame) -> bool:
+    def apply(self, batch: str, changes: DataFrame, *, counted: bool = False) -> bool:
         """Commit `changes` (op, doc_id, source, lang, text); False if `batch` is committed already.
 
+        With `counted`, they have `counts` in place of the text.
+
         op is insert, delete or revise; other values fail. A delete needs only the doc_id. A
         delete of an unknown document changes nothing, a revision of one inserts it. Rows without
         doc_id can be inserted but not found again. Several inserts of one document add up (each
@@ -108,8 +112,9 @@ class TokenRollup:
         changes = changes.withColumn(
             "op", F.when(known, F.col("op")).otherwise(F.raise_error(F.concat(F.lit("unknown op: "), F.coalesce("op", F.lit("null")))))
         )
+        new = changes.where("op <> 'delete'").select("doc_id", "source", "lang", "counts" if counted else "text")
         added = (
-            self.count(changes.where("op <> 'delete'").select("doc_id", "source", "lang", "text"))
+            (new if counted else self.count(new))
             .select("doc_id", "source", "lang", F.explode("counts").alias("c"))
             .select("doc_id", "source", "lang", "c.tokenizer", F.lit(1).cast("long").alias("docs"), "c.tokens")
         )
