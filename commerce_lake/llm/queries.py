@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake.llm.ann import build_index, search_index, valid_vectors
+from commerce_lake.llm.ngram_join import linked_documents
 from commerce_lake.llm.packing import pack, token_pieces
 from commerce_lake.llm.sharding import shard_documents
 from commerce_lake.llm.tables import keep, read_table
@@ -94,6 +95,11 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.totals()
 
 
+@query()
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return linked_documents(read_table(spark, folder, "documents")).drop("set_id")
+
+
 @query()
 def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read_table(spark, folder, "embeddings")
