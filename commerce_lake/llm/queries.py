@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake.llm.ann import build_index, search_index, valid_vectors
+from commerce_lake.llm.decontamination import contamination
 from commerce_lake.llm.ngram_join import linked_documents
 from commerce_lake.llm.packing import pack, token_pieces
 from commerce_lake.llm.sharding import shard_documents
@@ -95,6 +96,36 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.totals()
 
 
+@query(
+    """
+    WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents),
+    b AS (SELECT item_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM benchmark),
+    bw AS (SELECT item_id, least(13, len(w)) AS l, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s
+           FROM b WHERE len(w) > 0),
+    g AS (SELECT DISTINCT item_id, l, array_to_string(w[s : s + l - 1], ' ') AS g FROM bw),
+    dw AS (SELECT doc_id, l, w, unnest(range(1, len(w) - l + 2)) AS s FROM d, (SELECT DISTINCT l FROM g)),
+    m AS (SELECT DISTINCT doc_id, item_id, s, g.l FROM
+          (SELECT doc_id, l, s, array_to_string(w[s : s + l - 1], ' ') AS t FROM dw) dg JOIN g ON g.l = dg.l AND g.g = dg.t),
+    h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + l)) AS p FROM m) GROUP BY 1),
+    i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m) GROUP BY 1)
+    SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+           coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
+    """
+)
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 @query()
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return linked_documents(read_table(spark, folder, "documents")).drop("set_id")
