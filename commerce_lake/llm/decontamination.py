@@ -157,8 +157,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     named = hits.select("doc", F.col("item_id").cast("string").alias("item")).distinct()
     named = named.groupBy("doc").agg(F.sort_array(F.collect_list("item")).alias("items"))
     found = keep(found.join(named, "doc"), "contaminated")
-    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
-    rows = docs.select(F.col(doc_id), row_key(doc_id, text).alias("doc"), size.cast("long").alias("n_words"))
+    rows = docs.select(F.col(doc_id), row_key(doc_id, text).alias("doc"), F.size(words_of(F.col(text))).cast("long").alias("n_words"))
     out = left_by_size(rows, found, "doc", 64)
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     names = F.coalesce("items", F.array().cast("array<string>"))
