@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from commerce_lake.llm.ann import build_index, search_index, valid_vectors
 from commerce_lake.llm.decontamination import contamination
+from commerce_lake.llm.katz import katz_scores
+from commerce_lake.llm.line_dedup import dedup_lines
 from commerce_lake.llm.ngram_join import linked_documents
 from commerce_lake.llm.packing import pack, token_pieces
 from commerce_lake.llm.sharding import shard_documents
@@ -98,12 +100,12 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    WITH d AS (SELECT doc_id, regexp_extract_all(
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents),
-    b AS (SELECT item_id, list_filter(regexp_split_to_array(
+            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM benchmark),
+            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
     bw AS (SELECT item_id, least(13, len(w)) AS l, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s
            FROM b WHERE len(w) > 0),
     g AS (SELECT DISTINCT item_id, l, array_to_string(w[s : s + l - 1], ' ') AS g FROM bw),
@@ -155,6 +157,12 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = dedup_lines(read_table(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
 BYTE_BPE = {
     "vocabulary": public_tokenizers.path("byte_bpe_50k.json"),
     "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -167,6 +175,11 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(token_pieces(read_table(spark, folder, "documents"), **BYTE_BPE))
 
 
+@query()
+def op9_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return katz_scores(read_table(spark, folder, "documents"), bucket(10) != 0)
+
+
 SHARDS = 24
 
 
