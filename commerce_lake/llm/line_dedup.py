@@ -20,10 +20,12 @@ MIN_FEATURES = 4
 SPAN = 127
 #: Of 128 bits, how many may differ; lines are compared if a block of 32 bits is equal.
 BITS_APART = 32
-#: Edit distance over the longer line's length, at most a tenth.
+#: Edit distance in words over the longer line's length, at most a tenth.
 TENTH = 10
-#: Longer lines (in characters) are compared by their words.
-LONGEST_EDIT = 4096
+#: Words of the longest lines that are compared by edits; beyond, by the words they have in common.
+LONGEST_EDIT = 1 << 20
+#: Pairs that one task compares.
+PAIRS = 4096
 _LANES = 0x0101010101010101
 
 
@@ -56,7 +58,8 @@ def signed_lines(docs: DataFrame, id: str, text: str, min_words: int = MIN_WORDS
     words = lines.where(F.size("words") >= min_words).select(
         "doc", "doc_id", "line_no", "line", F.posexplode("words").alias("at", "word")
     )
-    words = words.select(
+    # Short words have no vote; the first of a span stays, so that each span has a row.
+    words = words.where((F.length("word") >= MIN_LETTERS) | (F.col("at") % SPAN == 0)).select(
         "doc", "doc_id", "line_no", "line", F.expr(f"at div {SPAN}").cast("int").alias("span"),
         F.when(F.length("word") >= MIN_LETTERS, F.xxhash64("word")).alias("h1"),
     ).withColumn("h2", F.xxhash64("h1", F.lit(1)))
@@ -72,23 +75,33 @@ def signed_lines(docs: DataFrame, id: str, text: str, min_words: int = MIN_WORDS
     )
 
 
+def _coded(norm: Column) -> Column:
+    """A line with one character (of 28,000, by a hash) for each word."""
+    code = lambda w: F.lpad(F.hex(F.lit(0x4000) + F.pmod(F.xxhash64(w), F.lit(28_000))), 4, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(F.split(norm, " "), code), "")), "UTF-16BE")
+
+
 def _edit_similar(a: Column, b: Column) -> Column:
-    longer = F.greatest(F.length(a), F.length(b))
-    apart = F.lit(-1)  # what levenshtein gives beyond its limit, which must be a constant
+    """Whether two coded lines differ by insertions, deletions and changes of a tenth of their words."""
+    longer, apart = F.greatest(F.length(a), F.length(b)), F.lit(-1)
     top = LONGEST_EDIT
-    while top >= 32:
+    while top >= 16:  # levenshtein takes a constant limit, beyond which it gives -1
         apart = F.when(longer <= top, F.levenshtein(a, b, top // TENTH)).otherwise(apart)
         top //= 2
     by_edits = (apart >= 0) & (apart * TENTH <= longer)
-    x, y = F.split(a, " "), F.split(b, " ")
-    common = F.size(F.array_intersect(x, y))
-    by_words = common * TENTH >= F.size(F.array_union(x, y)) * (TENTH - 1)
-    return F.when(longer <= LONGEST_EDIT, by_edits).otherwise(by_words)
+    # Each edit takes away at most one kind of word; this is cheap, and most pairs end here.
+    x, y = F.split(a, ""), F.split(b, "")
+    near = (F.abs(F.length(a) - F.length(b)) * TENTH <= longer) & (
+        F.greatest(F.size(F.array_except(x, y)), F.size(F.array_except(y, x))) * TENTH <= longer
+    )
+    by_words = F.size(F.array_intersect(x, y)) * TENTH >= F.size(F.array_union(x, y)) * (TENTH - 1)
+    return F.when(~near, False).when(longer <= LONGEST_EDIT, by_edits).otherwise(by_words)
 
 
 def line_groups(signs: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
     """(node, component) of lines (by hash) that are linked with a line of other words."""
-    spans = signs.where(F.col("n") >= MIN_FEATURES).select("line", "span", "s1", "s2").dropDuplicates(["line", "span"])
+    spans = signs.where(F.col("n") >= MIN_FEATURES).groupBy("line", "span").agg(F.first("s1").alias("s1"), F.first("s2").alias("s2"))
+    weights = keep(signs.where("span = 0").groupBy(F.col("line").alias("node")).agg(F.count("*").alias("weight")).where("weight > 1"), "line_weights")
     half = lambda s, k: F.shiftrightunsigned(s, 32 * k).bitwiseAND(F.lit(0xFFFFFFFF))
     blocks = F.array(*[half(s, k).bitwiseOR(F.lit((2 * i + k) << 32)) for i, s in enumerate(("s1", "s2")) for k in (0, 1)])
     postings = spans.select(F.explode(blocks).alias("block"), F.col("line").alias("node"), F.struct("s1", "s2").alias("about"))
@@ -98,30 +111,30 @@ def line_groups(signs: DataFrame, docs: DataFrame, id: str, text: str) -> DataFr
 
     keyed = docs.select(row_key(id, text).alias("doc"), F.col(text).alias("text"))
 
-    def verifier(nodes: DataFrame):
+    def verify(pairs: DataFrame) -> DataFrame:
+        nodes = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "line_nodes")
         places = signs.where("span = 0").select(F.col("line").alias("node"), "doc", "line_no")
         places = semi_by_size(places, nodes, "node").groupBy("node").agg(F.min(F.struct("doc", "line_no")).alias("at"))
-        places = keep(places.select("node", "at.doc", "at.line_no"), "line_places")
-        bodies = semi_by_size(keyed, keep(places.select("doc").distinct(), "line_docs"), "doc")
+        bodies = semi_by_size(keyed, keep(places.select("at.doc").distinct(), "line_docs"), "doc")
         texts = _lines(bodies, "text", "doc").select(F.xxhash64("norm").alias("node"), "norm")
-        texts = keep(semi_by_size(texts, nodes, "node").dropDuplicates(["node"]), "line_texts")
-
-        def verify(pairs: DataFrame) -> DataFrame:
-            side = lambda x: texts.select(F.col("node").alias(x), F.col("norm").alias(f"{x}_norm"))
-            both = pairs.join(side("a"), "a").join(side("b"), "b")
-            return both.where(_edit_similar(F.col("a_norm"), F.col("b_norm"))).select("a", "b")
-
-        return verify
+        texts = semi_by_size(texts, nodes, "node").dropDuplicates(["node"])
+        texts = keep(texts.select("node", _coded(F.col("norm")).alias("coded")), "line_texts")
+        side = lambda x: texts.select(F.col("node").alias(x), F.col("coded").alias(f"{x}_coded"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        # Few bytes, but long to compare: spread by number. The part's own number in the condition
+        # keeps the optimizer from comparing before that.
+        both = both.repartition(1 + pairs.count() // PAIRS, "a", "b").withColumn("task", F.spark_partition_id())
+        return both.where((F.col("task") >= 0) & _edit_similar(F.col("a_coded"), F.col("b_coded"))).select("a", "b")
 
-    return linked_components(postings, ["block"], plausible, verifier)
+    return linked_components(postings, ["block"], weights, plausible, verify)
 
 
 def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with repeated lines taken out of the text, and the columns n_lines and n_dropped.
 
     Lines are equal if they are after lower-casing and reduction to words (64-bit hashes are
-    compared). Different lines are linked if their edit distance is at most a tenth of the longer
-    one's length (beyond LONGEST_EDIT characters: if nine tenths of their words are common) and
+    compared). Different lines are linked if their edit distance in words is at most a tenth of the
+    longer one's length (beyond LONGEST_EDIT words: if nine tenths of their words are common) and
     SimHash brings them together: an equal block of 32 of 128 bits, at most BITS_APART bits apart.
     Any two lines within three bits share a block; others may. Of each connected group one
     occurrence stays, the first by id, line number and a hash of the text. Lines of fewer than

@@ -11,6 +11,8 @@ from commerce_lake.llm.tables import forget, keep, left_by_size
 
 #: Bytes of a node with its component, for the choice of a join.
 _NODE_BYTES = 64
+#: Times that each node is compared with one other node before the rest is looked at.
+ROUNDS = 3
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -44,43 +46,73 @@ def components(edges: DataFrame) -> DataFrame:
 def linked_components(
     postings: DataFrame,
     key: list[str],
+    weights: DataFrame,
     plausible: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """(node, component) of all nodes that are linked with another.
 
     Two nodes may be linked if they share a key in `postings` (key..., node, about) and
-    `plausible(about, about)` holds; `verify` keeps those pairs (a, b) that are. Every link
-    between two nodes counts, yet not every pair is formed: first each node is compared with the
-    smallest of its key alone. What that joins needs no further look. Then the nodes left outside
-    their key's component are compared with those of other components in the key, so no link
-    between components is missed. Each pair is verified once.
+    `plausible(about, about)` holds; `verify` keeps those pairs (a, b) that are. Every link between
+    two nodes counts, yet not every pair is formed: at first each node is compared with the hub of
+    one of its keys alone, the node of the largest weight there (`weights`: node, weight), ROUNDS
+    times over among the hubs it is not joined with. What that joins needs no further look. Then
+    the nodes still outside the component of a key's hub are compared with the nodes of other
+    components in that key, so no link between components is missed. Each pair is verified once.
     """
     first = F.first(F.struct("node", "about")).over(
         Window.partitionBy(*key).orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
     )
-    star = keep(postings.withColumn("hub", first).where("hub.node <> node"), "star")
-    tried = keep(
-        star.where(plausible(F.col("hub.about"), F.col("about"))).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(),
-        "star_pairs",
+    shared = keep(postings.withColumn("hub", first).where("hub.node <> node"), "shared_keys")
+    members = shared.select(*key, "node", "about").union(shared.select(*key, "hub.node", "hub.about").distinct())
+    members = left_by_size(members, weights, "node", 16).withColumn("weight", F.coalesce("weight", F.lit(0)))
+    heaviest = F.first(F.struct("weight", "node", "about")).over(
+        Window.partitionBy(*key).orderBy(F.desc("weight"), "node").rowsBetween(Window.unboundedPreceding, 0)
     )
-    edges = keep(verify(tried), "star_links")
-    joined = keep(components(edges), "star_components")
+    star = members.withColumn("top", heaviest).where("top.node <> node")
+    star = keep(
+        star.select(
+            *key, "node", "about", F.col("top.node").alias("hub"), F.col("top.weight").alias("weight"),
+            plausible(F.col("top.about"), F.col("about")).alias("ok"),
+        ),
+        "star",
+    )
+    forget(shared)
 
-    def with_component(df: DataFrame, node: str, name: str) -> DataFrame:
+    def with_component(df: DataFrame, joined: DataFrame, node: str, name: str) -> DataFrame:
         side = joined.select(F.col("node").alias("_node"), F.col("component").alias(name))
         df = df.withColumn("_node", F.col(node))
         return left_by_size(df, side, "_node", _NODE_BYTES).withColumn(name, F.coalesce(name, node)).drop("_node")
 
-    placed = with_component(star.withColumn("hub", F.col("hub.node")), "node", "c")
-    placed = keep(with_component(placed, "hub", "hub_c").select(*key, "node", "about", "c", (F.col("c") != F.col("hub_c")).alias("stray")), "placed")
+    def ordered(hub: str, node: str) -> list[Column]:
+        return [F.least(hub, node).alias("a"), F.greatest(hub, node).alias("b")]
+
+    def best(rows: DataFrame) -> DataFrame:
+        """Each node with its heaviest plausible hub."""
+        rows = rows.where("ok").groupBy("node").agg(F.min(F.struct(-F.col("weight"), "hub")).alias("m"))
+        return keep(rows.select(*ordered("m.hub", "node")).distinct(), "round_pairs")
+
+    tried = best(star)
+    edges = keep(verify(tried), "round_links")
+    for last in range(1, ROUNDS + 1):
+        joined = keep(components(edges), "round_components")
+        placed = with_component(with_component(star, joined, "node", "c"), joined, "hub", "hub_c")
+        placed = keep(placed.withColumn("stray", F.col("c") != F.col("hub_c")).drop("hub_c"), "placed")
+        if last < ROUNDS:
+            new = placed.where("stray AND ok").select("node", "hub", "weight", "ok", *ordered("hub", "node"))
+            now = best(new.join(tried, ["a", "b"], "left_anti"))
+            forget(placed)
+            tried, edges = tried.union(now), keep(edges.union(verify(now)), "round_links")
     forget(star)
-    s = placed.where("stray").select(*key, *[F.col(x).alias(f"s_{x}") for x in ("node", "about", "c")])
+    left = placed.where("stray AND ok").select(*ordered("hub", "node"))
     open_keys = placed.groupBy(*key).agg(F.count("*").alias("n"), F.max("stray").alias("any")).where("any AND n > 1").select(*key)
-    s = keep(s.join(open_keys, key), "strays")
+    s = placed.where("stray").join(open_keys, key)
+    s = keep(s.select(*key, *[F.col(x).alias(f"s_{x}") for x in ("node", "about", "c")]), "strays")
     if not s.isEmpty():
         more = s.join(placed, key).where("c <> s_c AND (NOT stray OR s_node < node)").where(plausible(F.col("s_about"), F.col("about")))
-        more = more.select(F.least("s_node", "node").alias("a"), F.greatest("s_node", "node").alias("b")).distinct()
-        more = keep(more.join(tried, ["a", "b"], "left_anti"), "rest_pairs")
-        edges = edges.union(verify(more))
-    return components(edges)
+        left = left.union(more.select(*ordered("s_node", "node")))
+    left = keep(left.distinct().join(tried, ["a", "b"], "left_anti"), "rest_pairs")
+    forget(placed)
+    if left.isEmpty():
+        return joined
+    return components(edges.union(verify(left)))

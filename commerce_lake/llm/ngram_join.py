@@ -18,13 +18,14 @@ from commerce_lake.llm.text import shingles
 #: Similarity as a fraction, so that the test is exact: 100 * intersection >= 75 * union.
 SIMILAR, OF = 75, 100
 #: Counters of the sketch that n-grams are ordered by, and how many make a row of it.
-COUNTERS, SLICE = 1 << 21, 1 << 16
+COUNTERS, SLICE = 1 << 24, 1 << 18
+_AT = (1 << 32) - 1
 #: Parts of the hash space that the suffix filter counts.
 PARTS = 64
 
 
-def _id(grams: np.ndarray) -> bytes:
-    return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+def _id(grams: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _parts(grams: np.ndarray) -> bytes | None:
@@ -46,12 +47,12 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(sketch, (grams & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
         ids = batch.schema.field(1).type
         rest = [pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(id, pa.binary()), pa.array(parts, pa.binary()), *rest], names)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(id, pa.int64()), pa.array(parts, pa.binary()), *rest], names)
     if ids is not None:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         blobs = [squeeze(part.tobytes()) for part in sketch.reshape(-1, SLICE)]
         k = len(blobs)
-        yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, ids), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(blobs, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, ids), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(blobs, pa.binary())], names)
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +73,7 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     Two documents are linked if their sets of distinct five-word runs (white space parts words, A-Z
     count as a-z, fewer words are one run) have a Jaccard similarity of at least 0.75;
     `component_id` is the smallest id reachable by links. Whole texts count. Runs are compared by
-    64-bit hashes, sets of equal runs by a 128-bit digest.
+    64-bit hashes, sets of runs by a 64-bit digest.
 
     Documents with equal sets are one node. All n-grams are in one order, rare ones first; which are
     rare is estimated from the counts of all of them in a sketch of fixed size, so the order is the
@@ -88,7 +89,7 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     """
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.xxhash64(id, text).alias("row_key"), F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    described = keep(rows.mapInArrow(_describe, f"row_key bigint, doc_id {kind}, n int, id binary, parts binary, slice int, counts binary"), "ngram_sets")
+    described = keep(rows.mapInArrow(_describe, f"row_key bigint, doc_id {kind}, n int, id bigint, parts binary, slice int, counts binary"), "ngram_sets")
     info = described.where("slice IS NULL").drop("slice", "counts")
     slices = described.where("slice IS NOT NULL").select("slice", "counts").repartition(COUNTERS // SLICE, "slice")
     found = dict(r for r in slices.mapInArrow(_add_up, "slice int, classes binary").collect())  # COUNTERS bytes
@@ -117,9 +118,9 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
             if out:
                 yield _batch(out)
 
-    postings = docs.select(text).mapInArrow(prefixes, "gram bigint, node binary, about struct<n:int,at:int>")
+    postings = docs.select(text).mapInArrow(prefixes, "gram bigint, node bigint, about bigint")
     sets = info.where("n > 0").groupBy("id").agg(
-        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.min("parts").alias("parts")
+        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.min("parts").alias("parts"), F.count("*").alias("weight")
     )
     sets = keep(sets, "ngram_nodes")
 
@@ -127,8 +128,8 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
         """Pairs (a, b) that are similar indeed."""
         pairs = keep(_bounded(pairs, sets), "ngram_pairs")
         nodes = keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ngram_wanted")
-        keys = keep(semi_by_size(sets.select("id", "row_key"), nodes, "id", 40).select("row_key").distinct(), "ngram_rows")
-        wanted = semi_by_size(rows, keys, "row_key").select("text").mapInArrow(_sets, "id binary, grams array<bigint>")
+        keys = semi_by_size(sets.select("id", "row_key"), nodes, "id").select("row_key").distinct()
+        wanted = semi_by_size(rows, keep(keys, "ngram_rows"), "row_key").select("text").mapInArrow(_sets, "id bigint, grams array<bigint>")
         wanted = keep(wanted.dropDuplicates(["id"]), "ngram_wanted_sets")
         side = lambda x: wanted.select(F.col("id").alias(x), F.col("grams").alias(f"{x}_grams"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -137,10 +138,11 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
 
     def plausible(x: Column, y: Column) -> Column:
         # I >= 3/4 (n + m - I) is 7 I >= 3 (n + m); what follows a first common n-gram bounds I.
-        left = F.least(x["n"] - x["at"], y["n"] - y["at"])
-        return (SIMILAR + OF) * left >= SIMILAR * (x["n"] + y["n"])
+        n, m = F.shiftright(x, 32), F.shiftright(y, 32)
+        left = F.least(n - x.bitwiseAND(F.lit(_AT)), m - y.bitwiseAND(F.lit(_AT)))
+        return (SIMILAR + OF) * left >= SIMILAR * (n + m)
 
-    linked = keep(linked_components(postings, ["gram"], plausible, verify), "ngram_components")
+    linked = keep(linked_components(postings, ["gram"], sets.select(F.col("id").alias("node"), "weight"), plausible, verify), "ngram_components")
     named = sets.select(F.col("id").alias("node"), "doc_id").join(linked, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -154,11 +156,12 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
 
 
 def _batch(prefixes: list[tuple]) -> pa.RecordBatch:
+    """Postings; `about` is the size of the set and, in the lower half, the place in the prefix."""
     k = [p[3] for p in prefixes]
-    node = pa.array([p[1] for p in prefixes], pa.binary()).take(pa.array(np.repeat(np.arange(len(k)), k)))
-    n, at = np.repeat([p[2] for p in prefixes], k), np.concatenate([np.arange(i) for i in k])
-    about = pa.StructArray.from_arrays([pa.array(n, pa.int32()), pa.array(at, pa.int32())], ["n", "at"])
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[0] for p in prefixes]).view(np.int64)), node, about], ["gram", "node", "about"])
+    node = np.repeat(np.array([p[1] for p in prefixes], np.int64), k)
+    about = np.repeat(np.array([p[2] for p in prefixes], np.int64) << 32, k) | np.concatenate([np.arange(i) for i in k])
+    grams = np.concatenate([p[0] for p in prefixes]).view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(node), pa.array(about)], ["gram", "node", "about"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +174,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size > 500_000 or row == len(batch) - 1:
                 at = np.concatenate([[0], np.cumsum([len(g) for g in grams])]).astype(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(grams)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), flat], ["id", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), flat], ["id", "grams"])
                 ids, grams, size = [], [], 0
 
 
@@ -191,4 +194,4 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 ok.append(bool((SIMILAR + OF) * np.minimum(x, y).sum() >= SIMILAR * (x.sum() + y.sum())))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.select("a", "b", "a_parts", "b_parts").mapInArrow(bound, "a binary, b binary")
+    return pairs.select("a", "b", "a_parts", "b_parts").mapInArrow(bound, "a bigint, b bigint")
