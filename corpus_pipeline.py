@@ -1,11 +1,72 @@
-"""Stages that turn raw documents into packed training sequences."""
+"""From raw documents to packed training sequences, in five stages.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns what it keeps, with the columns of documents; the
+last returns the packed pieces. `run` writes each result as Parquet in the shared folder and reads
+it again, so a lost executor never costs more than one stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from commerce_lake.llm.decontamination import contamination, row_key
+from commerce_lake.llm.line_dedup import dedup_lines
+from commerce_lake.llm.ngram_join import linked_documents
+from commerce_lake.llm.packing import pack, token_pieces
+from commerce_lake.llm.queries import BYTE_BPE, TOXIC_FROM, bucket
+from commerce_lake.llm.tables import keep, left_by_size, read_table
+from commerce_lake.llm.toxicity import learn, score
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below TOXIC_FROM."""
+    weights = learn(docs, read_table(spark, sf_dir, "labels"), learn_from=bucket(4) != 2)
+    return score(docs.select(COLUMNS), weights).where(F.col("score") < TOXIC_FROM).select(COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that repeat."""
+    cleaned = dedup_lines(docs.select(COLUMNS))
+    return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0))).select(COLUMNS)
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents the one with the smallest id; repeated rows of it stay one."""
+    linked = linked_documents(docs)
+    gone = keep(linked.where("component_id < doc_id").select("doc_id"), "duplicate_ids")
+    return left_by_size(docs.select(COLUMNS), gone.distinct().withColumn("gone", F.lit(True)), "doc_id", 16).where("gone IS NULL").select(COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth are passages of benchmark items."""
+    found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    bad = keep(found.where("contaminated").select("doc").distinct(), "contaminated_rows")
+    marked = docs.select(*COLUMNS, row_key("doc_id", "text").alias("doc"))
+    return left_by_size(marked, bad.withColumn("bad", F.lit(True)), "doc", 16).where("bad IS NULL").select(COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    return pack(token_pieces(docs, **BYTE_BPE))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_join),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", packing),
+]
+
+#: A trained score, SimHash and a tokenizer have no SQL; the stages are tested by brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = keep(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return docs
