@@ -18,7 +18,7 @@ MIN_FEATURES = 4
 #: Words that share a SimHash; their votes are counted in lanes of eight bits, which must stay
 #: below 128 for the sum of the highest lane not to overflow.
 SPAN = 127
-#: Of 128 bits, how many may differ; lines are compared if a block of 32 bits is equal.
+#: Of 128 bits, how many may differ; lines are compared if one of five blocks of 24 bits is equal.
 BITS_APART = 32
 #: Edit distance in words over the longer line's length, at most a tenth.
 TENTH = 10
@@ -102,8 +102,10 @@ def line_groups(signs: DataFrame, docs: DataFrame, id: str, text: str) -> DataFr
     """(node, component) of lines (by hash) that are linked with a line of other words."""
     spans = signs.where(F.col("n") >= MIN_FEATURES).groupBy("line", "span").agg(F.first("s1").alias("s1"), F.first("s2").alias("s2"))
     weights = keep(signs.where("span = 0").groupBy(F.col("line").alias("node")).agg(F.count("*").alias("weight")).where("weight > 1"), "line_weights")
-    half = lambda s, k: F.shiftrightunsigned(s, 32 * k).bitwiseAND(F.lit(0xFFFFFFFF))
-    blocks = F.array(*[half(s, k).bitwiseOR(F.lit((2 * i + k) << 32)) for i, s in enumerate(("s1", "s2")) for k in (0, 1)])
+    part = lambda s, k: F.shiftrightunsigned(s, 24 * k).bitwiseAND(F.lit(0xFFFFFF))
+    parts = [part("s1", 0), part("s1", 1), part("s2", 0), part("s2", 1)]
+    parts.append(F.shiftleft(part("s1", 2), 8).bitwiseOR(part("s2", 2).bitwiseAND(F.lit(0xFF))))
+    blocks = F.array(*[x.bitwiseOR(F.lit(i << 32)) for i, x in enumerate(parts)])
     postings = spans.select(F.explode(blocks).alias("block"), F.col("line").alias("node"), F.struct("s1", "s2").alias("about"))
 
     def plausible(x: Column, y: Column) -> Column:
@@ -135,8 +137,9 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
     Lines are equal if they are after lower-casing and reduction to words (64-bit hashes are
     compared). Different lines are linked if their edit distance in words is at most a tenth of the
     longer one's length (beyond LONGEST_EDIT words: if nine tenths of their words are common) and
-    SimHash brings them together: an equal block of 32 of 128 bits, at most BITS_APART bits apart.
-    Any two lines within three bits share a block; others may. Of each connected group one
+    SimHash brings them together: one of five blocks of 24 of 128 bits equal, at most BITS_APART bits apart.
+    Any two lines within four bits share a block; others may: three in four of those with one word
+    of sixty changed. Of each connected group one
     occurrence stays, the first by id, line number and a hash of the text. Lines of fewer than
     `min_words` words, blank ones too, are left alone.
 

@@ -10,13 +10,15 @@ from commerce_lake.llm.tables import keep, numbered
 
 #: Cells a shard; what the driver places is at most twice as many vectors as there are cells.
 CELLS = 512
+#: Parts that a whole shard of one group would be cut into.
+CUT = 64
 
 
 def place(sizes: np.ndarray, bins: int) -> np.ndarray:
     """The bin of each vector (row of `sizes`): largest first, where the dot product with the
     residual capacity is highest; each resource is scaled to a total of 1 over all bins.
 
-    At most `bins` * CELLS * 2 vectors ever come here. Ties go to the lower bin.
+    At most a few times `bins` * CELLS vectors ever come here. Ties go to the lower bin.
     """
     total = sizes.sum(0)
     parts = sizes / np.where(total > 0, total, 1)
@@ -36,8 +38,8 @@ def shard_documents(docs: DataFrame, shards: int, *, id: str = "doc_id", text: s
     `size` is the UTF-8 bytes of the text plus 8, `tokens` its words; a null text counts as an
     empty one. Rows with equal texts form a group, which stays together as long as it is smaller
     than a cell (1/CELLS of a shard); a larger group is one vector of its own, up to half a shard.
-    Beyond that (say, a third of all rows in one group) it is cut into such vectors by a hash of
-    the id, since no shard could hold it.
+    Beyond that (say, a third of all rows in one group) no shard could hold it beside others, and
+    it is cut into vectors of a CUT-th of a shard by a hash of the id.
 
     Small groups are dealt by a hash of the text to shards * CELLS cells. Cells and large groups,
     a number that does not grow with the data, are the vectors that `place` packs. `slot` numbers
@@ -63,7 +65,7 @@ def shard_documents(docs: DataFrame, shards: int, *, id: str = "doc_id", text: s
     # A group above the mean cell in any resource: fewer than 3 * cells of them.
     large = keep(
         rows.groupBy("group_id").agg(*sums).where(share > 1.0 / cells)
-        .select("group_id", F.ceil(share * 2 * shards).cast("int").alias("cuts")),
+        .select("group_id", F.when(share * 2 * shards <= 1, 1).otherwise(F.ceil(share * CUT * shards)).cast("int").alias("cuts")),
         "shard_large",
     )
     rows = rows.join(F.broadcast(large), "group_id", "left")
@@ -72,7 +74,7 @@ def shard_documents(docs: DataFrame, shards: int, *, id: str = "doc_id", text: s
         F.when(F.col("cuts").isNull(), F.pmod("group_id", F.lit(cells)))
         .otherwise(F.xxhash64("group_id", F.when(F.col("cuts") > 1, F.pmod(F.xxhash64("_id"), "cuts")))),
     ).withColumn("vector", F.when(F.col("cuts").isNull(), F.col("vector")).otherwise(F.col("vector").bitwiseOR(F.lit(-(1 << 63)))))
-    vectors = rows.groupBy("vector").agg(*sums).orderBy("vector").toPandas()  # at most 4 * cells + 2 * shards
+    vectors = rows.groupBy("vector").agg(*sums).orderBy("vector").toPandas()  # at most 4 * cells + CUT * shards * 3
     vectors["shard"] = place(vectors[["size", "tokens", "rows"]].to_numpy(float), shards)
     plan = docs.sparkSession.createDataFrame(vectors[["vector", "shard"]].astype({"shard": "int32"}))
     placed = keep(rows.join(F.broadcast(plan), "vector").drop("vector", "cuts"), "shard_placed")

@@ -31,7 +31,7 @@ def pattern_counts(text: Column, patterns: dict[str, str] = PATTERNS) -> Column:
 
 def vocabulary_counts(df: DataFrame, text: str, vocabulary: str, version: str) -> DataFrame:
     """Add `counts` like pattern_counts, by a tokenizer file (`tokenizers` JSON), batch by batch."""
-    kind = T.ArrayType(T.StructType().add("tokenizer", "string").add("tokens", "bigint"))
+    kind = T.ArrayType(T.StructType().add("tokenizer", T.StringType()).add("tokens", T.LongType()))
     out = T.StructType([*df.schema, T.StructField("counts", kind)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -79,7 +79,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, learn_from: Column | None = Non
 
     Positives are documents labelled toxic = 1, unlabelled ones any documents; of both, only rows
     for which `learn_from` (a condition on the id) holds. The class prior is the toxic share of the
-    labelled rows among them. Each classifier takes about `positives` and `unlabelled` documents,
+    labelled rows among them, which are taken to be a fair sample. Each classifier takes about `positives` and `unlabelled` documents,
     picked by a hash of the id, whole texts; this sample is the only bounded thing here. Without
     positives or without labels all weights are 0 but the constant, which is -10.
     """
