@@ -37,6 +37,16 @@ def _latest(
     return unique.select(*columns)
 
 
+def _with_content(df: DataFrame, key: str) -> DataFrame:
+    """Add `_content`, a digest of the whole record but its ingestion time, for rows without `key`.
+
+    Such rows repeat each other only if all their columns agree, also those no plan uses.
+    """
+    whole = F.struct(*[F.col(c) for c in df.columns if c != "ingestion_time"])
+    digest = F.sha2(F.to_json(whole, {"ignoreNullFields": "false"}), 256)
+    return df.withColumn("_content", F.when(F.col(key).isNull(), digest))
+
+
 def build_dim_users(users: DataFrame) -> DataFrame:
     return _latest(users, ["user_id"], ["user_id", "name", "email", "gender", "city"])
 
@@ -64,7 +74,8 @@ def build_dim_products(
     `resent=False` states that no review occurs twice and saves the check.
     """
     if resent:
-        columns = ["review_id", "product_id", "rating"]
+        columns = ["review_id", "product_id", "rating", "_content"]
+        reviews = _with_content(reviews, "review_id")
         reviews = _latest(reviews, ["review_id"], columns, null_keys="content")
     return lookup(
         list_prices(products), product_ratings(reviews), "product_id", ["avg_rating", "review_count"]
@@ -114,9 +125,10 @@ def build_dim_event_type(events: DataFrame, strategy: str = "hash") -> DataFrame
 
 def order_lines(items: DataFrame, *, resent: bool = True) -> DataFrame:
     """Order items that have an order and a product, each once."""
-    columns = ["order_item_id", "order_id", "product_id", "quantity", "item_price"]
+    columns = ["order_item_id", "order_id", "product_id", "quantity", "item_price", "_content"]
     usable = require_not_null(items, "order_id", "product_id")
     if resent:
+        usable = _with_content(usable, "order_item_id")
         usable = _latest(usable, ["order_item_id"], columns, null_keys="content")
     return usable.select(
         "order_item_id",

@@ -34,10 +34,12 @@ def read_csv(
     """CSV with a header row; blanks around column names are removed.
 
     With a schema, columns are picked by name and cast, in one pass (nothing is inferred); values
-    that do not fit become null. A missing file is an empty table if `missing_ok`.
+    that do not fit become null. A missing file is an empty table if `missing_ok`. Several files
+    must have the same columns in the same order; one that does not makes the read fail, since
+    its values would land under the wrong names.
     """
     try:
-        df = spark.read.csv(path, header=True)
+        df = spark.read.csv(path, header=True, enforceSchema=False)
     except AnalysisException as error:
         if missing_ok and schema is not None and _no_such_path(error):
             return spark.createDataFrame([], schema)

@@ -4,11 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_module
+from suite import QUERIES
 from test_queries import FOLDER
 
-QUERIES = entry_module.queries()
-
 # Queries whose result is one row, a top-k, or a count per table.
 GLOBAL = {
     "time_range", "rotating_day", "preview_limit", "gold_summary", "surrogate_key_monotonic",

@@ -49,6 +49,13 @@ def test_local_sessions_may_go_without():
 # --- files
 
 
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, str(tmp_path), schemas.columns("a string, b string")).collect()
+
+
 def test_csv_headers_are_trimmed_and_columns_found_by_name(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text(" b ,a, extra\n1.5,7,x\nbad,seven,y\n")

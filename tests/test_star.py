@@ -129,3 +129,20 @@ def test_lookup_dimension_keys(spark):
     assert values(dim) == [(751442116, "cart"), (1617517293, "view")]
     wide = gold.build_dim_event_type(rows, "hash64")
     assert wide.where(F.col("event_type_id") < 0).isEmpty()
+
+
+def test_records_without_id_repeat_only_as_a_whole(spark):
+    reviews = spark.createDataFrame(
+        [(None, "p", 5.0, u, "x") for u in ("u1", "u2", "u3", "u3")] + [(None, "p", 1.0, "u4", "x")],
+        "review_id string, product_id string, rating double, user_id string, ingestion_time string",
+    )
+    products = spark.createDataFrame(
+        [("p", "n", "c", 1.0, "b")],
+        "product_id string, product_name string, category string, price double, brand string",
+    )
+    assert gold.build_dim_products(products, reviews).first()["avg_rating"] == 4.0
+    items = spark.createDataFrame(
+        [(None, "o", "p", 1, 2.0, t) for t in ("t1", "t2", "t2")],
+        "order_item_id string, order_id string, product_id string, quantity int, item_price double, event_time string",
+    )
+    assert gold.order_lines(items).count() == 2
