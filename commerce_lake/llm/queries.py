@@ -61,7 +61,7 @@ RULES = [
     """
 )
 def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "host string, path string, action string")
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, RULES))} AS r (host, path, action)")
     pages = read_table(spark, folder, "pages").select("page_id", "url")
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
