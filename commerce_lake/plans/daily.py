@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake import schemas
+from commerce_lake.functions.cleaning import parse_date
 from commerce_lake.operators.joins import find_hot_keys, plan_lookup
-from commerce_lake.operators.merge import merge_by_key
+from commerce_lake.operators.merge import merge_by_key, union_distinct
 from commerce_lake.operators.quality import table_summary
 from commerce_lake.plans import gold
 from commerce_lake.plans.bronze import ingest_static_bronze
-from commerce_lake.sinks.files import write_parquet, write_partitioned
-from commerce_lake.sinks.publish import Fact, publish_all
+from commerce_lake.sinks.files import drop_partitions, write_parquet, write_partitioned
+from commerce_lake.sinks.publish import Fact, publish_all, touched_dates
 from commerce_lake.sinks.versions import create_database, write_version
 from commerce_lake.sources.files import read_or_empty, split_bronze
 from commerce_lake.sources.tables import table_exists
@@ -105,8 +106,10 @@ def land_stream(spark: SparkSession, lake: Lake) -> None:
     )
 
     def rebuild(dates: Sequence[dt.date] | None, batch_id: int) -> None:
-        rebuild_facts(spark, lake, dates)
-        note = spark.createDataFrame([(batch_id, d) for d in dates or [None]], _TOUCHED)
+        affected = rebuild_facts(spark, lake, dates)
+        if affected is not None and not affected:
+            return
+        note = spark.createDataFrame([(batch_id, d) for d in affected or [None]], _TOUCHED)
         note.coalesce(1).write.mode("append").parquet(lake.state("touched"))
 
     start_rebuild(
@@ -114,18 +117,66 @@ def land_stream(spark: SparkSession, lake: Lake) -> None:
     ).awaitTermination()
 
 
+def _with_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    return rows.join(ids.select(key).distinct(), key, "left_semi")
+
+
+def affected_dates(
+    spark: SparkSession, lake: Lake, dates: Sequence[dt.date | None]
+) -> list[dt.date] | None:
+    """Days whose facts may change by records of `dates`, those included; None: too many to list.
+
+    An item belongs to its order's day, whatever its own time, and any record may be sent again
+    under another day. So these are all days that the orders and events concerned ever had, also
+    the orders an item was sent with before.
+    """
+    recent = split_bronze(spark, lake.bronze("stream"), by_date=True, dates=dates)
+    ever = split_bronze(spark, lake.bronze("stream"), by_date=True)
+    items = _with_ids(ever["order_items"], recent["order_items"], "order_item_id")
+    sources = (items, recent["order_items"], recent["orders"])
+    ids = union_distinct([t.select("order_id") for t in sources])
+    orders = _with_ids(ever["orders"], ids, "order_id")
+    events = _with_ids(ever["events"], recent["events"], "event_id")
+    days = gold.event_days(orders, events, *recent.values())
+    return touched_dates(days.where("day IS NOT NULL"), "day")
+
+
+def _records_of(
+    tables: Mapping[str, DataFrame], dates: Sequence[dt.date]
+) -> dict[str, DataFrame]:
+    """All records, of whatever day, that the facts of `dates` are made of."""
+    on_dates = {
+        n: tables[n].where(parse_date("event_time").isin(list(dates))) for n in ("orders", "events")
+    }
+    orders = _with_ids(tables["orders"], on_dates["orders"], "order_id")
+    items = _with_ids(tables["order_items"], orders, "order_id")
+    same = _with_ids(tables["order_items"], items, "order_item_id")
+    return {
+        "orders": orders,
+        "order_items": same.unionByName(items.where("order_item_id IS NULL")),
+        "events": _with_ids(tables["events"], on_dates["events"], "event_id"),
+    }
+
+
 def rebuild_facts(
-    spark: SparkSession, lake: Lake, dates: Sequence[dt.date] | None = None
-) -> None:
-    """Rebuild the fact partitions of `dates` (all days by default) from Bronze.
+    spark: SparkSession, lake: Lake, dates: Sequence[dt.date | None] | None = None
+) -> list[dt.date] | None:
+    """Rebuild the fact partitions that records of `dates` affect (all days by default).
 
-    An order item is stored under the day of its order, so one day of Bronze is complete.
+    The result is that of a full build: each of these days gets all its facts, and a day that is
+    left without any loses its partition. Returns the days (None: all).
     """
-    tables = split_bronze(spark, lake.bronze("stream"), by_date=True, dates=dates)
+    tables = split_bronze(spark, lake.bronze("stream"), by_date=True)
+    rows = tables["order_items"].count()  # from the file footers, as that of products
+    if dates is not None:
+        dates = affected_dates(spark, lake, dates)
+        if dates is not None:
+            if not dates:
+                return []
+            tables = _records_of(tables, dates)
     items = tables["order_items"]
+    started = F.lit(dt.datetime.now())
     products = read_or_empty(spark, lake.bronze("products"), schemas.PRODUCTS)
-    # Both counts come from the file footers.
-    rows = items.count()
     prices, hot_products = plan_lookup(
         items, rows, gold.list_prices(products), products.count(), "product_id"
     )
@@ -138,13 +189,21 @@ def rebuild_facts(
             dates=dates,
             hot_orders=find_hot_keys(items, "order_id", rows=rows),
             hot_products=hot_products,
+            loaded_at=started,
         ),
-        "fact_events": gold.build_fact_events(tables["events"], dates=dates),
+        "fact_events": gold.build_fact_events(tables["events"], dates=dates, loaded_at=started),
     }
     for name, df in built.items():
         day = FACTS[name].date_column
         # Records without a readable time stay in Bronze (see gold.undated).
-        write_partitioned(df.where(F.col(day).isNotNull()), lake.gold(name), [day])
+        replace = "static" if dates is None else "dynamic"
+        write_partitioned(df.where(F.col(day).isNotNull()), lake.gold(name), [day], replace=replace)
+        if dates is not None:
+            kept = read_or_empty(spark, lake.gold(name), CONTRACTS[name])
+            old = kept.where(F.col(day).isin(list(dates)) & (F.col("gold_created_at") < started))
+            emptied = [r[0] for r in old.select(day).distinct().collect()]  # of listed days
+            drop_partitions(spark, lake.gold(name), day, emptied)
+    return dates
 
 
 # --- what a run still has to pass on
@@ -228,8 +287,9 @@ def run_daily(spark: SparkSession, lake: Lake) -> dict[str, int | None]:
     """One run over everything that has arrived since the last one; any failure stops it.
 
     Starting again after a failure continues where it stopped, and a run without new files
-    changes no fact. Work grows with the days touched, not with the age of the lake, except for
-    product ratings, which need all reviews.
+    changes no fact. Facts are built and written for the days affected only; ids are looked up in
+    all of Bronze, since a record may come again under any day, and product ratings need all
+    reviews.
     """
     create_database(spark, lake.gold_database, lake.gold("tables"))
     create_database(spark, lake.warehouse_database, f"{lake.root}/warehouse")

@@ -231,11 +231,11 @@ def build_fact_events(
     of the event type in that list, 0 for others.
     """
     rows = require_not_null(events, "event_id", "user_id", "product_id")
-    if dates is not None:
-        rows = rows.where(parse_date("event_time").isin(list(dates)))
     if resent:
         columns = ["event_id", "user_id", "product_id", "event_type", "event_time"]
         rows = _latest(rows, ["event_id"], columns)
+    if dates is not None:  # last, as an event may have been sent again under another day
+        rows = rows.where(parse_date("event_time").isin(list(dates)))
     if event_types is None:
         rows = rows.withColumn("event_type_id", hash_key("event_type", strategy))
     else:

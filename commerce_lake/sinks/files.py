@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -56,6 +56,14 @@ def write_partitioned(
     writer.parquet(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
+    """Delete the folders of these values of the partition column."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for value in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def write_sorted(df: DataFrame, path: str, *order: str) -> None:
     """Replace the table at `path`, its files in global order."""
     df.orderBy(*order).write.mode("overwrite").parquet(path)

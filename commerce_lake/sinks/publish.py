@@ -20,11 +20,12 @@ MOST_DATES = 5_000
 
 @dataclass(frozen=True)
 class Fact:
-    """How a fact table is published. Its rows keep their day, so only days at hand are read."""
+    """How a fact table is published; `key_implies_date` states that no key ever changes its day."""
 
     name: str
     key: str
     date_column: str
+    key_implies_date: bool = False
 
 
 def table_name(database: str, name: str) -> str:
@@ -130,6 +131,10 @@ def publish_all(
         if dates is not None and table_exists(df.sparkSession, table):
             df = df.where(F.col(fact.date_column).isin(list(dates)))
         done[fact.name] = append_fact(
-            df, table, fact.key, date_column=fact.date_column, key_implies_date=True
+            df,
+            table,
+            fact.key,
+            date_column=fact.date_column,
+            key_implies_date=fact.key_implies_date,
         )
     return done

@@ -122,7 +122,7 @@ def read_bronze(
 ) -> DataFrame:
     """Bronze rows, without rejected ones; only the partitions asked for are read.
 
-    `dates` needs a Bronze table written with `by_date`.
+    `dates` needs a Bronze table written with `by_date`; None among them stands for undated rows.
     """
     df = spark.read.schema(bronze_schema(by_date)).parquet(path)
     if stream_type is not None:
@@ -132,7 +132,8 @@ def read_bronze(
     if dates is not None:
         if not by_date:
             raise ValueError("dates needs a Bronze table partitioned by date")
-        df = df.where(F.col(EVENT_DATE).isin(list(dates)))
+        wanted = F.col(EVENT_DATE).isin([d for d in dates if d is not None])
+        df = df.where(wanted | F.col(EVENT_DATE).isNull() if None in dates else wanted)
     return df.select(*schemas.BRONZE_STREAM.names)
 
 

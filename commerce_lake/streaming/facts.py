@@ -42,7 +42,8 @@ def start_rebuild(
 ) -> StreamingQuery:
     """Land each micro-batch in Bronze (by day), then rebuild the days it touched.
 
-    `rebuild` gets the touched days (None: too many to list, rebuild all) and the batch number.
+    `rebuild` gets the touched days (with a null for records without a readable time; no list:
+    too many days, rebuild all) and the batch number.
     It must read *all* Bronze rows of these days, so that a late row never replaces a full day by
     a partial one.
     A replayed micro-batch lands its rows again; the builders drop such repeats.
@@ -55,8 +56,7 @@ def start_rebuild(
             write_partitioned(
                 rows, bronze, bronze_partitions(True), replace="append", allow_null=True
             )
-            dated = rows.where((F.col("stream_type") != REJECTED) & F.col(EVENT_DATE).isNotNull())
-            dates = touched_dates(dated, EVENT_DATE)
+            dates = touched_dates(rows.where(F.col("stream_type") != REJECTED), EVENT_DATE)
         finally:
             rows.unpersist()
         if dates is None or dates:

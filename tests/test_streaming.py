@@ -151,6 +151,25 @@ def test_late_and_resent_records(spark, lake):
     assert published(spark, lake, "fact_orders", "order_item_id") == [("i1",), ("i2",), ("i3",), ("i4",)]
 
 
+def test_moved_records_and_items_of_other_days_equal_a_full_build(spark, lake):
+    daily.run_daily(spark, lake)
+    write_array(
+        lake.stream_landing,
+        "b.json",
+        [item("i5", "o1", DAY2), item("i6", "o1", "junk"), event("e1", DAY2), order("o2", DAY1)],
+    )
+    daily.run_daily(spark, lake)
+    write_array(lake.stream_landing, "c.json", [event("e9", DAY1)])
+    daily.run_daily(spark, lake)
+    built = contents(spark, lake)
+    daily.rebuild_facts(spark, lake)
+    full = contents(spark, lake)
+    assert (built["fact_orders"], built["fact_events"]) == (full["fact_orders"], full["fact_events"])
+    ids = published(spark, lake, "fact_orders", "order_item_id")
+    assert ids == [(f"i{k}",) for k in (1, 2, 3, 5, 6)]
+    assert published(spark, lake, "fact_events", "event_id") == [("e1",), ("e2",), ("e9",)]
+
+
 def test_only_touched_days_are_rewritten(spark, lake):
     daily.run_daily(spark, lake)
     old = set(glob.glob(f"{lake.gold('fact_events')}/*/*.parquet"))
