@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commerce_lake.llm.decontamination import BETWEEN_WORDS, row_key
-from commerce_lake.llm.linking import linked_components
+from commerce_lake.llm.linking import linked_components, sketch_apart
 from commerce_lake.llm.tables import keep, left_by_size, semi_by_size
 
 #: Shorter lines are left alone: headings, list marks and the like say too little to be copies.
@@ -26,6 +26,8 @@ TENTH = 10
 LONGEST_EDIT = 1 << 20
 #: Pairs that one task compares.
 PAIRS = 4096
+#: Bits of the sketch that tells lines apart before they are compared word by word.
+SKETCH = 2048
 _LANES = 0x0101010101010101
 
 
@@ -75,20 +77,48 @@ def signed_lines(docs: DataFrame, id: str, text: str, min_words: int = MIN_WORDS
     )
 
 
+def _code(word: Column) -> Column:
+    """One of 28,000 numbers for each word."""
+    return F.pmod(F.xxhash64(word), F.lit(28_000))
+
+
+def _sketched(texts: DataFrame) -> DataFrame:
+    """(node, sketch) of lines (node, norm): number of words, and sketch of them.
+
+    The second and third time that a line has a word are items of their own.
+    """
+    codes = texts.select("node", F.explode(F.split("norm", " ")).alias("word")).select("node", _code(F.col("word")).alias("code"))
+    times = codes.groupBy("node", "code").agg(F.count("*").cast("int").alias("times"))
+    items = times.select("node", "code", F.explode(F.sequence(F.lit(1), "times")).alias("time"))
+    items = items.select("node", F.pmod(F.xxhash64("code", "time"), F.lit(SKETCH)).alias("item"))
+    items = items.withColumn("bit", F.expr("shiftleft(1L, cast(item % 64 as int))"))
+    parts = [F.coalesce(F.bit_xor(F.when(F.expr("item div 64") == k, F.col("bit"))), F.lit(0).cast("long")).alias(f"p{k}") for k in range(SKETCH // 64)]
+    counted = items.groupBy("node").agg(F.count("*").alias("words"), *parts)
+    return counted.select("node", F.struct(*[c for c in counted.columns if c != "node"]).alias("sketch"))
+
+
+def _close(x: Column, y: Column) -> Column:
+    """False where two sketches show that more than a tenth of the words must be edited."""
+    longer = F.greatest(x["words"], y["words"])
+    few = (F.abs(x["words"] - y["words"]) * TENTH <= longer) & (sketch_apart(x, y, SKETCH) * TENTH <= 2 * longer)
+    return few | (longer > LONGEST_EDIT)
+
+
 def _coded(norm: Column) -> Column:
     """A line with one character (of 28,000, by a hash) for each word."""
-    code = lambda w: F.lpad(F.hex(F.lit(0x4000) + F.pmod(F.xxhash64(w), F.lit(28_000))), 4, "0")
+    code = lambda w: F.lpad(F.hex(F.lit(0x4000) + _code(w)), 4, "0")
     return F.decode(F.unhex(F.array_join(F.transform(F.split(norm, " "), code), "")), "UTF-16BE")
 
 
 def _edit_similar(a: Column, b: Column) -> Column:
     """Whether two coded lines differ by insertions, deletions and changes of a tenth of their words."""
-    longer, apart = F.greatest(F.length(a), F.length(b)), F.lit(-1)
+    longer, apart = F.greatest(F.length(a), F.length(b)), F.lit(1 << 31)
     top = LONGEST_EDIT
-    while top >= 16:  # levenshtein takes a constant limit, beyond which it gives -1
-        apart = F.when(longer <= top, F.levenshtein(a, b, top // TENTH)).otherwise(apart)
+    while top >= 16:  # levenshtein takes a constant limit, beyond which it gives -1, here made large
+        edits = F.levenshtein(a, b, top // TENTH).cast("long").bitwiseAND(F.lit((1 << 31) - 1).cast("long"))
+        apart = F.when(longer <= top, edits).otherwise(apart)
         top //= 2
-    by_edits = (apart >= 0) & (apart * TENTH <= longer)
+    by_edits = apart * TENTH <= longer
     # Each edit takes away at most one kind of word; this is cheap, and most pairs end here.
     x, y = F.split(a, ""), F.split(b, "")
     near = (F.abs(F.length(a) - F.length(b)) * TENTH <= longer) & (
@@ -113,22 +143,29 @@ def line_groups(signs: DataFrame, docs: DataFrame, id: str, text: str) -> DataFr
 
     keyed = docs.select(row_key(id, text).alias("doc"), F.col(text).alias("text"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        nodes = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "line_nodes")
+    def texts_of(nodes: DataFrame) -> DataFrame:
         places = signs.where("span = 0").select(F.col("line").alias("node"), "doc", "line_no")
         places = semi_by_size(places, nodes, "node").groupBy("node").agg(F.min(F.struct("doc", "line_no")).alias("at"))
         bodies = semi_by_size(keyed, keep(places.select("at.doc").distinct(), "line_docs"), "doc")
         texts = _lines(bodies, "text", "doc").select(F.xxhash64("norm").alias("node"), "norm")
-        texts = semi_by_size(texts, nodes, "node").dropDuplicates(["node"])
-        texts = keep(texts.select("node", _coded(F.col("norm")).alias("coded")), "line_texts")
-        side = lambda x: texts.select(F.col("node").alias(x), F.col("coded").alias(f"{x}_coded"))
+        return semi_by_size(texts, nodes, "node").dropDuplicates(["node"])
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        nodes = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "line_nodes")
+        texts = keep(texts_of(nodes), "line_texts")
+        near = keep(_sketched(texts), "line_sketches")
+        for x in ("a", "b"):
+            pairs = left_by_size(pairs, near.select(F.col("node").alias(x), F.col("sketch").alias(f"{x}_sketch")), x, 300)
+        pairs = keep(pairs.where(_close(F.col("a_sketch"), F.col("b_sketch"))).select("a", "b"), "close_pairs")
+        coded = texts.select("node", _coded(F.col("norm")).alias("coded"))
+        side = lambda x: coded.select(F.col("node").alias(x), F.col("coded").alias(f"{x}_coded"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         # Few bytes, but long to compare: spread by number. The part's own number in the condition
         # keeps the optimizer from comparing before that.
         both = both.repartition(1 + pairs.count() // PAIRS, "a", "b").withColumn("task", F.spark_partition_id())
         return both.where((F.col("task") >= 0) & _edit_similar(F.col("a_coded"), F.col("b_coded"))).select("a", "b")
 
-    return linked_components(postings, ["block"], weights, plausible, verify)
+    return linked_components(postings, ["block"], weights, plausible, verify, lambda nodes: _sketched(texts_of(nodes)), _close)
 
 
 def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

@@ -11,6 +11,8 @@ from commerce_lake.llm.tables import forget, keep, left_by_size
 
 #: Bytes of a node with its component, for the choice of a join.
 _NODE_BYTES = 64
+#: Bytes of a node with its sketch.
+_SKETCH_BYTES = 300
 #: Times that each node is compared with one other node before the rest is looked at.
 ROUNDS = 3
 
@@ -43,12 +45,25 @@ def components(edges: DataFrame) -> DataFrame:
         mark = found
 
 
+def sketch_apart(x: Column, y: Column, bits: int) -> Column:
+    """In how many of `bits` bits two sketches differ (structs with p0, p1, ... of 64 bits).
+
+    A sketch has a bit for each part of the space of hashes: whether an odd number of a node's
+    items lie there. Adding or removing an item turns one bit, so the sketches of two nodes differ
+    in at most as many bits as items have to be added and removed to make one into the other.
+    """
+    apart = [F.bit_count(x[f"p{k}"].bitwiseXOR(y[f"p{k}"])) for k in range(bits // 64)]
+    return sum(apart[1:], apart[0])
+
+
 def linked_components(
     postings: DataFrame,
     key: list[str],
     weights: DataFrame,
     plausible: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame],
+    sketches: Callable[[DataFrame], DataFrame],
+    close: Callable[[Column, Column], Column],
 ) -> DataFrame:
     """(node, component) of all nodes that are linked with another.
 
@@ -58,7 +73,10 @@ def linked_components(
     one of its keys alone, the node of the largest weight there (`weights`: node, weight), ROUNDS
     times over among the hubs it is not joined with. What that joins needs no further look. Then
     the nodes still outside the component of a key's hub are compared with the nodes of other
-    components in that key, so no link between components is missed. Each pair is verified once.
+    components in that key, so no link between components is missed. These are as many pairs as
+    there are, in groups that do not hang together; hence `sketches` adds a `sketch` to nodes
+    (node), and where two of them are not `close`, the nodes are known not to be linked and no pair
+    is formed. Each pair is verified once.
     """
     first = F.first(F.struct("node", "about")).over(
         Window.partitionBy(*key).orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
@@ -106,10 +124,13 @@ def linked_components(
     forget(star)
     left = placed.where("stray AND ok").select(*ordered("hub", "node"))
     open_keys = placed.groupBy(*key).agg(F.count("*").alias("n"), F.max("stray").alias("any")).where("any AND n > 1").select(*key)
-    s = placed.where("stray").join(open_keys, key)
-    s = keep(s.select(*key, *[F.col(x).alias(f"s_{x}") for x in ("node", "about", "c")]), "strays")
-    if not s.isEmpty():
-        more = s.join(placed, key).where("c <> s_c AND (NOT stray OR s_node < node)").where(plausible(F.col("s_about"), F.col("about")))
+    rest = keep(placed.join(open_keys, key).select(*key, "node", "about", "c", "stray"), "open_members")
+    if not rest.isEmpty():
+        near = keep(sketches(keep(rest.select("node").distinct(), "open_nodes")), "sketches")
+        rest = keep(left_by_size(rest, near, "node", _SKETCH_BYTES), "sketched_members")
+        s = rest.where("stray").select(*key, *[F.col(x).alias(f"s_{x}") for x in ("node", "about", "c", "sketch")])
+        more = s.join(rest, key).where("c <> s_c AND (NOT stray OR s_node < node)")
+        more = more.where(plausible(F.col("s_about"), F.col("about")) & close(F.col("s_sketch"), F.col("sketch")))
         left = left.union(more.select(*ordered("s_node", "node")))
     left = keep(left.distinct().join(tried, ["a", "b"], "left_anti"), "rest_pairs")
     forget(placed)

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commerce_lake.llm.linking import linked_components
+from commerce_lake.llm.linking import linked_components, sketch_apart
 from commerce_lake.llm.tables import keep, left_by_size, semi_by_size
 from commerce_lake.llm.text import shingles
 
@@ -22,6 +22,8 @@ COUNTERS, SLICE = 1 << 24, 1 << 18
 _AT = (1 << 32) - 1
 #: Parts of the hash space that the suffix filter counts.
 PARTS = 64
+#: Bits of the sketch of a set, which tells sets apart before they are compared.
+SKETCH = 1024
 
 
 def _id(grams: np.ndarray) -> int:
@@ -33,26 +35,33 @@ def _parts(grams: np.ndarray) -> bytes | None:
     return counts.astype(np.uint16).tobytes() if counts.max(initial=0) < 1 << 16 else None
 
 
+def _sketch(grams: np.ndarray) -> np.ndarray:
+    odd = np.bincount((grams & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row a document, and at the end the task's part of the sketch."""
-    names = ["row_key", "doc_id", "n", "id", "parts", "slice", "counts"]
+    marks = [f"p{k}" for k in range(SKETCH // 64)]
+    names = ["row_key", "doc_id", "n", "id", "parts", *marks, "slice", "counts"]
     sketch = np.zeros(COUNTERS, np.uint32)
     ids = None
     for batch in batches:
-        n, id, parts = [], [], []
-        for _, grams in shingles(batch.column(2)):
+        n, id, parts, odd = [], [], [], np.zeros((len(batch), len(marks)), np.int64)
+        for row, grams in shingles(batch.column(2)):
             n.append(len(grams))
+            odd[row] = _sketch(grams)
             id.append(_id(grams) if len(grams) else None)
             parts.append(_parts(grams))
             np.add.at(sketch, (grams & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
         ids = batch.schema.field(1).type
         rest = [pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(id, pa.int64()), pa.array(parts, pa.binary()), *rest], names)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(id, pa.int64()), pa.array(parts, pa.binary()), *[pa.array(x) for x in odd.T.copy()], *rest], names)
     if ids is not None:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         blobs = [squeeze(part.tobytes()) for part in sketch.reshape(-1, SLICE)]
         k = len(blobs)
-        yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, ids), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(blobs, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, ids), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), *[pa.nulls(k, pa.int64()) for _ in marks], pa.array(range(k), pa.int32()), pa.array(blobs, pa.binary())], names)
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +98,8 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     """
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.xxhash64(id, text).alias("row_key"), F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    described = keep(rows.mapInArrow(_describe, f"row_key bigint, doc_id {kind}, n int, id bigint, parts binary, slice int, counts binary"), "ngram_sets")
+    marks = ", ".join(f"p{k} bigint" for k in range(SKETCH // 64))
+    described = keep(rows.mapInArrow(_describe, f"row_key bigint, doc_id {kind}, n int, id bigint, parts binary, {marks}, slice int, counts binary"), "ngram_sets")
     info = described.where("slice IS NULL").drop("slice", "counts")
     slices = described.where("slice IS NOT NULL").select("slice", "counts").repartition(COUNTERS // SLICE, "slice")
     found = dict(r for r in slices.mapInArrow(_add_up, "slice int, classes binary").collect())  # COUNTERS bytes
@@ -120,7 +130,8 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
 
     postings = docs.select(text).mapInArrow(prefixes, "gram bigint, node bigint, about bigint")
     sets = info.where("n > 0").groupBy("id").agg(
-        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.min("parts").alias("parts"), F.count("*").alias("weight")
+        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.min("parts").alias("parts"), F.count("*").alias("weight"),
+        F.first("n").alias("n"), *[F.first(f"p{k}").alias(f"p{k}") for k in range(SKETCH // 64)],
     )
     sets = keep(sets, "ngram_nodes")
 
@@ -142,7 +153,15 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
         left = F.least(n - x.bitwiseAND(F.lit(_AT)), m - y.bitwiseAND(F.lit(_AT)))
         return (SIMILAR + OF) * left >= SIMILAR * (n + m)
 
-    linked = keep(linked_components(postings, ["gram"], sets.select(F.col("id").alias("node"), "weight"), plausible, verify), "ngram_components")
+    def close(x: Column, y: Column) -> Column:
+        # Of n + m n-grams at most a seventh (at 0.75) are in one of the sets alone.
+        return (SIMILAR + OF) * sketch_apart(x, y, SKETCH) <= (OF - SIMILAR) * (x["n"] + y["n"])
+
+    def sketches(nodes: DataFrame) -> DataFrame:
+        found = sets.select(F.col("id").alias("node"), F.struct("n", *[f"p{k}" for k in range(SKETCH // 64)]).alias("sketch"))
+        return semi_by_size(found, nodes, "node")
+
+    linked = keep(linked_components(postings, ["gram"], sets.select(F.col("id").alias("node"), "weight"), plausible, verify, sketches, close), "ngram_components")
     named = sets.select(F.col("id").alias("node"), "doc_id").join(linked, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
