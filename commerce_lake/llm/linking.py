@@ -26,8 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
     do no harm; no edges give no rows.
     """
     now = keep(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    mark = None
-    while True:
+    while not _flat(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -35,14 +34,18 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = keep(small.union(down.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "small_star")
-        found = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         forget(now)
         forget(large)
         now = after
-        if found == mark:
-            nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-            return nodes.union(now.select(F.col("b"), F.col("b")).distinct())
-        mark = found
+    nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return nodes.union(now.select(F.col("b"), F.col("b")).distinct())
+
+
+def _flat(edges: DataFrame) -> bool:
+    """Whether each larger end of `edges` has one edge and is the smaller end of none."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1))).groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 OR up > 0 AND down > 0").agg(F.count("*")).first()[0] == 0
 
 
 def sketch_apart(x: Column, y: Column, bits: int) -> Column:
@@ -110,8 +113,13 @@ def linked_components(
         rows = rows.where("ok").groupBy("node").agg(F.min(F.struct(-F.col("weight"), "hub")).alias("m"))
         return keep(rows.select(*ordered("m.hub", "node")).distinct(), "round_pairs")
 
+    def with_links(joined: DataFrame, links: DataFrame) -> DataFrame:
+        """Edges that join what is joined already and what `links` join."""
+        known = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return known.union(links)
+
     tried = best(star)
-    edges = keep(verify(tried), "round_links")
+    edges = verify(tried)
     for last in range(1, ROUNDS + 1):
         joined = keep(components(edges), "round_components")
         placed = with_component(with_component(star, joined, "node", "c"), joined, "hub", "hub_c")
@@ -120,7 +128,7 @@ def linked_components(
             new = placed.where("stray AND ok").select("node", "hub", "weight", "ok", *ordered("hub", "node"))
             now = best(new.join(tried, ["a", "b"], "left_anti"))
             forget(placed)
-            tried, edges = tried.union(now), keep(edges.union(verify(now)), "round_links")
+            tried, edges = tried.union(now), with_links(joined, verify(now))
     forget(star)
     left = placed.where("stray AND ok").select(*ordered("hub", "node"))
     open_keys = placed.groupBy(*key).agg(F.count("*").alias("n"), F.max("stray").alias("any")).where("any AND n > 1").select(*key)
@@ -136,4 +144,4 @@ def linked_components(
     forget(placed)
     if left.isEmpty():
         return joined
-    return components(edges.union(verify(left)))
+    return components(with_links(joined, verify(left)))
