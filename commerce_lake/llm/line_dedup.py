@@ -11,15 +11,10 @@ from commerce_lake.llm.tables import keep, left_by_size, semi_by_size
 
 #: Shorter lines are left alone: headings, list marks and the like say too little to be copies.
 MIN_WORDS = 5
-#: Words of fewer letters are in every line of a language and give no hint.
-MIN_LETTERS = 4
-#: Lines with fewer such words have exact copies only.
-MIN_FEATURES = 4
-#: Words that share a SimHash; their votes are counted in lanes of eight bits, which must stay
-#: below 128 for the sum of the highest lane not to overflow.
-SPAN = 127
-#: Of 128 bits, how many may differ; lines are compared if one of five blocks of 24 bits is equal.
-BITS_APART = 32
+#: Words in a row that make a gram; lines are compared if they share one of their first grams.
+GRAM = 3
+#: Words of the shortest line that an edit of a tenth can make into another (one of ten words).
+LEAST_EDITED = 9
 #: Edit distance in words over the longer line's length, at most a tenth.
 TENTH = 10
 #: Words of the longest lines that are compared by edits; beyond, by the words they have in common.
@@ -28,7 +23,6 @@ LONGEST_EDIT = 1 << 20
 PAIRS = 4096
 #: Bits of the sketch that tells lines apart before they are compared word by word.
 SKETCH = 2048
-_LANES = 0x0101010101010101
 
 
 def normalised(line: Column) -> Column:
@@ -41,40 +35,29 @@ def _lines(docs: DataFrame, text: str, *columns) -> DataFrame:
     return docs.select(*columns, F.posexplode(F.split(text, "\n")).alias("line_no", "norm")).withColumn("norm", normalised(F.col("norm")))
 
 
-def _majority(lanes: list[str]) -> Column:
-    """64 bits from 8 columns of 8 lanes: a bit is set where over half of the n words have it."""
-    half = F.lit(63) - F.shiftright("n", 1)
-    bits = None
-    for k, lane in enumerate(lanes):
-        votes = (F.col(lane) + half * F.lit(_LANES)).bitwiseAND(F.lit(64 * _LANES))
-        bit = F.shiftleft(F.shiftrightunsigned(votes, 6), k)
-        bits = bit if bits is None else bits.bitwiseOR(bit)
-    return bits
+def placed_lines(docs: DataFrame, id: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, doc_id, line_no, line): each line's place and hash."""
+    lines = _lines(docs, text, row_key(id, text).alias("doc"), F.col(id).alias("doc_id"))
+    return lines.where(F.size(F.split("norm", " ")) >= min_words).select("doc", "doc_id", "line_no", F.xxhash64("norm").alias("line"))
 
 
-def signed_lines(docs: DataFrame, id: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, doc_id, line_no, span, line, n, s1, s2): each line's hash and, for each SPAN words of it,
-    the 128-bit SimHash of those of at least MIN_LETTERS letters (n of them)."""
-    lines = _lines(docs, text, row_key(id, text).alias("doc"), F.col(id).alias("doc_id"))
-    lines = lines.select("doc", "doc_id", "line_no", F.xxhash64("norm").alias("line"), F.split("norm", " ").alias("words"))
-    words = lines.where(F.size("words") >= min_words).select(
-        "doc", "doc_id", "line_no", "line", F.posexplode("words").alias("at", "word")
-    )
-    # Short words have no vote; the first of a span stays, so that each span has a row.
-    words = words.where((F.length("word") >= MIN_LETTERS) | (F.col("at") % SPAN == 0)).select(
-        "doc", "doc_id", "line_no", "line", F.expr(f"at div {SPAN}").cast("int").alias("span"),
-        F.when(F.length("word") >= MIN_LETTERS, F.xxhash64("word")).alias("h1"),
-    ).withColumn("h2", F.xxhash64("h1", F.lit(1)))
-    sums = []
-    for h in ("h1", "h2"):
-        for k in range(8):
-            lane = F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_LANES))
-            sums.append(F.sum(F.when(F.col("h1").isNotNull(), lane).otherwise(F.lit(0).cast("long"))).alias(f"{h}_{k}"))
-    counted = words.groupBy("doc", "line_no", "span", "line").agg(F.min("doc_id").alias("doc_id"), F.count("h1").alias("n"), *sums)
-    return counted.select(
-        "doc", "doc_id", "line_no", "span", "line", F.col("n").cast("int").alias("n"),
-        *[_majority([f"{h}_{k}" for k in range(8)]).alias(s) for h, s in (("h1", "s1"), ("h2", "s2"))],
-    )
+def first_grams(docs: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """(gram, node, about) of each different line: the grams (hashed) that it may share with similar lines.
+
+    Of two lines of n words or fewer, d edits apart, either has at most GRAM * d different grams that
+    the other has not. So in any order of all grams (here that of their hashes), the first that both
+    have is among the first GRAM * d + 1 of each; and they have one in common, since of the longer
+    line's grams d <= n / 10 edits leave n + 1 - GRAM * (d + 1) > 0 whole. A line does not know the
+    longer one's length, but that is at most 10 / 9 of its own, so d is at most a ninth of that.
+    """
+    lines = _lines(docs, text).where(F.size(F.split("norm", " ")) >= max(min_words, LEAST_EDITED))
+    words = lines.select(F.xxhash64("norm").alias("node"), F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("h"))
+    gram = lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(GRAM)])
+    grams = F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), gram)))
+    firsts = words.select("node", F.size("h").alias("n"), F.slice(grams, F.lit(1), F.expr(f"{GRAM} * (size(h) div {LEAST_EDITED}) + 1").cast("int")).alias("grams"))
+    # Copies of a line go here, before each is dealt out by its grams.
+    firsts = firsts.groupBy("node").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
+    return firsts.select(F.explode("grams").alias("gram"), "node", F.struct("n").alias("about"))
 
 
 def _code(word: Column) -> Column:
@@ -128,25 +111,19 @@ def _edit_similar(a: Column, b: Column) -> Column:
     return F.when(~near, False).when(longer <= LONGEST_EDIT, by_edits).otherwise(by_words)
 
 
-def line_groups(signs: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
+def line_groups(places: DataFrame, docs: DataFrame, id: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
     """(node, component) of lines (by hash) that are linked with a line of other words."""
-    spans = signs.where(F.col("n") >= MIN_FEATURES).groupBy("line", "span").agg(F.first("s1").alias("s1"), F.first("s2").alias("s2"))
-    weights = keep(signs.where("span = 0").groupBy(F.col("line").alias("node")).agg(F.count("*").alias("weight")).where("weight > 1"), "line_weights")
-    part = lambda s, k: F.shiftrightunsigned(s, 24 * k).bitwiseAND(F.lit(0xFFFFFF))
-    parts = [part("s1", 0), part("s1", 1), part("s2", 0), part("s2", 1)]
-    parts.append(F.shiftleft(part("s1", 2), 8).bitwiseOR(part("s2", 2).bitwiseAND(F.lit(0xFF))))
-    blocks = F.array(*[x.bitwiseOR(F.lit(i << 32)) for i, x in enumerate(parts)])
-    postings = spans.select(F.explode(blocks).alias("block"), F.col("line").alias("node"), F.struct("s1", "s2").alias("about"))
+    weights = keep(places.groupBy(F.col("line").alias("node")).agg(F.count("*").alias("weight")).where("weight > 1"), "line_weights")
 
     def plausible(x: Column, y: Column) -> Column:
-        return F.bit_count(x["s1"].bitwiseXOR(y["s1"])) + F.bit_count(x["s2"].bitwiseXOR(y["s2"])) <= BITS_APART
+        return F.abs(x["n"] - y["n"]) * TENTH <= F.greatest(x["n"], y["n"])
 
     keyed = docs.select(row_key(id, text).alias("doc"), F.col(text).alias("text"))
 
     def texts_of(nodes: DataFrame) -> DataFrame:
-        places = signs.where("span = 0").select(F.col("line").alias("node"), "doc", "line_no")
-        places = semi_by_size(places, nodes, "node").groupBy("node").agg(F.min(F.struct("doc", "line_no")).alias("at"))
-        bodies = semi_by_size(keyed, keep(places.select("at.doc").distinct(), "line_docs"), "doc")
+        at = semi_by_size(places.select(F.col("line").alias("node"), "doc", "line_no"), nodes, "node")
+        at = at.groupBy("node").agg(F.min(F.struct("doc", "line_no")).alias("at"))
+        bodies = semi_by_size(keyed, keep(at.select("at.doc").distinct(), "line_docs"), "doc")
         texts = _lines(bodies, "text", "doc").select(F.xxhash64("norm").alias("node"), "norm")
         return semi_by_size(texts, nodes, "node").dropDuplicates(["node"])
 
@@ -165,7 +142,8 @@ def line_groups(signs: DataFrame, docs: DataFrame, id: str, text: str) -> DataFr
         both = both.repartition(1 + pairs.count() // PAIRS, "a", "b").withColumn("task", F.spark_partition_id())
         return both.where((F.col("task") >= 0) & _edit_similar(F.col("a_coded"), F.col("b_coded"))).select("a", "b")
 
-    return linked_components(postings, ["block"], weights, plausible, verify, lambda nodes: _sketched(texts_of(nodes)), _close)
+    postings = first_grams(docs, text, min_words)
+    return linked_components(postings, ["gram"], weights, plausible, verify, lambda nodes: _sketched(texts_of(nodes)), _close)
 
 
 def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -173,12 +151,10 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
 
     Lines are equal if they are after lower-casing and reduction to words (64-bit hashes are
     compared). Different lines are linked if their edit distance in words is at most a tenth of the
-    longer one's length (beyond LONGEST_EDIT words: if nine tenths of their words are common) and
-    SimHash brings them together: one of five blocks of 24 of 128 bits equal, at most BITS_APART bits apart.
-    Any two lines within four bits share a block; others may: three in four of those with one word
-    of sixty changed. Of each connected group one
-    occurrence stays, the first by id, line number and a hash of the text. Lines of fewer than
-    `min_words` words, blank ones too, are left alone.
+    longer one's length; all such pairs are found (see first_grams). Lines beyond LONGEST_EDIT words
+    are linked if nine tenths of their words are common and one of their first grams is. Of each
+    connected group one occurrence stays, the first by id, line number and a hash of the text. Lines
+    of fewer than `min_words` words, blank ones too, are left alone.
 
     All rows stay, also those that lose all their lines (their text is then empty); a null text
     stays null and has no lines; an empty one has one line. Null ids come first. Rows with equal id
@@ -186,9 +162,10 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
     replaced.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    signs = keep(signed_lines(docs, id, text, min_words), "signed_lines")
-    groups = keep(line_groups(signs, docs, id, text), "line_groups").select(F.col("node").alias("line"), "component")
-    places = left_by_size(signs.where("span = 0").select("doc", "doc_id", "line_no", "line"), groups, "line", 16)
+    # A row that is there twice is one document, so its lines have one place.
+    placed = keep(placed_lines(docs, id, text, min_words).dropDuplicates(["doc", "line_no"]), "placed_lines")
+    groups = keep(line_groups(placed, docs, id, text, min_words), "line_groups").select(F.col("node").alias("line"), "component")
+    places = left_by_size(placed, groups, "line", 16)
     places = places.select("doc", "doc_id", "line_no", F.coalesce("component", "line").alias("group"))
     firsts = places.groupBy("group").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "line_no", "doc")).alias("kept"))
     firsts = keep(firsts.where("n > 1").select("group", F.col("kept.doc").alias("kept_doc"), F.col("kept.line_no").alias("kept_no")), "line_firsts")

@@ -316,3 +316,31 @@ def test_pipeline_stages(spark):
         assert kept <= {r["doc_id"] for r in docs.select("doc_id").collect()} and len(kept) > 0.7 * docs.count()
     packed = corpus_pipeline.run(spark, FOLDER)
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
+
+
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_all_lines_within_a_tenth_of_edits_are_found(spark):
+    """Against brute force: words changed, put in and taken out, up to a tenth and one beyond."""
+    rng = np.random.default_rng(10)
+    lines, pairs = [], {}
+    for length in (10, 20, 40, 80):
+        for g in range(40):
+            words = [f"w{k}" for k in rng.integers(0, 4000, length)]
+            near = list(words)
+            for _ in range(1 + g % (length // 10 + 1)):
+                at, kind = int(rng.integers(len(near))), rng.integers(3)
+                near[at : at + (kind != 0)] = [] if kind == 1 else [f"z{rng.integers(1 << 30)}"]
+            if 10 * _edits(words, near) <= max(len(words), len(near)):
+                pairs[len(lines) + 1] = length
+            lines += [words, near]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(lines)], "doc_id bigint, text string")
+    gone = {r["doc_id"] for r in dedup_lines(docs).collect() if r["n_dropped"]}
+    assert gone == set(pairs) and min(collections.Counter(pairs.values()).values()) >= 20
