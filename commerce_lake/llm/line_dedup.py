@@ -9,8 +9,12 @@ from commerce_lake.llm.decontamination import BETWEEN_WORDS, row_key
 from commerce_lake.llm.linking import linked_components, sketch_apart
 from commerce_lake.llm.tables import keep, left_by_size, semi_by_size
 
-#: Shorter lines are left alone: headings, list marks and the like say too little to be copies.
+#: Shorter lines have exact copies only.
 MIN_WORDS = 5
+#: Bytes of letters and digits; shorter lines are left alone: list marks, single ASCII letters and the like.
+MIN_BYTES = 3
+#: Characters of scripts that put no spaces between words; each counts as a word in the comparison by edits.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 #: Words in a row that make a gram; lines are compared if they share one of their first grams.
 GRAM = 3
 #: Words of the shortest line that an edit of a tenth can make into another (one of ten words).
@@ -30,15 +34,22 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), BETWEEN_WORDS, " "))
 
 
+def spaced(norm: Column) -> Column:
+    """A normalised line with each character of UNSPACED as a word."""
+    parted = F.trim(F.regexp_replace(F.regexp_replace(norm, UNSPACED, " $0 "), " +", " "))
+    return F.when((F.octet_length(norm) > F.length(norm)) & norm.rlike(UNSPACED), parted).otherwise(norm)
+
+
 def _lines(docs: DataFrame, text: str, *columns) -> DataFrame:
     """`columns`, line_no, norm of each line; none for a null text."""
     return docs.select(*columns, F.posexplode(F.split(text, "\n")).alias("line_no", "norm")).withColumn("norm", normalised(F.col("norm")))
 
 
-def placed_lines(docs: DataFrame, id: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, doc_id, line_no, line): each line's place and hash."""
+def placed_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(doc, doc_id, line_no, line): place and hash of each line that is not blank and has MIN_BYTES of letters."""
     lines = _lines(docs, text, row_key(id, text).alias("doc"), F.col(id).alias("doc_id"))
-    return lines.where(F.size(F.split("norm", " ")) >= min_words).select("doc", "doc_id", "line_no", F.xxhash64("norm").alias("line"))
+    told = (F.octet_length(F.translate("norm", " ", "")) >= MIN_BYTES) & F.col("norm").rlike(r"[^\s\p{Z}]")
+    return lines.where(told).select("doc", "doc_id", "line_no", F.xxhash64("norm").alias("line"))
 
 
 def first_grams(docs: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataFrame:
@@ -50,8 +61,8 @@ def first_grams(docs: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataF
     line's grams d <= n / 10 edits leave n + 1 - GRAM * (d + 1) > 0 whole. A line does not know the
     longer one's length, but that is at most 10 / 9 of its own, so d is at most a ninth of that.
     """
-    lines = _lines(docs, text).where(F.size(F.split("norm", " ")) >= max(min_words, LEAST_EDITED))
-    words = lines.select(F.xxhash64("norm").alias("node"), F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("h"))
+    lines = _lines(docs, text).select(F.xxhash64("norm").alias("node"), F.split(spaced(F.col("norm")), " ").alias("words"))
+    words = lines.where(F.size("words") >= max(min_words, LEAST_EDITED)).select("node", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
     gram = lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(GRAM)])
     grams = F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), gram)))
     firsts = words.select("node", F.size("h").alias("n"), F.slice(grams, F.lit(1), F.expr(f"{GRAM} * (size(h) div {LEAST_EDITED}) + 1").cast("int")).alias("grams"))
@@ -124,7 +135,7 @@ def line_groups(places: DataFrame, docs: DataFrame, id: str, text: str, min_word
         at = semi_by_size(places.select(F.col("line").alias("node"), "doc", "line_no"), nodes, "node")
         at = at.groupBy("node").agg(F.min(F.struct("doc", "line_no")).alias("at"))
         bodies = semi_by_size(keyed, keep(at.select("at.doc").distinct(), "line_docs"), "doc")
-        texts = _lines(bodies, "text", "doc").select(F.xxhash64("norm").alias("node"), "norm")
+        texts = _lines(bodies, "text", "doc").select(F.xxhash64("norm").alias("node"), spaced(F.col("norm")).alias("norm"))
         return semi_by_size(texts, nodes, "node").dropDuplicates(["node"])
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -153,8 +164,10 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
     compared). Different lines are linked if their edit distance in words is at most a tenth of the
     longer one's length; all such pairs are found (see first_grams). Lines beyond LONGEST_EDIT words
     are linked if nine tenths of their words are common and one of their first grams is. Of each
-    connected group one occurrence stays, the first by id, line number and a hash of the text. Lines
-    of fewer than `min_words` words, blank ones too, are left alone.
+    connected group one occurrence stays, the first by id, line number and a hash of the text. Each
+    character of a script without spaces (UNSPACED) counts as a word there. Lines of fewer than
+    `min_words` words are linked with exact copies only. Lines without letters and digits (blank
+    ones, rules) or with fewer than MIN_BYTES of them in UTF-8 are left alone.
 
     All rows stay, also those that lose all their lines (their text is then empty); a null text
     stays null and has no lines; an empty one has one line. Null ids come first. Rows with equal id
@@ -163,7 +176,7 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
     """
     docs = docs.drop("n_lines", "n_dropped")
     # A row that is there twice is one document, so its lines have one place.
-    placed = keep(placed_lines(docs, id, text, min_words).dropDuplicates(["doc", "line_no"]), "placed_lines")
+    placed = keep(placed_lines(docs, id, text).dropDuplicates(["doc", "line_no"]), "placed_lines")
     groups = keep(line_groups(placed, docs, id, text, min_words), "line_groups").select(F.col("node").alias("line"), "component")
     places = left_by_size(placed, groups, "line", 16)
     places = places.select("doc", "doc_id", "line_no", F.coalesce("component", "line").alias("group"))

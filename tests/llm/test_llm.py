@@ -344,3 +344,15 @@ def test_all_lines_within_a_tenth_of_edits_are_found(spark):
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(lines)], "doc_id bigint, text string")
     gone = {r["doc_id"] for r in dedup_lines(docs).collect() if r["n_dropped"]}
     assert gone == set(pairs) and min(collections.Counter(pairs.values()).values()) >= 20
+
+
+def test_copies_of_short_lines_and_of_unspaced_scripts_go(spark):
+    rng = np.random.default_rng(12)
+    han = "".join(chr(0x4E00 + int(k)) for k in rng.integers(0, 3000, 60))
+    thai = "".join(chr(0x0E01 + int(k)) for k in rng.integers(0, 40, 60))
+    near, far = han[:20] + "\u3042\u3044" + han[22:], han[:20] + "".join(chr(0x8000 + k) for k in range(20)) + han[40:]
+    texts = ["Read more here now\n---\n\n\u3000", "read  MORE here now!\nhome", "Home\n---\n\n\u3000", han, f"{han}\nown words", near, far, thai, thai, "a b", "a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in dedup_lines(docs).collect()}
+    assert {i: found[i]["text"] for i in found} == {**dict(enumerate(texts)), 1: "home", 2: "---\n\n\u3000", 4: "own words", 5: "", 8: ""}
+    assert {i for i in found if found[i]["n_dropped"]} == {1, 2, 4, 5, 8}
