@@ -77,7 +77,7 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, set_id) of every row.
+    """(id, n_shingles, component_id, set_id, group, row_key) of every row.
 
     Two documents are linked if their sets of distinct five-word runs (white space parts words, A-Z
     count as a-z, fewer words are one run) have a Jaccard similarity of at least 0.75;
@@ -93,7 +93,9 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     filter), then verified on the whole sets, once.
 
     Null and empty texts, and those of white space, have no n-grams and are linked with nothing.
-    Rows without id can link others; a component without any id has a null component_id. Repeated
+    Rows without id can link others; a component without any id has a null component_id. An id that
+    is there with several texts can be the smallest of several components; `group` tells components
+    apart (null without n-grams). `row_key` is a hash of id and text. Repeated
     rows are each returned. Other columns of `docs` are not carried.
     """
     kind = docs.schema[id].dataType.simpleString()
@@ -165,12 +167,14 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     named = sets.select(F.col("id").alias("node"), "doc_id").join(linked, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = keep(named.join(smallest, "component").select(F.col("node").alias("id"), "component_id"), "ngram_named")
+    named = keep(named.join(smallest, "component").select(F.col("node").alias("id"), "component_id", F.col("component").alias("group")), "ngram_named")
     return info.join(named, "id", "left").select(
         F.col("doc_id").alias(id),
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.col("id").alias("set_id"),
+        "group",
+        "row_key",
     )
 
 

@@ -130,7 +130,7 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 @query()
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return linked_documents(read_table(spark, folder, "documents")).drop("set_id")
+    return linked_documents(read_table(spark, folder, "documents")).drop("set_id", "group", "row_key")
 
 
 @query()

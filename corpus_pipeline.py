@@ -34,10 +34,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id; repeated rows of it stay one."""
+    """Of each group of similar documents one row: the one with the smallest id, of those the one with
+    the smallest hash of id and text; a row without id only where none has one. Rows repeated as a
+    whole are one too. Rows without n-grams all stay."""
     linked = linked_documents(docs)
-    gone = keep(linked.where("component_id < doc_id").select("doc_id"), "duplicate_ids")
-    return left_by_size(docs.select(COLUMNS), gone.distinct().withColumn("gone", F.lit(True)), "doc_id", 16).where("gone IS NULL").select(COLUMNS)
+    chosen = linked.where("group IS NOT NULL").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
+    chosen = keep(chosen.select(F.col("first.row_key").alias("doc")).withColumn("chosen", F.lit(True)), "chosen_rows")
+    bare = keep(linked.where("group IS NULL").select(F.col("row_key").alias("doc")).distinct().withColumn("bare", F.lit(True)), "bare_rows")
+    marked = docs.select(*COLUMNS, row_key("doc_id", "text").alias("doc"))
+    marked = left_by_size(left_by_size(marked, chosen, "doc", 16), bare, "doc", 16)
+    # Rows of the same id and text may differ in the other columns: the first by these stays.
+    rest = F.struct(*[c for c in COLUMNS if c not in ("doc_id", "text")])
+    one = marked.where("chosen").groupBy("doc").agg(F.min(F.struct(rest.alias("rest"), "doc_id", "text")).alias("row"))
+    one = one.select(*[F.col(f"row.{c}" if c in ("doc_id", "text") else f"row.rest.{c}").alias(c) for c in COLUMNS])
+    return one.union(marked.where("bare").select(COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
