@@ -6,6 +6,9 @@ neighbours enter the agenda. No piece of such a vocabulary goes on after a chara
 mark, so texts are cut before each run of marks, and each different part goes through its agenda
 once a task (memory is bounded by KNOWN_CHARS). A vocabulary with other pieces is not cut.
 
+The agenda of a long part is a heap. Short parts of one length take their steps together: their
+agendas are the rows of an array of ranks, the top pair of each row is its smallest one.
+
 Each Arrow batch is compared with the sentencepiece library: the ids of all parts that were not met
 before, and the texts decoded from all ids. Nothing is merged over a cut, so ids that are right for
 each part are right for the text. `agree` compares whole texts. A difference makes the task fail.
@@ -27,9 +30,12 @@ from pyspark.sql import DataFrame
 #: Characters of different parts that a task keeps with their ids.
 KNOWN_CHARS = 8_000_000
 #: Characters whose ids are held at a time; a longer text is taken alone.
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 22
+#: Parts of up to this many characters take their steps together.
+SHORT = 64
 
 _MARK = "▁"  # stands for a space
+_NEVER = np.iinfo(np.int64).max
 
 
 def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -48,12 +54,18 @@ class _Parts(dict):
         self.unchecked: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
+        return self.learn(part, np.array(self._ids_of(part), "<i4").tobytes())
+
+    def learn(self, part: str, ids: bytes) -> bytes:
+        self._chars += len(part)
+        self[part] = self.unchecked[part] = ids
+        return ids
+
+    def trim(self) -> None:
+        """Forget all parts if they are too many; between texts."""
         if self._chars > KNOWN_CHARS:
             self.clear()
             self._chars = 0
-        self._chars += len(part)
-        ids = self[part] = self.unchecked[part] = np.array(self._ids_of(part), "<i4").tobytes()
-        return ids
 
 
 class PieceCodec:
@@ -84,6 +96,86 @@ class PieceCodec:
         whole = any(_MARK in name.lstrip(_MARK) for name in self.id)
         self._cut = re.compile(".+" if whole else f"{_MARK}+[^{_MARK}]*|[^{_MARK}]+", re.DOTALL)
         self.parts = _Parts(self.ids_of)
+        self._lay_out()
+
+    def _lay_out(self) -> None:
+        """Symbols as numbers, and what pairs of them become, as arrays."""
+        chars = sorted({c for name in self.id for c in name})
+        symbols = [*self.id, *[c for c in chars if c not in self.id]]
+        number = {symbol: k for k, symbol in enumerate(symbols)}
+        self._ids = np.array([self.id.get(symbol, -1) for symbol in symbols], np.int64)
+        self._base = len(symbols)  # a character of no piece is this and its code point
+        self._symbol = np.arange(self._base, self._base + 0x110000)
+        self._symbol[[ord(c) for c in chars]] = [number[c] for c in chars]
+        keys, becomes = [], []
+        for name in self.id:
+            for k in range(1, len(name)):
+                left, right = number.get(name[:k]), number.get(name[k:])
+                if left is not None and right is not None:
+                    keys.append(left * self._base + right)
+                    becomes.append(self.rank[name] << 32 | number[name])
+        order = np.argsort(np.array(keys, np.int64))
+        self._keys = np.append(np.array(keys, np.int64)[order], _NEVER)
+        self._becomes = np.append(np.array(becomes, np.int64)[order], _NEVER)
+        self.together = not self.unused  # rows of an array cannot take these apart again
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank (high half) and symbol (low half) that pairs become, or _NEVER."""
+        known = (left < self._base) & (right < self._base)
+        key = np.where(known, left * self._base + right, -1)
+        at = np.searchsorted(self._keys, key)
+        return np.where(self._keys[at] == key, self._becomes[at], _NEVER)
+
+    def _steps(self, parts: list[str]) -> None:
+        """Learn parts of one length, each by an agenda that is a row of ranks."""
+        n = len(parts[0])
+        codes = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").reshape(-1, n)
+        symbols, rows = self._symbol[codes], np.arange(len(parts))
+        agenda = self._pairs(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            width = symbols.shape[1]
+            if width > 1:
+                left = (agenda >> 32).argmin(axis=1)  # of equal ranks the leftmost
+                top = agenda[np.arange(len(rows)), left]
+                done = top == _NEVER
+            else:
+                done = np.ones(len(rows), bool)
+            if done.any():
+                self._learn_rows([parts[k] for k in rows[done]], symbols[done])
+                symbols, rows, agenda = symbols[~done], rows[~done], agenda[~done]
+                if not len(rows):
+                    break
+                left, top = left[~done], top[~done]
+            at, column = np.arange(len(rows)), np.arange(width - 1)
+            symbols = np.take_along_axis(symbols, column + (column > left[:, None]), axis=1)
+            symbols[at, left] = top & 0xFFFFFFFF
+            column = column[:-1]
+            agenda = np.take_along_axis(agenda, column + (column >= left[:, None]), axis=1)
+            for changed in (left - 1, left):  # the pairs that the new symbol is the right, the left of
+                on = (changed >= 0) & (changed < width - 2)
+                r, c = at[on], changed[on]
+                agenda[r, c] = self._pairs(symbols[r, c], symbols[r, c + 1])
+
+    def _learn_rows(self, parts: list[str], symbols: np.ndarray) -> None:
+        ids = np.where(symbols < self._base, self._ids[np.minimum(symbols, self._base - 1)], -1)
+        whole = (ids >= 0).all(axis=1)
+        size, data = 4 * ids.shape[1], ids.astype("<i4").tobytes()
+        for k, (part, known) in enumerate(zip(parts, whole.tolist(), strict=True)):
+            self.parts.learn(part, data[k * size : (k + 1) * size]) if known else self.parts[part]
+
+    def encode_all(self, texts: list[str], end: bool = True) -> list[np.ndarray]:
+        """Ids of each text; new parts of all of them take their steps together."""
+        self.parts.trim()
+        cut = [self._cut.findall(self.library.normalize(t)) for t in texts]
+        if self.together:
+            lengths: dict[int, list[str]] = {}
+            for part in set().union(*cut):
+                if part not in self.parts and len(part) <= SHORT:
+                    lengths.setdefault(len(part), []).append(part)
+            for parts in lengths.values():
+                self._steps(parts)
+        last = np.array([self.end] * end, "<i4").tobytes()
+        return [np.frombuffer(b"".join(map(self.parts.__getitem__, c)) + last, "<i4") for c in cut]
 
     def merged(self, part: str) -> list[str]:
         """The pieces of a part, by the agenda of adjacent symbol pairs.
@@ -145,10 +237,7 @@ class PieceCodec:
 
     def encode(self, text: str, end: bool = True) -> np.ndarray:
         """Ids of a text, followed by the end id."""
-        ids = b"".join(map(self.parts.__getitem__, self._cut.findall(self.library.normalize(text))))
-        if end:
-            ids += np.array([self.end], "<i4").tobytes()
-        return np.frombuffer(ids, "<i4")
+        return self.encode_all([text], end)[0]
 
     def decode(self, ids) -> str:
         """The text of ids; bytes that are no character become U+FFFD each."""
@@ -190,7 +279,7 @@ def code_pieces(
                     some.append(texts[row].as_py())
                     size += len(some[-1])
                     row += 1
-                ids = [own.encode(t, end) for t in some]
+                ids = own.encode_all(some, end)
                 decoded = [own.decode(i) for i in ids]
                 if check:
                     agree_in_parts(own, some, ids, decoded, end)
@@ -226,6 +315,8 @@ def agree_in_parts(own: PieceCodec, texts: list[str], ids: list[np.ndarray], dec
     if not own.prefixed or not all(part.startswith(_MARK) for part in new):
         return agree(own, texts, ids, decoded, end)  # the library cannot be given such a part alone
     theirs = own.library.encode([part[1:] for part in new], num_threads=1)
+    if _MARK in new:  # the library puts no mark before an empty text
+        theirs[list(new).index(_MARK)] = [own.library.piece_to_id(_MARK)]
     if [np.frombuffer(i, "<i4").tolist() for i in new.values()] != theirs:
         raise ValueError("ids differ from those of the sentencepiece library")
     if own.library.decode([i.tolist() for i in ids], num_threads=1) != decoded:
