@@ -3,26 +3,36 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake import schemas
-from commerce_lake.functions.cleaning import parse_date
+from commerce_lake.operators.days import of_days
 from commerce_lake.operators.joins import find_hot_keys, plan_lookup
-from commerce_lake.operators.merge import merge_by_key, union_distinct
+from commerce_lake.operators.merge import merge_by_key, union_all
 from commerce_lake.operators.quality import table_summary
 from commerce_lake.plans import gold
-from commerce_lake.plans.bronze import ingest_static_bronze
-from commerce_lake.sinks.files import drop_partitions, write_parquet, write_partitioned
-from commerce_lake.sinks.publish import Fact, publish_all, touched_dates
+from commerce_lake.plans.day_index import ARRIVAL, DayIndex, arrivals
+from commerce_lake.shared import materialize
+from commerce_lake.sinks import folders
+from commerce_lake.sinks.files import drop_partitions, write_partitioned
+from commerce_lake.sinks.pointer import current_path, read_current, write_current
+from commerce_lake.sinks.publish import Fact, publish_all
 from commerce_lake.sinks.versions import create_database, write_version
-from commerce_lake.sources.files import read_or_empty, split_bronze
+from commerce_lake.sources.files import (
+    EVENT_DATE,
+    read_json_table,
+    read_or_empty,
+    split_bronze,
+)
 from commerce_lake.sources.tables import table_exists
-from commerce_lake.streaming.facts import start_rebuild
+from commerce_lake.streaming.archive import archive_file, archive_stream
+from commerce_lake.streaming.facts import start_landing
 from commerce_lake.streaming.landing import read_landing
+from commerce_lake.streaming.pending import PendingLog
 
 FACTS = {
     "fact_orders": Fact("fact_orders", "order_item_id", "order_date_id"),
@@ -42,13 +52,19 @@ CONTRACTS = {
     "fact_orders": schemas.FACT_ORDERS,
     "fact_events": schemas.FACT_EVENTS,
 }
-_TOUCHED = schemas.columns("batch_id bigint, day date")
-_PUBLISHED = schemas.columns("batch_id bigint")
+# Reference tables with the column that a usable row has.
+REFERENCES = {"users": (schemas.USERS, "user_id"), "products": (schemas.PRODUCTS, "product_id")}
+_PRODUCT = schemas.columns("product_id string")
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where a lake lives and how it is read. Paths must be reachable by all executors."""
+    """Where a lake lives and how it is read. Paths must be reachable by all executors.
+
+    `multi_line` is for stream files and `static_multi_line` for reference files: whether a file is one
+    JSON array, or has a record on each line. Names of stream files must not be used twice.
+    `index_buckets` must stay as it is once a lake has been begun.
+    """
 
     landing: str
     root: str
@@ -56,10 +72,20 @@ class Lake:
     warehouse_database: str
     archive: str | None = None
     multi_line: bool = True
+    static_multi_line: bool = True
     max_files: int | None = None
     first_day: dt.date = gold.FIRST_DAY
     last_day: dt.date = gold.LAST_DAY
     returned_label: str = "Returned"
+    index_buckets: int = 256
+
+    @property
+    def index(self) -> DayIndex:
+        return DayIndex(self.state("index"), self.index_buckets)
+
+    @property
+    def pending(self) -> PendingLog:
+        return PendingLog(self.state("pending"))
 
     @property
     def stream_landing(self) -> str:
@@ -81,102 +107,117 @@ class Lake:
         return f"{self.root}/state/{name}"
 
 
-# --- landing and facts
+# --- landing
 
 
-def land_static(spark: SparkSession, lake: Lake) -> None:
-    for name, schema in (("users", schemas.USERS), ("products", schemas.PRODUCTS)):
-        ingest_static_bronze(
-            spark,
-            lake.static_landing(name),
-            schema,
-            lake.bronze(name),
-            multi_line=lake.multi_line,
-        )
+def land_static(spark: SparkSession, lake: Lake) -> dict[str, str]:
+    """Replace the reference tables in Bronze by the files that have come.
+
+    A file that is missing, empty or has no usable row leaves its table as it was. Products with
+    another price than before are noted first, since old facts change with them. Returns the stamps
+    of the files read, by name.
+    """
+    stamps = {}
+    for name, (schema, key) in REFERENCES.items():
+        path = lake.static_landing(name)
+        stamp = folders.stamp(spark, path)
+        if stamp is None:
+            continue
+        new = read_json_table(spark, path, schema, multi_line=lake.static_multi_line)
+        if new.where(F.col(key).isNotNull()).isEmpty():
+            continue
+        if name == "products" and current_path(spark, lake.bronze(name)):
+            old = read_current(spark, lake.bronze(name), schema)
+            changed = changed_prices(old, new)
+            if not changed.isEmpty():
+                lake.pending.add(f"prices-{uuid.uuid4().hex}", changed)
+        write_current(new, lake.bronze(name))
+        stamps[name] = stamp
+    return stamps
+
+
+def changed_prices(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Products whose list price is not the same in both tables; a missing product has none."""
+    before, after = (
+        gold.list_prices(t).select("product_id", F.col("list_price").alias(n))
+        for t, n in ((old, "before"), (new, "after"))
+    )
+    differs = ~F.col("before").eqNullSafe(F.col("after"))
+    return before.join(after, "product_id", "full").where(differs).select("product_id")
 
 
 def land_stream(spark: SparkSession, lake: Lake) -> None:
-    """Bring all new landing files into Bronze and into the fact partitions they touch."""
-    arrivals = read_landing(
-        spark,
-        lake.stream_landing,
-        multi_line=lake.multi_line,
-        max_files=lake.max_files,
-        archive=lake.archive,
+    """Bring all new landing files into Bronze and into the index of days, and note what came.
+
+    However many micro-batches there are, facts are rebuilt once, afterwards (see `run_daily`).
+    """
+    index = lake.index
+    if not index.exists(spark):
+        bronze = bronze_tables(spark, lake)
+        if bronze is None:
+            index.complete(spark)
+        else:  # a lake that was begun without an index
+            whole = union_all([arrivals(df) for df in bronze.values()])
+            index.build(materialize(whole, "index"))
+            facts = read_or_empty(spark, lake.gold("fact_orders"), schemas.FACT_ORDERS)
+            index.add_products(facts, "order_date_id")
+
+    def note(rows: DataFrame, batch_id: int) -> None:
+        index.add(lake.pending.add(f"batch-{batch_id}", arrivals(rows)))
+
+    folders.make(spark, lake.stream_landing)
+    stream = read_landing(
+        spark, lake.stream_landing, multi_line=lake.multi_line, max_files=lake.max_files
     )
+    start_landing(stream, lake.bronze("stream"), lake.state("stream"), note).awaitTermination()
+
 
-    def rebuild(dates: Sequence[dt.date] | None, batch_id: int) -> None:
-        affected = rebuild_facts(spark, lake, dates)
-        if affected is not None and not affected:
-            return
-        note = spark.createDataFrame([(batch_id, d) for d in affected or [None]], _TOUCHED)
-        note.coalesce(1).write.mode("append").parquet(lake.state("touched"))
+def bronze_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame] | None:
+    """Bronze by stream type, with the partition column; None before the first landing."""
+    if not folders.exists(spark, lake.bronze("stream")):
+        return None
+    return dict(split_bronze(spark, lake.bronze("stream"), by_date=True, keep_date=True))
 
-    start_rebuild(
-        arrivals, lake.bronze("stream"), lake.state("stream"), rebuild
-    ).awaitTermination()
 
+def archive_landing(spark: SparkSession, lake: Lake, stamps: dict[str, str]) -> None:
+    """Move the files that this run has read, of the stream and the reference tables."""
+    if lake.archive is None:
+        return
+    archive_stream(spark, lake.stream_landing, lake.state("stream"), f"{lake.archive}/stream")
+    for name, stamp in stamps.items():
+        archive_file(spark, lake.static_landing(name), f"{lake.archive}/static", stamp)
 
-def _with_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    return rows.join(ids.select(key).distinct(), key, "left_semi")
 
+# --- what a run has to work in
 
-def affected_dates(
-    spark: SparkSession, lake: Lake, dates: Sequence[dt.date | None]
-) -> list[dt.date] | None:
-    """Days whose facts may change by records of `dates`, those included; None: too many to list.
 
-    An item belongs to its order's day, whatever its own time, and any record may be sent again
-    under another day. So these are all days that the orders and events concerned ever had, also
-    the orders an item was sent with before.
-    """
-    recent = split_bronze(spark, lake.bronze("stream"), by_date=True, dates=dates)
-    ever = split_bronze(spark, lake.bronze("stream"), by_date=True)
-    items = _with_ids(ever["order_items"], recent["order_items"], "order_item_id")
-    sources = (items, recent["order_items"], recent["orders"])
-    ids = union_distinct([t.select("order_id") for t in sources])
-    orders = _with_ids(ever["orders"], ids, "order_id")
-    events = _with_ids(ever["events"], recent["events"], "event_id")
-    days = gold.event_days(orders, events, *recent.values())
-    return touched_dates(days.where("day IS NOT NULL"), "day")
-
-
-def _records_of(
-    tables: Mapping[str, DataFrame], dates: Sequence[dt.date]
-) -> dict[str, DataFrame]:
-    """All records, of whatever day, that the facts of `dates` are made of."""
-    on_dates = {
-        n: tables[n].where(parse_date("event_time").isin(list(dates))) for n in ("orders", "events")
-    }
-    orders = _with_ids(tables["orders"], on_dates["orders"], "order_id")
-    items = _with_ids(tables["order_items"], orders, "order_id")
-    same = _with_ids(tables["order_items"], items, "order_item_id")
-    return {
-        "orders": orders,
-        "order_items": same.unionByName(items.where("order_item_id IS NULL")),
-        "events": _with_ids(tables["events"], on_dates["events"], "event_id"),
-    }
+def pending_arrivals(spark: SparkSession, lake: Lake) -> DataFrame:
+    return lake.pending.read(spark, lake.pending.names(spark, "batch-"), ARRIVAL)
 
 
-def rebuild_facts(
-    spark: SparkSession, lake: Lake, dates: Sequence[dt.date | None] | None = None
-) -> list[dt.date] | None:
-    """Rebuild the fact partitions that records of `dates` affect (all days by default).
+def pending_days(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Days (`day`) whose facts may change by records and prices since the last run that succeeded."""
+    prices = lake.pending.read(spark, lake.pending.names(spark, "prices-"), _PRODUCT)
+    return lake.index.affected_days(pending_arrivals(spark, lake), prices)
 
-    The result is that of a full build: each of these days gets all its facts, and a day that is
-    left without any loses its partition. Returns the days (None: all).
+
+def rebuild_facts(spark: SparkSession, lake: Lake, days: DataFrame | None = None) -> None:
+    """Rebuild the fact partitions of `days` (a written table with a column `day`; default: all).
+
+    Each of these days gets the facts that a full build would give it, with today's prices, and a
+    day that is left without any loses its partition. Records are read from the Bronze partitions
+    of these days and of days linked with them (see DayIndex).
     """
-    tables = split_bronze(spark, lake.bronze("stream"), by_date=True)
+    tables = bronze_tables(spark, lake)
+    if tables is None:
+        return
     rows = tables["order_items"].count()  # from the file footers, as that of products
-    if dates is not None:
-        dates = affected_dates(spark, lake, dates)
-        if dates is not None:
-            if not dates:
-                return []
-            tables = _records_of(tables, dates)
+    if days is not None:
+        tables = lake.index.records_of(tables, days, EVENT_DATE)
+    tables = {name: df.drop(EVENT_DATE) for name, df in tables.items()}
     items = tables["order_items"]
     started = F.lit(dt.datetime.now())
-    products = read_or_empty(spark, lake.bronze("products"), schemas.PRODUCTS)
+    products = read_current(spark, lake.bronze("products"), schemas.PRODUCTS)
     prices, hot_products = plan_lookup(
         items, rows, gold.list_prices(products), products.count(), "product_id"
     )
@@ -186,77 +227,60 @@ def rebuild_facts(
             tables["orders"],
             prices,
             returned_label=lake.returned_label,
-            dates=dates,
+            dates=days,
             hot_orders=find_hot_keys(items, "order_id", rows=rows),
             hot_products=hot_products,
             loaded_at=started,
         ),
-        "fact_events": gold.build_fact_events(tables["events"], dates=dates, loaded_at=started),
+        "fact_events": gold.build_fact_events(tables["events"], dates=days, loaded_at=started),
     }
     for name, df in built.items():
         day = FACTS[name].date_column
         # Records without a readable time stay in Bronze (see gold.undated).
-        replace = "static" if dates is None else "dynamic"
+        replace = "static" if days is None else "dynamic"
         write_partitioned(df.where(F.col(day).isNotNull()), lake.gold(name), [day], replace=replace)
-        if dates is not None:
-            kept = read_or_empty(spark, lake.gold(name), CONTRACTS[name])
-            old = kept.where(F.col(day).isin(list(dates)) & (F.col("gold_created_at") < started))
-            emptied = [r[0] for r in old.select(day).distinct().collect()]  # of listed days
-            drop_partitions(spark, lake.gold(name), day, emptied)
-    return dates
-
-
-# --- what a run still has to pass on
-
-
-def last_batch(spark: SparkSession, lake: Lake, name: str, schema) -> int:
-    found = read_or_empty(spark, lake.state(name), schema).agg(F.max("batch_id")).first()[0]
-    return -1 if found is None else found
-
-
-def pending_dates(spark: SparkSession, lake: Lake) -> list[dt.date] | None:
-    """Days rebuilt since the last publication that succeeded; None stands for all days."""
-    done = last_batch(spark, lake, "published", _PUBLISHED)
-    notes = read_or_empty(spark, lake.state("touched"), _TOUCHED)
-    # A batch notes a bounded number of days, or a single null (see touched_dates).
-    days = [r[0] for r in notes.where(F.col("batch_id") > done).select("day").distinct().collect()]
-    return None if None in days else days
-
-
-def note_published(spark: SparkSession, lake: Lake) -> None:
-    batch = last_batch(spark, lake, "touched", _TOUCHED)
-    if batch > last_batch(spark, lake, "published", _PUBLISHED):
-        done = spark.createDataFrame([(batch,)], _PUBLISHED)
-        done.coalesce(1).write.mode("append").parquet(lake.state("published"))
+    for name in built if days is not None else ():
+        day = FACTS[name].date_column
+        kept = of_days(read_or_empty(spark, lake.gold(name), CONTRACTS[name]), days, day)
+        old = kept.where(F.col("gold_created_at") != started).select(day).distinct()
+        drop_partitions(spark, lake.gold(name), day, [r[0] for r in old.collect()])
+    facts = read_or_empty(spark, lake.gold("fact_orders"), schemas.FACT_ORDERS)
+    lake.index.add_products(facts if days is None else of_days(facts, days, "order_date_id"), "order_date_id")
 
 
 # --- dimensions
 
 
-def rebuild_dimensions(
-    spark: SparkSession, lake: Lake, dates: Sequence[dt.date] | None = None
-) -> None:
-    """Refresh the dimensions; `dates` limits where new days, statuses and types are looked for."""
-    everything = split_bronze(spark, lake.bronze("stream"), by_date=True)
-    users = read_or_empty(spark, lake.bronze("users"), schemas.USERS)
-    products = read_or_empty(spark, lake.bronze("products"), schemas.PRODUCTS)
-    write_parquet(gold.build_dim_users(users), lake.gold("dim_users"))
-    write_parquet(
-        gold.build_dim_products(products, everything["reviews"]), lake.gold("dim_products")
-    )
-    if dates is not None and not dates:
+def rebuild_dimensions(spark: SparkSession, lake: Lake, arrived: DataFrame | None = None) -> None:
+    """Refresh the dimensions; without `arrived` (narrow records, see day_index.ARRIVAL), new days,
+    statuses and types are looked for in all of Bronze.
+
+    Users and products are replaced by a pointer: without a single row, or when building one fails,
+    the dimension stays as it was.
+    """
+    tables = bronze_tables(spark, lake)
+    users = read_current(spark, lake.bronze("users"), schemas.USERS)
+    write_current(gold.build_dim_users(users), lake.gold("dim_users"))
+    if tables is None:
         return
-    recent = split_bronze(spark, lake.bronze("stream"), by_date=True, dates=dates)
+    products = read_current(spark, lake.bronze("products"), schemas.PRODUCTS)
+    reviews = tables["reviews"].drop(EVENT_DATE)
+    write_current(gold.build_dim_products(products, reviews), lake.gold("dim_products"))
+    if arrived is None:
+        arrived = union_all([arrivals(df) for df in tables.values()])
+    days = arrived.select("day").distinct()
     found = {
-        "dim_date": gold.build_dim_date(
-            gold.event_days(*recent.values()), lake.first_day, lake.last_day
+        "dim_date": gold.build_dim_date(days, lake.first_day, lake.last_day),
+        "dim_order_status": gold.build_dim_order_status(
+            arrived.where("stream_type = 'orders'")
         ),
-        "dim_order_status": gold.build_dim_order_status(recent["orders"]),
-        "dim_event_type": gold.build_dim_event_type(recent["events"]),
+        "dim_event_type": gold.build_dim_event_type(arrived.where("stream_type = 'events'")),
     }
     for name, new in found.items():
         key, table = MERGED_DIMENSIONS[name], lake.gold_table(name)
         if table_exists(spark, table):
+            if new.isEmpty():
+                continue
             new = merge_by_key(spark.table(table), new, [key])
         write_version(new.orderBy(key), table)
 
@@ -270,35 +294,41 @@ def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         for name in MERGED_DIMENSIONS
         if table_exists(spark, lake.gold_table(name))
     }
-    return merged | {n: read_or_empty(spark, lake.gold(n), s) for n, s in CONTRACTS.items()}
+    read = {n: read_current if n in REPLACED_DIMENSIONS else read_or_empty for n in CONTRACTS}
+    return merged | {n: read[n](spark, lake.gold(n), s) for n, s in CONTRACTS.items()}
 
 
 def publish_gold(
-    spark: SparkSession, lake: Lake, dates: Sequence[dt.date] | None = None
+    spark: SparkSession, lake: Lake, days: DataFrame | None = None
 ) -> dict[str, int | None]:
-    """Publish all dimensions and the fact rows of `dates`."""
+    """Publish all dimensions and the fact rows of `days`."""
     tables = gold_tables(spark, lake)
     names = [n for n in (*MERGED_DIMENSIONS, *REPLACED_DIMENSIONS) if n in tables]
     facts = [(fact, tables[name]) for name, fact in FACTS.items()]
-    return publish_all({n: tables[n] for n in names}, facts, lake.warehouse_database, dates)
+    return publish_all({n: tables[n] for n in names}, facts, lake.warehouse_database, days)
 
 
 def run_daily(spark: SparkSession, lake: Lake) -> dict[str, int | None]:
     """One run over everything that has arrived since the last one; any failure stops it.
 
     Starting again after a failure continues where it stopped, and a run without new files
-    changes no fact. Facts are built and written for the days affected only; ids are looked up in
-    all of Bronze, since a record may come again under any day, and product ratings need all
-    reviews.
+    changes no fact. Afterwards the facts are those of a full build, also where records moved to
+    other days or prices changed; only the days concerned are read and written. Product ratings
+    need all reviews.
     """
     create_database(spark, lake.gold_database, lake.gold("tables"))
     create_database(spark, lake.warehouse_database, f"{lake.root}/warehouse")
-    land_static(spark, lake)
+    stamps = land_static(spark, lake)
     land_stream(spark, lake)
-    dates = pending_dates(spark, lake)
-    rebuild_dimensions(spark, lake, dates)
-    published = publish_gold(spark, lake, dates)
-    note_published(spark, lake)
+    names = lake.pending.names(spark)
+    days = materialize(pending_days(spark, lake), "days")
+    if not days.isEmpty():
+        rebuild_facts(spark, lake, days)
+    archive_landing(spark, lake, stamps)
+    rebuild_dimensions(spark, lake, pending_arrivals(spark, lake))
+    published = publish_gold(spark, lake, days)
+    lake.pending.clear(spark, names)
+    lake.index.compact(spark)
     return published
 
 

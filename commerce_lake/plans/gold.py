@@ -16,6 +16,7 @@ from commerce_lake.functions.cleaning import (
     require_not_null,
 )
 from commerce_lake.functions.keys import add_surrogate_key, hash_key
+from commerce_lake.operators.days import of_days
 from commerce_lake.operators.dedup import dedup_by_key
 from commerce_lake.operators.joins import HotKey, join_on_key, lookup, lookup_where
 from commerce_lake.operators.merge import merge_by_key, union_distinct
@@ -140,7 +141,7 @@ def order_lines(items: DataFrame, *, resent: bool = True) -> DataFrame:
 
 
 def order_heads(
-    orders: DataFrame, *, resent: bool = True, dates: Sequence[dt.date] | None = None
+    orders: DataFrame, *, resent: bool = True, dates: Sequence[dt.date] | DataFrame | None = None
 ) -> DataFrame:
     """Orders with parsed times, each once; with `dates`, those of these days."""
     columns = ["order_id", "user_id", "event_time", "total_amount", "order_status"]
@@ -155,7 +156,7 @@ def order_heads(
         F.col("total_amount").try_cast("double").alias("total_amount"),
         "order_status",
     )
-    return heads if dates is None else heads.where(F.col("order_date_id").isin(list(dates)))
+    return heads if dates is None else of_days(heads, dates, "order_date_id")
 
 
 def line_total(price: Column, quantity: Column) -> Column:
@@ -176,7 +177,7 @@ def build_fact_orders(
     returned_label: str = "Returned",
     strategy: str = "hash",
     resent: bool = True,
-    dates: Sequence[dt.date] | None = None,
+    dates: Sequence[dt.date] | DataFrame | None = None,
     hot_orders: Sequence[HotKey] = (),
     hot_products: Sequence[HotKey] = (),
     loaded_at: Column | None = None,
@@ -221,7 +222,7 @@ def build_fact_events(
     *,
     strategy: str = "hash",
     resent: bool = True,
-    dates: Sequence[dt.date] | None = None,
+    dates: Sequence[dt.date] | DataFrame | None = None,
     funnel_order: Sequence[str] | None = None,
     loaded_at: Column | None = None,
 ) -> DataFrame:
@@ -235,7 +236,7 @@ def build_fact_events(
         columns = ["event_id", "user_id", "product_id", "event_type", "event_time"]
         rows = _latest(rows, ["event_id"], columns)
     if dates is not None:  # last, as an event may have been sent again under another day
-        rows = rows.where(parse_date("event_time").isin(list(dates)))
+        rows = of_days(rows.withColumn("_of", parse_date("event_time")), dates, "_of").drop("_of")
     if event_types is None:
         rows = rows.withColumn("event_type_id", hash_key("event_type", strategy))
     else:

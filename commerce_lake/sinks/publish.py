@@ -5,18 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from commerce_lake.operators.days import of_days
 from commerce_lake.operators.dedup import dedup_by_key
 from commerce_lake.schemas import schema_differences
-from commerce_lake.sinks.versions import write_version
+from commerce_lake.sinks.versions import current_version, write_version
 from commerce_lake.sources.tables import table_exists, target_keys
 
-# A batch touching more days than this is compared with the whole target instead.
-MOST_DATES = 5_000
-
 
 @dataclass(frozen=True)
 class Fact:
@@ -43,32 +40,18 @@ def publish_dimension(
     return write_version(df, target, keep=keep) or None
 
 
-def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def drop_if_schema_changed(spark: SparkSession, table: str, schema: T.StructType) -> bool:
-    """Drop a fact table whose columns are no longer those to be written."""
-    if not table_exists(spark, table):
-        return False
-    if not schema_differences(spark.table(table).schema, schema):
-        return False
-    drop_table(spark, table)
-    return True
-
-
-def touched_dates(df: DataFrame, column: str, most: int = MOST_DATES) -> list | None:
-    """The days occurring in `df`, or None if there are more than `most` of them."""
-    found = df.select(column).distinct().limit(most + 1).collect()
-    return None if len(found) > most else [row[0] for row in found]
-
-
 def new_rows(df: DataFrame, key: str, existing: DataFrame | None) -> DataFrame:
     """One row per key that `existing` does not have; rows without a key are left out."""
     unique = dedup_by_key(df, [key])
     return unique if existing is None else unique.join(existing, key, "left_anti")
 
 
+def _checked(df: DataFrame, table: str, key: str) -> DataFrame:
+    """Rows that make the write fail where they have no key: they could not be compared."""
+    message = F.raise_error(F.lit(f"null {key} in a batch for {table}")).cast(df.schema[key].dataType)
+    return df.withColumn(key, F.when(F.col(key).isNotNull(), F.col(key)).otherwise(message))
+
+
 def append_fact(
     df: DataFrame,
     table: str,
@@ -84,19 +67,12 @@ def append_fact(
     the target partitions of the days in the batch are read.
     """
     spark = df.sparkSession
-    checked = df.withColumn(
-        key,
-        F.when(F.col(key).isNotNull(), F.col(key)).otherwise(
-            F.raise_error(F.lit(f"null {key} in a batch for {table}")).cast(
-                df.schema[key].dataType
-            )
-        ),
-    )
     existing = None
     if table_exists(spark, table):
-        dates = touched_dates(df, date_column) if key_implies_date and date_column else None
+        by_day = key_implies_date and date_column
+        dates = df.select(F.col(date_column).alias("day")).distinct() if by_day else None
         existing = target_keys(spark, table, key, date_column, dates)
-    result = new_rows(checked, key, existing)
+    result = new_rows(_checked(df, table, key), key, existing)
     if existing is not None:
         result = result.select(*spark.table(table).columns)
     if date_column:
@@ -111,30 +87,42 @@ def append_fact(
     return appended.get["rows"]
 
 
+def publish_fact(
+    df: DataFrame, database: str, fact: Fact, dates: DataFrame | Sequence | None = None
+) -> int:
+    """Append new fact rows, with `dates` those of these days only. Returns how many.
+
+    Readers use a view; the rows are in a version of the table behind it. A fact that was never
+    published, or whose columns have changed, is filled from all days into a version of its own,
+    which the view shows once it is complete: a refill that fails, or finds no rows, leaves the
+    table as it was, with its old columns.
+    """
+    spark, name = df.sparkSession, table_name(database, fact.name)
+    # A plain table, as earlier releases wrote it, is appended to until its columns change.
+    shown = current_version(spark, name) or (name if table_exists(spark, name) else None)
+    if shown is None or schema_differences(spark.table(shown).schema, df.schema):
+        rows = new_rows(_checked(df, name, fact.key), fact.key, None)
+        return write_version(rows, name, by=[fact.date_column], allow_empty=shown is None)
+    if dates is not None:
+        df = of_days(df, dates, fact.date_column)
+    return append_fact(
+        df, shown, fact.key, date_column=fact.date_column, key_implies_date=fact.key_implies_date
+    )
+
+
 def publish_all(
     dimensions: Mapping[str, DataFrame],
     facts: Sequence[tuple[Fact, DataFrame]],
     database: str,
-    dates: Sequence | None = None,
+    dates: DataFrame | Sequence | None = None,
 ) -> dict[str, int | None]:
     """Publish dimensions, then facts; the first failure stops the run.
 
-    With `dates`, only the fact rows of these days are looked at. A fact table that does not
-    exist yet, or whose columns have changed, is filled from all days.
+    With `dates`, only the fact rows of these days are looked at (see `publish_fact`).
     """
     done: dict[str, int | None] = {}
     for name, df in dimensions.items():
         done[name] = publish_dimension(df, database, name)
     for fact, df in facts:
-        table = table_name(database, fact.name)
-        drop_if_schema_changed(df.sparkSession, table, df.schema)
-        if dates is not None and table_exists(df.sparkSession, table):
-            df = df.where(F.col(fact.date_column).isin(list(dates)))
-        done[fact.name] = append_fact(
-            df,
-            table,
-            fact.key,
-            date_column=fact.date_column,
-            key_implies_date=fact.key_implies_date,
-        )
+        done[fact.name] = publish_fact(df, database, fact, dates)
     return done

@@ -11,7 +11,10 @@ from pyspark.sql import types as T
 
 from commerce_lake import schemas
 from commerce_lake.functions.cleaning import cast_columns, strip_column_names, to_int
+from commerce_lake.operators.days import of_days
 from commerce_lake.operators.envelope import flatten_envelope
+from commerce_lake.operators.merge import union_all
+from commerce_lake.sinks import folders
 
 # Text of records that could not be parsed.
 CORRUPT = "_corrupt_record"
@@ -26,7 +29,7 @@ def _no_such_path(error: AnalysisException) -> bool:
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType | None = None,
     *,
     missing_ok: bool = False,
@@ -36,7 +39,7 @@ def read_csv(
     With a schema, columns are picked by name and cast, in one pass (nothing is inferred); values
     that do not fit become null. A missing file is an empty table if `missing_ok`. Several files
     must have the same columns in the same order; one that does not makes the read fail, since
-    its values would land under the wrong names.
+    its values would land under the wrong names (`read_csv_by_name` reads them).
     """
     try:
         df = spark.read.csv(path, header=True, enforceSchema=False)
@@ -53,6 +56,39 @@ def read_csv(
     )
 
 
+def read_csv_by_name(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    optional: Sequence[str] = (),
+    missing_ok: bool = False,
+) -> DataFrame:
+    """CSV files that may have their columns in different orders, or further ones, each with a header.
+
+    Files are grouped by their header line, and each group is read by its own names, so values never
+    land under a wrong one. A column that a group lacks is null if it is `optional`; otherwise the
+    read fails. Headers are read by the driver, one line a file.
+    """
+    groups: dict[str | None, list[str]] = {}
+    for file in folders.files(spark, path):
+        groups.setdefault(folders.first_line(spark, file), []).append(file)
+    groups.pop(None, None)  # files without a line
+    if not groups:
+        if missing_ok:
+            return spark.createDataFrame([], schema)
+        raise FileNotFoundError(f"no CSV file with a header at {path}")
+    found = []
+    for _, files in sorted(groups.items()):
+        df = read_csv(spark, files)
+        lacking = [n for n in optional if n in schema.names and n not in df.columns]
+        df = df.withColumns({n: F.lit(None).cast("string") for n in lacking})
+        schemas.require_columns(df, *schema.names)
+        types = {f.name: f.dataType.simpleString() for f in schema}
+        found.append(cast_columns(df.select(*schema.names), types))
+    return union_all(found)
+
+
 def envelope_file_schema() -> T.StructType:
     """The envelope as it is read: quantity may be written `2` or `2.0`, bad records are kept."""
     data = T.StructType(
@@ -118,11 +154,13 @@ def read_bronze(
     stream_type: str | None = None,
     *,
     by_date: bool = False,
-    dates: Sequence | None = None,
+    dates: Sequence | DataFrame | None = None,
+    keep_date: bool = False,
 ) -> DataFrame:
     """Bronze rows, without rejected ones; only the partitions asked for are read.
 
-    `dates` needs a Bronze table written with `by_date`; None among them stands for undated rows.
+    `dates` (a list, or a table with a column `day`) needs a Bronze table written with `by_date`; null
+    among them stands for undated rows. `keep_date` keeps the partition column `event_date`.
     """
     df = spark.read.schema(bronze_schema(by_date)).parquet(path)
     if stream_type is not None:
@@ -132,9 +170,8 @@ def read_bronze(
     if dates is not None:
         if not by_date:
             raise ValueError("dates needs a Bronze table partitioned by date")
-        wanted = F.col(EVENT_DATE).isin([d for d in dates if d is not None])
-        df = df.where(wanted | F.col(EVENT_DATE).isNull() if None in dates else wanted)
-    return df.select(*schemas.BRONZE_STREAM.names)
+        df = of_days(df, dates, EVENT_DATE)
+    return df.select(*schemas.BRONZE_STREAM.names, *[EVENT_DATE] * keep_date)
 
 
 def split_bronze(spark: SparkSession, path: str, **options) -> Mapping[str, DataFrame]:

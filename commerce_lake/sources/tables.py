@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from commerce_lake.operators.days import of_days
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -18,13 +19,12 @@ def target_keys(
     table: str,
     key: str,
     date_column: str | None = None,
-    dates: Sequence | None = None,
+    dates: Sequence | DataFrame | None = None,
 ) -> DataFrame:
-    """The key column of a table, read alone; with `dates`, from those date partitions only."""
+    """The key column of a table, read alone; with `dates` (a list, or a table with a column `day`),
+    from those date partitions only."""
     df = spark.table(table)
-    if dates is not None:
-        df = df.where(F.col(date_column).isin(list(dates)))
-    return df.select(key)
+    return (df if dates is None else of_days(df, dates, date_column)).select(key)
 
 
 def read_query(

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from commerce_lake import schemas
 from commerce_lake.plans.bronze import bronze_partitions, bronze_rows
+from commerce_lake.shared import new_folder
+from commerce_lake.sinks import folders
 from commerce_lake.sinks.files import write_partitioned
-from commerce_lake.sinks.publish import append_fact, touched_dates
+from commerce_lake.sinks.publish import append_fact
 from commerce_lake.sources.files import EVENT_DATE, REJECTED
+from commerce_lake.streaming.pending import PendingLog
+
+_DAYS = schemas.columns("day date")
 
 
 def start_append(
@@ -34,37 +39,59 @@ def start_append(
     return _start(stream, append, checkpoint)
 
 
-def start_rebuild(
-    stream: DataFrame,
-    bronze: str,
-    checkpoint: str,
-    rebuild: Callable[[Sequence[dt.date] | None, int], None],
+def start_landing(
+    stream: DataFrame, bronze: str, checkpoint: str, note: Callable[[DataFrame, int], None]
 ) -> StreamingQuery:
-    """Land each micro-batch in Bronze (by day), then rebuild the days it touched.
+    """Land each micro-batch in Bronze (by day), after `note` has seen its rows and number.
 
-    `rebuild` gets the touched days (with a null for records without a readable time; no list:
-    too many days, rebuild all) and the batch number.
-    It must read *all* Bronze rows of these days, so that a late row never replaces a full day by
-    a partial one.
-    A replayed micro-batch lands its rows again; the builders drop such repeats.
+    The rows are written once, so files are parsed once whatever the size of the batch, and lost
+    executors cost no second parsing. Rejected records are not shown to `note`. A replayed
+    micro-batch lands its rows again; the builders drop such repeats.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        # Kept (on disk where memory is short) so that the files are parsed once.
-        rows = bronze_rows(batch, by_date=True).persist()
+        spark, place = batch.sparkSession, new_folder(batch.sparkSession, "landed")
+        rows = bronze_rows(batch, by_date=True)
         try:
+            rows.write.parquet(place)
+            written = spark.read.schema(rows.schema).parquet(place)
+            note(written.where(F.col("stream_type") != REJECTED), batch_id)
             write_partitioned(
-                rows, bronze, bronze_partitions(True), replace="append", allow_null=True
+                written, bronze, bronze_partitions(True), replace="append", allow_null=True
             )
-            dates = touched_dates(rows.where(F.col("stream_type") != REJECTED), EVENT_DATE)
         finally:
-            rows.unpersist()
-        if dates is None or dates:
-            rebuild(dates, batch_id)
+            folders.remove(spark, place)
 
     return _start(stream, land, checkpoint)
 
 
+def rebuild_late_days(
+    stream: DataFrame,
+    bronze: str,
+    checkpoint: str,
+    log: PendingLog,
+    rebuild: Callable[[DataFrame], None],
+) -> None:
+    """Land all micro-batches that are there, then rebuild the days that they touched, once.
+
+    `rebuild` gets the days as a table (`day`; null for records without a readable time). It must
+    read *all* Bronze rows of these days, so that a late row never replaces a full day by a partial
+    one. Days are logged before they are landed and forgotten after the rebuild: a run that fails in
+    between is made up for by the next.
+    """
+
+    def note(rows: DataFrame, batch_id: int) -> None:
+        log.add(f"batch-{batch_id}", rows.select(F.col(EVENT_DATE).alias("day")).distinct())
+
+    start_landing(stream, bronze, checkpoint, note).awaitTermination()
+    spark = stream.sparkSession
+    names = log.names(spark)
+    days = log.read(spark, names, _DAYS).distinct()
+    if not days.isEmpty():
+        rebuild(days)
+    log.clear(spark, names)
+
+
 def _start(
     stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:

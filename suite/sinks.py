@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commerce_lake import schemas
 from commerce_lake.plans import gold
 from commerce_lake.plans.event_stream import landing_records
+from commerce_lake.schemas import DIM_USERS
 from commerce_lake.sinks import files
-from commerce_lake.sinks.publish import append_fact, publish_dimension
+from commerce_lake.sinks.pointer import read_current, write_current
+from commerce_lake.sinks.publish import Fact, append_fact, publish_dimension, publish_fact
 from commerce_lake.sources.files import read_bronze, read_envelopes
-from suite.entities import Tables, as_text, day_text
+from suite.entities import FLAT, Tables, as_text, day_text
 from suite.registry import query
+from suite.scans import FLAT_COLUMNS
 from suite.star import DATE_SQL, PRODUCTS_SQL, dim_date_of, dim_products_of
 
 CORRECTED_FROM = "2024-01-15"
@@ -90,14 +92,12 @@ def dim_date_sorted(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
-@query("sink_json_envelope", "SELECT * EXCLUDE (event_time) FROM items", "items")
+@query("sink_json_envelope", f"SELECT {FLAT} FROM stream", "stream")
 def sink_json_envelope(t: Tables) -> DataFrame:
+    """All four stream types, written and read back."""
     path = t.new_path("json")
     files.write_json(landing_records(t.envelopes()), path)
-    flat = read_envelopes(t.spark, path, multi_line=False)
-    return flat.where("stream_type = 'order_items'").select(
-        *schemas.VARIANT_FIELDS["order_items"]
-    )
+    return read_envelopes(t.spark, path, multi_line=False).select(*FLAT_COLUMNS)
 
 
 @query("publish_dimension", PRODUCTS_SQL, "products", "reviews")
@@ -119,3 +119,46 @@ def fact_incremental_append(t: Tables) -> DataFrame:
     append_fact(rows, table, "event_id")
     append_fact(rows, table, "event_id")
     return t.spark.table(table)
+
+
+@query("sink_guarded_replacement", "SELECT user_id, name, email, gender, city FROM users", "users")
+def sink_guarded_replacement(t: Tables) -> DataFrame:
+    """A dimension at a path: half of it, then all, then an empty and a failing replacement."""
+    users, path = gold.build_dim_users(t.users()), t.new_path("dim_users")
+    write_current(users.where("CAST(user_id AS BIGINT) % 2 = 0"), path)
+    write_current(users, path)
+    write_current(users.where("false"), path)
+    try:
+        write_current(users.withColumn("name", F.raise_error(F.lit("broken")).cast("string")), path)
+    except Exception as error:
+        if "broken" not in str(error):
+            raise
+    return read_current(t.spark, path, DIM_USERS)
+
+
+@query(
+    "append_after_schema_change",
+    f"""
+    SELECT event_id, user_id, event_type, product_id, {day_text('event_time')} AS day
+    FROM shop_events
+    """,
+    "shop_events",
+)
+def append_after_schema_change(t: Tables) -> DataFrame:
+    """A fact without products is published, then one with products fails half-way, is filled from
+    all days, and gets the rest day by day."""
+    database, fact = t.new_database("changed"), Fact("fact_events", "event_id", "day")
+    rows = t.events().withColumn("day", F.col("event_time").cast("date"))
+    wide = rows.select("event_id", "user_id", "event_type", "product_id", "day")
+    early = wide.where("event_type IN ('view', 'click')")
+    publish_fact(early.drop("product_id"), database, fact)
+    broken = F.when(F.col("event_type") == "click", F.raise_error(F.lit("broken")).cast("string"))
+    try:
+        publish_fact(early.withColumn("product_id", broken), database, fact)
+    except Exception as error:
+        if "broken" not in str(error):
+            raise
+    publish_fact(early, database, fact)
+    publish_fact(wide, database, fact, wide.where("event_type = 'signup'").select("day").distinct())
+    publish_fact(wide, database, fact)
+    return t.spark.table(f"{database}.FACT_EVENTS")

@@ -10,6 +10,7 @@ from commerce_lake.operators.envelope import assign_batches, batch_type_counts
 from commerce_lake.operators.envelope import record_id as id_of
 from commerce_lake.operators.quality import table_summary
 from commerce_lake.plans import gold
+from commerce_lake.plans.csv_entry import TIME_COLUMNS, csv_event_stream
 from commerce_lake.plans.event_stream import (
     build_event_stream,
     landing_records,
@@ -17,9 +18,10 @@ from commerce_lake.plans.event_stream import (
 )
 from commerce_lake.sinks.files import write_json, write_partitioned
 from commerce_lake.sources.files import read_bronze, read_envelopes, split_bronze
-from commerce_lake.streaming.facts import start_append, start_rebuild
+from commerce_lake.streaming.facts import rebuild_late_days, start_append
 from commerce_lake.streaming.landing import read_landing, start_bronze
-from suite.entities import FLAT, LOADED_AT, Tables, time_text
+from commerce_lake.streaming.pending import PendingLog
+from suite.entities import FLAT, LOADED_AT, Tables, as_text
 from suite.registry import query
 from suite.scans import FLAT_COLUMNS
 from suite.star import FACT_EVENTS_SQL, FIRST_DAY, LAST_DAY, loaded_at
@@ -32,15 +34,29 @@ _IN_STREAM = f"CAST((row_number() OVER ({_ORDER}) - 1) // {BATCH} AS BIGINT)"
 @query(
     "event_stream_batched",
     f"""
-    SELECT {_IN_STREAM} AS batch_id, stream_type, {time_text('event_time')} AS event_time,
-           record_id
-    FROM stream
+    SELECT {_IN_STREAM} AS batch_id, {FLAT}, record_id FROM stream
     """,
     "stream",
 )
 def event_stream_batched(t: Tables) -> DataFrame:
     stream = build_event_stream(t.source_tables(), BATCH)
-    return stream.select("batch_id", "stream_type", "event_time", id_of().alias("record_id"))
+    return stream.select("batch_id", "stream_type", "event_time", "data.*", id_of().alias("record_id"))
+
+
+@query("csv_to_event_stream", f"SELECT {_IN_STREAM} AS batch_id, {FLAT} FROM stream", "stream")
+def csv_to_event_stream(t: Tables) -> DataFrame:
+    """The source tables as CSV files, each with its own time column, orders under two headers."""
+    folder = t.new_path("csv_source")
+    for name, table in t.source_tables().items():
+        time = TIME_COLUMNS.get(name)
+        named = table if time is None else as_text(table).withColumnRenamed("event_time", time)
+        halves = [named]
+        if name == "orders":
+            even = F.col("order_id").cast("bigint") % 2 == 0
+            halves = [named.where(even), named.where(~even).select(*reversed(named.columns))]
+        for k, half in enumerate(halves):
+            half.write.csv(f"{folder}/{name}.csv/{k}", header=True)
+    return csv_event_stream(t.spark, folder, BATCH).select("batch_id", "stream_type", "event_time", "data.*")
 
 
 @query(
@@ -117,9 +133,10 @@ def stream_late_partition_rebuild(t: Tables) -> DataFrame:
     """Sign-ups arrive after the days they belong to were written."""
     landing, bronze = t.new_path("landing_late"), t.new_path("bronze_by_day")
     fact, state = t.new_path("fact_events"), t.new_path("state")
+    log = PendingLog(t.new_path("late_days"))
 
-    def rebuild(dates, batch_id) -> None:
-        rows = read_bronze(t.spark, bronze, "events", by_date=True, dates=dates)
+    def rebuild(days) -> None:
+        rows = read_bronze(t.spark, bronze, "events", by_date=True, dates=days)
         built = gold.build_fact_events(rows, loaded_at=loaded_at())
         write_partitioned(built, fact, ["event_date_id"])
 
@@ -128,7 +145,7 @@ def stream_late_partition_rebuild(t: Tables) -> DataFrame:
     for part in (events.where(~late), events.where(late)):
         _deliver(t, part, landing)
         arrivals = read_landing(t.spark, landing, multi_line=False)
-        start_rebuild(arrivals, bronze, state, rebuild).awaitTermination()
+        rebuild_late_days(arrivals, bronze, state, log, rebuild)
     written = t.spark.read.schema(schemas.FACT_EVENTS).parquet(fact)
     return written.select(*schemas.FACT_EVENTS.names)
 

@@ -28,13 +28,12 @@ def flatten_envelope(t: Tables) -> DataFrame:
 
 @query(
     "build_envelope",
-    f"SELECT stream_type, {time_text('event_time')} AS event_time, record_id FROM stream "
-    "WHERE event_time IS NOT NULL",
+    f"SELECT {FLAT}, record_id FROM stream WHERE event_time IS NOT NULL",
     "stream",
 )
 def build_envelope(t: Tables) -> DataFrame:
     return t.envelopes().select(
-        "stream_type", "event_time", envelope.record_id().alias("record_id")
+        "stream_type", "event_time", "data.*", envelope.record_id().alias("record_id")
     )
 
 

@@ -6,11 +6,14 @@ from types import SimpleNamespace
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from commerce_lake import schemas, shared
+from commerce_lake.operators.days import of_days
+from commerce_lake.plans import csv_entry
 from commerce_lake.plans.bronze import ingest_static_bronze, ingest_stream_bronze
 from commerce_lake.sinks import files as out
-from commerce_lake.sinks import publish, versions
+from commerce_lake.sinks import folders, pointer, publish, versions
 from commerce_lake.sources import files, tables
 from frames import event, frame, item, order, review, values, write_array
 
@@ -283,22 +286,116 @@ def test_append_reads_only_the_days_of_the_batch(spark, database):
     assert values(tables.target_keys(spark, table, "k", "d", [D1, D3])) == [("1",), ("3",)]
 
 
-def test_too_many_days_mean_all_days(spark):
-    days = frame(spark, "d date", [D1], [D2], [D2])
-    assert sorted(publish.touched_dates(days, "d")) == [D1, D2]
-    assert publish.touched_dates(days, "d", most=1) is None
+def test_days_may_be_a_table_of_any_length(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = frame(spark, "v int, d date", [1, D1], [2, D2], [3, None])
+    out.write_partitioned(rows, path, ["d"], allow_null=True)
+    written = spark.read.schema(rows.schema).parquet(path)
+    many = spark.sql("SELECT explode(sequence(DATE'0001-01-01', DATE'2024-01-01', INTERVAL 1 DAY)) AS day")
+    assert values(of_days(written, many, "d"), "v") == [(1,)]
+    assert values(of_days(written, frame(spark, "day date", [D2], [None], [D2]), "d"), "v") == [(2,), (3,)]
+    assert values(of_days(written, [D2, None], "d"), "v") == [(2,), (3,)]
+    assert of_days(written, many.limit(0), "d").isEmpty()
+    plan = of_days(written, many, "d")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+
+
+FACT = publish.Fact("fact", "k", "d")
+
+
+def test_changed_columns_refill_without_a_gap(spark, database):
+    name = f"{database}.FACT"
+    rows = frame(spark, "k string, v int, d date", ["1", 0, D1], ["2", 0, D2])
+    assert publish.publish_fact(rows, database, FACT) == 2
+    wider = rows.withColumn("w", F.lit(1)).union(frame(spark, "k string, v int, d date, w int", ["3", 0, D2, 2]))
+    broken = wider.withColumn("w", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        publish.publish_fact(broken, database, FACT)
+    assert values(spark.table(name), "k", "v") == [("1", 0), ("2", 0)]
+    assert publish.publish_fact(wider.where("false"), database, FACT) == 0
+    assert values(spark.table(name), "k") == [("1",), ("2",)]
+    assert publish.publish_fact(wider, database, FACT, [D2]) == 3  # all days, as the table is new
+    assert values(spark.table(name), "k", "w") == [("1", 1), ("2", 1), ("3", 2)]
+    more = wider.union(frame(spark, "k string, v int, d date, w int", ["4", 0, D1, 2], ["5", 0, D2, 2]))
+    assert publish.publish_fact(more, database, FACT, [D1]) == 1
+    assert publish.publish_fact(more, database, FACT, frame(spark, "day date", [D2])) == 1
+    assert publish.publish_fact(more, database, FACT) == 0
+
+
+def test_readers_keep_the_version_before(spark, database):
+    rows = frame(spark, "k string, d date", ["1", D1])
+    publish.publish_fact(rows, database, FACT)
+    shown = versions.current_version(spark, f"{database}.FACT")
+    publish.publish_fact(rows.withColumn("v", F.lit(1)), database, FACT)
+    assert versions.current_version(spark, f"{database}.FACT") != shown
+    assert values(spark.table(shown)) == [("1", D1)]
 
 
-def test_changed_columns_rebuild_the_fact(spark, database):
-    table = f"{database}.fact"
-    df = frame(spark, "k string, v int", ["1", 0])
-    assert not publish.drop_if_schema_changed(spark, table, df.schema)
-    publish.append_fact(df, table, "k")
-    assert not publish.drop_if_schema_changed(spark, table, df.schema)
-    wider = df.withColumn("w", F.lit(1))
-    assert publish.drop_if_schema_changed(spark, table, wider.schema)
-    assert not tables.table_exists(spark, table)
-    publish.drop_table(spark, table)
+def test_a_refill_cut_off_is_not_appended_to(spark, database):
+    rows = frame(spark, "k string, d date", ["1", D1])
+    publish.publish_fact(rows, database, FACT)
+    shown = versions.current_version(spark, f"{database}.FACT")
+    rows.limit(0).write.saveAsTable(f"{database}.FACT__v000002_00000000")  # left behind by a lost driver
+    assert versions.current_version(spark, f"{database}.FACT") == shown
+    assert publish.publish_fact(rows.union(frame(spark, "k string, d date", ["2", D1])), database, FACT) == 1
+    assert spark.table(f"{database}.FACT").count() == 2
+
+
+def test_a_plain_table_is_appended_to_until_its_columns_change(spark, database):
+    rows = frame(spark, "k string, d date", ["1", D1])
+    publish.append_fact(rows, f"{database}.FACT", "k", date_column="d")
+    more = rows.union(frame(spark, "k string, d date", ["2", D2]))
+    assert publish.publish_fact(more, database, FACT) == 1
+    assert values(spark.table(f"{database}.FACT"), "k") == [("1",), ("2",)]
+    assert publish.publish_fact(more.withColumn("v", F.lit(1)), database, FACT) == 2
+    assert versions.current_version(spark, f"{database}.FACT") is not None
+    assert values(spark.table(f"{database}.FACT"), "k", "v") == [("1", 1), ("2", 1)]
+
+
+def test_an_empty_fact_is_published_once(spark, database):
+    rows = frame(spark, "k string, d date", ["1", D1])
+    assert publish.publish_fact(rows.limit(0), database, FACT) == 0
+    assert spark.table(f"{database}.FACT").count() == 0
+    assert publish.publish_fact(rows, database, FACT) == 1
+
+
+# --- path tables with a pointer
+
+ID = T.StructType([T.StructField("id", T.LongType())])
+
+
+def test_a_pointer_commits_whole_tables(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    assert pointer.read_current(spark, path, ID).isEmpty()
+    assert pointer.write_current(spark.range(0), path) == 0
+    assert pointer.current_path(spark, path) is None
+    for n in range(1, 5):
+        assert pointer.write_current(spark.range(n), path) == n
+        assert pointer.read_current(spark, path, ID).count() == n
+    assert len(glob.glob(f"{path}/v*")) == 2
+    before = pointer.read_current(spark, path, ID)
+    assert pointer.write_current(before.union(spark.range(9, 10)), path) == 5  # may read from itself
+    assert before.count() == 4
+
+
+def test_a_failed_or_empty_write_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    pointer.write_current(spark.range(3), path)
+    failing = spark.range(3).select(F.raise_error(F.lit("broken")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        pointer.write_current(failing, path)
+    assert pointer.write_current(spark.range(0), path) == 0
+    assert pointer.read_current(spark, path, ID).count() == 3
+    assert len(glob.glob(f"{path}/v*")) == 1
+
+
+def test_small_files_are_replaced_at_once(spark, tmp_path):
+    path = str(tmp_path / "note")
+    assert folders.read_text(spark, path) is None
+    for text in ("one", "zwei ü"):
+        folders.replace_text(spark, path, text)
+        assert folders.read_text(spark, path) == text
+    assert folders.children(spark, str(tmp_path)) == ["note"]
 
 
 def test_publishing_stops_at_the_first_failure(spark, database):
@@ -311,3 +408,47 @@ def test_publishing_stops_at_the_first_failure(spark, database):
     assert not tables.table_exists(spark, f"{database}.fact")
     done = publish.publish_all({"good": spark.range(3)}, [(fact, rows)], database)
     assert done == {"good": 3, "fact": 1}
+
+
+# --- CSV entry
+
+
+def write_text(folder, name, text):
+    os.makedirs(str(folder), exist_ok=True)
+    with open(os.path.join(str(folder), name), "w") as f:
+        f.write(text)
+
+
+def test_csv_columns_are_read_by_name_in_every_file(spark, tmp_path):
+    schema = schemas.columns("a string, b int, review_text string")
+    folder = tmp_path / "t.csv"
+    write_text(folder, "1.csv", "a,b\nx,1\n")
+    write_text(folder, "2.csv", " b , a ,c\n2,y,z\n")
+    write_text(folder, "3.csv", "review_text,b,a\nfine,3.0,w\n")
+    write_text(folder, "4.csv", "")
+    found = files.read_csv_by_name(spark, str(folder), schema, optional=["review_text"])
+    assert values(found) == [("w", 3, "fine"), ("x", 1, None), ("y", 2, None)]
+    with pytest.raises(schemas.SchemaMismatch, match="missing review_text"):
+        files.read_csv_by_name(spark, str(folder), schema)
+    assert files.read_csv_by_name(spark, str(tmp_path / "none"), schema, missing_ok=True).isEmpty()
+    with pytest.raises(FileNotFoundError):
+        files.read_csv_by_name(spark, str(tmp_path / "none"), schema)
+
+
+def test_each_table_has_its_own_time(spark, tmp_path):
+    source = tmp_path / "csv"
+    write_text(source, "events.csv", "event_id,user_id,product_id,event_type,event_timestamp\ne1,u,p,view,2024-01-02 10:00:00\ne2,u,p,view,junk\n")
+    write_text(source, "orders.csv", "order_id,user_id,total_amount,order_status,order_date\no1,u,NaN,Done,2024-01-01\n")
+    write_text(source, "order_items.csv", "order_item_id,order_id,product_id,quantity,item_price\ni1,o1,p,2.0,1.5\ni2,o9,p,2,1.5\n")
+    write_text(source, "users.csv", "user_id,name,email,city,gender\nu,A,a,Rome,F\n")
+    stream = csv_entry.csv_event_stream(spark, str(source), 2)
+    assert values(stream, "batch_id", "stream_type", "data.order_item_id", "data.total_amount") == [
+        (0, "order_items", "i1", None), (0, "orders", None, None), (1, "events", None, None),
+    ]
+    day = csv_entry.csv_event_stream(spark, str(source), 2, day=dt.date(2024, 1, 1))
+    assert values(day, "stream_type") == [("order_items",), ("orders",)]
+    landing = str(tmp_path / "landing")
+    csv_entry.land_csv(spark, str(source), landing, stream)
+    assert files.read_envelopes(spark, f"{landing}/stream", multi_line=False).count() == 3
+    assert files.read_json_table(spark, f"{landing}/static/users.json", schemas.USERS, multi_line=False).count() == 1
+    assert not os.path.exists(f"{landing}/static/products.json")
