@@ -16,6 +16,7 @@ from commerce_lake.operators.merge import merge_by_key, union_all
 from commerce_lake.operators.quality import table_summary
 from commerce_lake.plans import gold
 from commerce_lake.plans.day_index import ARRIVAL, DayIndex, arrivals
+from commerce_lake.plans.ratings import RatingState
 from commerce_lake.shared import materialize
 from commerce_lake.sinks import folders
 from commerce_lake.sinks.files import drop_partitions, write_partitioned
@@ -83,6 +84,10 @@ class Lake:
     def index(self) -> DayIndex:
         return DayIndex(self.state("index"), self.index_buckets)
 
+    @property
+    def ratings(self) -> RatingState:
+        return RatingState(self.state("ratings"), self.index_buckets)
+
     @property
     def pending(self) -> PendingLog:
         return PendingLog(self.state("pending"))
@@ -147,16 +152,18 @@ def changed_prices(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def land_stream(spark: SparkSession, lake: Lake) -> None:
-    """Bring all new landing files into Bronze and into the index of days, and note what came.
+    """Bring all new landing files into Bronze, the index of days and the ratings; note what came.
 
     However many micro-batches there are, facts are rebuilt once, afterwards (see `run_daily`).
     """
-    index = lake.index
+    index, ratings = lake.index, lake.ratings
     if not index.exists(spark):
         bronze = bronze_tables(spark, lake)
         if bronze is None:
             index.complete(spark)
         else:  # a lake that was begun without an index
+            folders.remove(spark, ratings.path)
+            ratings.add(bronze["reviews"], -1)
             whole = union_all([arrivals(df) for df in bronze.values()])
             index.build(materialize(whole, "index"))
             facts = read_or_empty(spark, lake.gold("fact_orders"), schemas.FACT_ORDERS)
@@ -164,6 +171,9 @@ def land_stream(spark: SparkSession, lake: Lake) -> None:
 
     def note(rows: DataFrame, batch_id: int) -> None:
         index.add(lake.pending.add(f"batch-{batch_id}", arrivals(rows)))
+        reviews = rows.where("stream_type = 'reviews'")
+        if not reviews.isEmpty():
+            ratings.add(reviews, batch_id)
 
     folders.make(spark, lake.stream_landing)
     stream = read_landing(
@@ -264,8 +274,8 @@ def rebuild_dimensions(spark: SparkSession, lake: Lake, arrived: DataFrame | Non
     if tables is None:
         return
     products = read_current(spark, lake.bronze("products"), schemas.PRODUCTS)
-    reviews = tables["reviews"].drop(EVENT_DATE)
-    write_current(gold.build_dim_products(products, reviews), lake.gold("dim_products"))
+    ratings = lake.ratings.ratings(spark)
+    write_current(gold.with_ratings(products, ratings), lake.gold("dim_products"))
     if arrived is None:
         arrived = union_all([arrivals(df) for df in tables.values()])
     days = arrived.select("day").distinct()
@@ -313,8 +323,7 @@ def run_daily(spark: SparkSession, lake: Lake) -> dict[str, int | None]:
 
     Starting again after a failure continues where it stopped, and a run without new files
     changes no fact. Afterwards the facts are those of a full build, also where records moved to
-    other days or prices changed; only the days concerned are read and written. Product ratings
-    need all reviews.
+    other days or prices changed; only the days concerned are read and written.
     """
     create_database(spark, lake.gold_database, lake.gold("tables"))
     create_database(spark, lake.warehouse_database, f"{lake.root}/warehouse")
@@ -329,6 +338,7 @@ def run_daily(spark: SparkSession, lake: Lake) -> dict[str, int | None]:
     published = publish_gold(spark, lake, days)
     lake.pending.clear(spark, names)
     lake.index.compact(spark)
+    lake.ratings.compact(spark)
     return published
 
 

@@ -38,7 +38,7 @@ def _latest(
     return unique.select(*columns)
 
 
-def _with_content(df: DataFrame, key: str) -> DataFrame:
+def with_content(df: DataFrame, key: str) -> DataFrame:
     """Add `_content`, a digest of the whole record but its ingestion time, for rows without `key`.
 
     Such rows repeat each other only if all their columns agree, also those no plan uses.
@@ -67,25 +67,30 @@ def list_prices(products: DataFrame) -> DataFrame:
     return _latest(products, ["product_id"], columns).withColumnRenamed("price", "list_price")
 
 
+def with_ratings(products: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Products with their ratings; 0.0 and 0 where there are none."""
+    return lookup(
+        list_prices(products), ratings, "product_id", ["avg_rating", "review_count"]
+    ).withColumns(
+        {
+            "avg_rating": F.coalesce("avg_rating", F.lit(0.0)),
+            "review_count": F.coalesce("review_count", F.lit(0)),
+        }
+    )
+
+
 def build_dim_products(
     products: DataFrame, reviews: DataFrame, *, resent: bool = True
 ) -> DataFrame:
-    """Products with their ratings; 0.0 and 0 where there are none.
+    """Products with the ratings that all reviews give them.
 
     `resent=False` states that no review occurs twice and saves the check.
     """
     if resent:
         columns = ["review_id", "product_id", "rating", "_content"]
-        reviews = _with_content(reviews, "review_id")
+        reviews = with_content(reviews, "review_id")
         reviews = _latest(reviews, ["review_id"], columns, null_keys="content")
-    return lookup(
-        list_prices(products), product_ratings(reviews), "product_id", ["avg_rating", "review_count"]
-    ).withColumns(
-        {
-            "avg_rating": F.coalesce("avg_rating", F.lit(0.0)),
-            "review_count": F.coalesce("review_count", F.lit(0)),
-        }
-    )
+    return with_ratings(products, product_ratings(reviews))
 
 
 def event_days(*tables: DataFrame) -> DataFrame:
@@ -129,7 +134,7 @@ def order_lines(items: DataFrame, *, resent: bool = True) -> DataFrame:
     columns = ["order_item_id", "order_id", "product_id", "quantity", "item_price", "_content"]
     usable = require_not_null(items, "order_id", "product_id")
     if resent:
-        usable = _with_content(usable, "order_item_id")
+        usable = with_content(usable, "order_item_id")
         usable = _latest(usable, ["order_item_id"], columns, null_keys="content")
     return usable.select(
         "order_item_id",

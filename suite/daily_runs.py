@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from commerce_lake.plans import daily
 from commerce_lake.plans.day_index import DayIndex, arrivals
 from commerce_lake.plans.event_stream import landing_records
+from commerce_lake.plans.ratings import RatingState
 from commerce_lake.shared import materialize
 from commerce_lake.sinks.files import write_json
 from commerce_lake.operators.envelope import flatten_envelope
@@ -147,6 +148,31 @@ def daily_warehouse(t: Tables) -> DataFrame:
     return daily.table_summary({n: t.spark.table(f"{lake.warehouse_database}.{n}") for n in names})
 
 
+@query(
+    "daily_ratings",
+    """
+    SELECT product_id, round(avg(rating), 2) AS avg_rating, count(review_id) AS review_count
+    FROM (SELECT * FROM reviews QUALIFY row_number() OVER (
+              PARTITION BY review_id ORDER BY product_id, rating) = 1)
+    WHERE rating IS NOT NULL GROUP BY product_id
+    """,
+    "reviews",
+)
+def daily_ratings(t: Tables) -> DataFrame:
+    """Ratings by signed changes: some reviews came first with another rating, for another product."""
+    state = RatingState(t.new_path("ratings"), 16)
+    rows = t.envelopes().where("stream_type = 'reviews'")
+    data, product = F.col("data"), _number("product_id")
+    wrong = rows.where(product % 3 == 0).withColumn(
+        "data", data.withField("rating", F.col("data.rating") - 1).withField("product_id", (product + 1).cast("string"))
+    )
+    deliveries = [wrong, rows.where(product % 3 != 0), rows.where(product % 3 == 0)]
+    for number, delivery in enumerate(deliveries):
+        arrived = F.lit(f"2024-02-0{number + 1} 00:00:00").cast("timestamp_ntz")
+        state.add(materialize(flatten_envelope(landing_records(delivery, arrived)), "reviews"), number)
+    return state.ratings(t.spark)
+
+
 @query(
     "day_index_links",
     f"""

@@ -14,6 +14,7 @@ from commerce_lake import schemas
 from commerce_lake.operators.days import of_days
 from commerce_lake.plans import daily
 from commerce_lake.plans.day_index import DayIndex, arrivals
+from commerce_lake.plans.ratings import RatingState
 from commerce_lake.sinks import folders
 from commerce_lake.streaming.facts import rebuild_late_days
 from commerce_lake.streaming.landing import read_landing
@@ -193,7 +194,7 @@ def test_a_failing_dimension_leaves_the_old_one(spark, lake, monkeypatch):
         return spark.range(1).select(F.raise_error(F.lit("broken")).alias("product_id"))
 
     with monkeypatch.context() as patch:
-        patch.setattr(daily.gold, "build_dim_products", broken)
+        patch.setattr(daily.gold, "with_ratings", broken)
         with pytest.raises(Exception, match="broken"):
             daily.run_daily(spark, lake)
     assert values(daily.gold_tables(spark, lake)["dim_products"]) == before
@@ -317,3 +318,44 @@ def test_facts_of_a_day_read_linked_partitions_only(spark, lake):
     assert values(found["order_items"], "order_item_id") == [("i1",), ("i3",), ("i9",)]
     assert values(found["orders"], "order_id") == [("o1",)]
     assert "dynamicpruning" in of_days(tables["order_items"], near, EVENT_DATE)._jdf.queryExecution().executedPlan().toString()
+
+
+# --- ratings
+
+
+def rating_rows(spark, *records):
+    rows = flat(spark, *records)
+    stamps = frame(spark, "event_time string, stamp string", *sorted({(r["event_time"], r["ingestion_time"]) for r in records}))
+    return rows.join(stamps, "event_time").withColumnRenamed("stamp", "ingestion_time").cache()
+
+
+def test_ratings_by_changes_equal_those_of_all_reviews(spark, tmp_path):
+    rng = random.Random(3)
+    state, everything = RatingState(str(tmp_path / "ratings"), 4), None
+    for number in range(4):
+        records = []
+        for _ in range(20):  # the time tells the arrival here
+            record = review(rng.choice([f"r{rng.randrange(15)}", None]), TIMES[number], f"p{rng.randrange(4)}", rng.choice([1.0, 2.5, 4.0, None]))
+            records.append({**record, "ingestion_time": f"2024-02-0{number + 1}"})
+        rows = rating_rows(spark, *records)
+        state.add(rows, number)
+        if number == 2:
+            state.add(rows, number)  # again, as after a failure
+            assert state.compact(spark, most_files=0)
+        everything = rows if everything is None else everything.unionByName(rows)
+        products = frame(spark, "product_id string, product_name string, category string, price double, brand string", *[[f"p{k}", "n", "c", 1.0, "b"] for k in range(4)])
+        full = values(daily.gold.build_dim_products(products, everything))
+        assert values(daily.gold.with_ratings(products, state.ratings(spark))) == full
+
+
+def test_an_addition_reads_its_own_buckets_only(spark, tmp_path):
+    state = RatingState(str(tmp_path / "ratings"), 64)
+    state.add(rating_rows(spark, *[{**review(f"r{k}", TIMES[0]), "ingestion_time": "1"} for k in range(200)]), 0)
+    mine = rating_rows(spark, {**review("r7", TIMES[1], "p2", 1.0), "ingestion_time": "2"})
+    bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit("id r7")), F.lit(64))).first()[0]
+    spoiled = [f for f in glob.glob(f"{tmp_path}/ratings/v*/records/bucket=*/*/*.parquet") if f"/bucket={bucket}/" not in f]
+    assert len(spoiled) > 40
+    for file in spoiled:
+        open(file, "w").close()
+    state.add(mine, 1)
+    assert values(state.ratings(spark), "product_id", "avg_rating", "review_count") == [("p1", 4.0, 199), ("p2", 1.0, 1)]
