@@ -23,6 +23,8 @@ LEAST_EDITED = 9
 TENTH = 10
 #: Words of the longest lines that are compared by edits; beyond, by the words they have in common.
 LONGEST_EDIT = 1 << 20
+#: Seeds of the codes of words that confirm a similar pair; with the first, 28,000^4 (2^59) codes.
+CONFIRM = [1, 2, 3]
 #: Pairs that one task compares.
 PAIRS = 4096
 #: Bits of the sketch that tells lines apart before they are compared word by word.
@@ -71,9 +73,9 @@ def first_grams(docs: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataF
     return firsts.select(F.explode("grams").alias("gram"), "node", F.struct("n").alias("about"))
 
 
-def _code(word: Column) -> Column:
-    """One of 28,000 numbers for each word."""
-    return F.pmod(F.xxhash64(word), F.lit(28_000))
+def _code(word: Column, seed: int = 0) -> Column:
+    """One of 28,000 numbers for each word; other seeds give independent ones."""
+    return F.pmod(F.xxhash64(word, F.lit(seed)) if seed else F.xxhash64(word), F.lit(28_000))
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
@@ -98,9 +100,9 @@ def _close(x: Column, y: Column) -> Column:
     return few | (longer > LONGEST_EDIT)
 
 
-def _coded(norm: Column) -> Column:
+def _coded(norm: Column, seed: int = 0) -> Column:
     """A line with one character (of 28,000, by a hash) for each word."""
-    code = lambda w: F.lpad(F.hex(F.lit(0x4000) + _code(w)), 4, "0")
+    code = lambda w: F.lpad(F.hex(F.lit(0x4000) + _code(w, seed)), 4, "0")
     return F.decode(F.unhex(F.array_join(F.transform(F.split(norm, " "), code), "")), "UTF-16BE")
 
 
@@ -145,13 +147,20 @@ def line_groups(places: DataFrame, docs: DataFrame, id: str, text: str, min_word
         for x in ("a", "b"):
             pairs = left_by_size(pairs, near.select(F.col("node").alias(x), F.col("sketch").alias(f"{x}_sketch")), x, 300)
         pairs = keep(pairs.where(_close(F.col("a_sketch"), F.col("b_sketch"))).select("a", "b"), "close_pairs")
-        coded = texts.select("node", _coded(F.col("norm")).alias("coded"))
-        side = lambda x: coded.select(F.col("node").alias(x), F.col("coded").alias(f"{x}_coded"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        # Few bytes, but long to compare: spread by number. The part's own number in the condition
-        # keeps the optimizer from comparing before that.
-        both = both.repartition(1 + pairs.count() // PAIRS, "a", "b").withColumn("task", F.spark_partition_id())
-        return both.where((F.col("task") >= 0) & _edit_similar(F.col("a_coded"), F.col("b_coded"))).select("a", "b")
+        # Different words may have one character, which makes lines look nearer than they are. What
+        # is similar by one code is compared again by others, of which each would have to err.
+        for seeds in ([0], CONFIRM):
+            coded = texts.select("node", *[_coded(F.col("norm"), k).alias(f"c{k}") for k in seeds])
+            side = lambda x: coded.select(F.col("node").alias(x), *[F.col(f"c{k}").alias(f"{x}{k}") for k in seeds])  # noqa: E731, B023
+            both = pairs.join(side("a"), "a").join(side("b"), "b")
+            # Few bytes, but long to compare: spread by number. The part's own number in the condition
+            # keeps the optimizer from comparing before that.
+            both = both.repartition(1 + pairs.count() // PAIRS, "a", "b").withColumn("task", F.spark_partition_id())
+            similar = F.col("task") >= 0
+            for k in seeds:
+                similar = similar & _edit_similar(F.col(f"a{k}"), F.col(f"b{k}"))
+            pairs = keep(both.where(similar).select("a", "b"), "similar_pairs")
+        return pairs
 
     postings = first_grams(docs, text, min_words)
     return linked_components(postings, ["gram"], weights, plausible, verify, lambda nodes: _sketched(texts_of(nodes)), _close)
@@ -183,12 +192,12 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
     firsts = places.groupBy("group").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "line_no", "doc")).alias("kept"))
     firsts = keep(firsts.where("n > 1").select("group", F.col("kept.doc").alias("kept_doc"), F.col("kept.line_no").alias("kept_no")), "line_firsts")
     gone = left_by_size(places, firsts, "group", 32).where("kept_doc IS NOT NULL AND (doc <> kept_doc OR line_no <> kept_no)")
-    gone = keep(gone.groupBy("doc").agg(F.sort_array(F.collect_list("line_no")).alias("gone")), "lines_gone")
+    gone = keep(gone.groupBy("doc").agg(F.sort_array(F.collect_list("line_no")).alias("gone_lines_")), "lines_gone")
     out = left_by_size(docs.withColumn("doc_key_", row_key(id, text)), gone.withColumnRenamed("doc", "doc_key_"), "doc_key_", 64)
     lines = F.split(text, "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n")
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone_lines_"), i)), "\n")
     return out.withColumns({
         "n_lines": F.coalesce(F.size(lines), F.lit(0)),
-        "n_dropped": F.coalesce(F.size("gone"), F.lit(0)),
-        text: F.when(F.col("gone").isNull(), F.col(text)).otherwise(left),
+        "n_dropped": F.coalesce(F.size("gone_lines_"), F.lit(0)),
+        text: F.when(F.col("gone_lines_").isNull(), F.col(text)).otherwise(left),
     }).select(*docs.columns, "n_lines", "n_dropped")

@@ -76,10 +76,10 @@ def judge_urls(urls: DataFrame, rules: DataFrame, *, url: str = "url", default:
                 F.concat("rule_host", "rule_path").alias("rule"),
                 F.col("action").alias("action"),
             )
-        ).alias("best")
+        ).alias("best_")
     )
     return judged.join(best, ["host", "path"], "left").select(
         *[c for c in judged.columns],
-        F.col("best.rule").alias("rule"),
-        F.coalesce("best.action", F.lit(default)).alias("verdict"),
+        F.col("best_.rule").alias("rule"),
+        F.coalesce("best_.action", F.lit(default)).alias("verdict"),
     )

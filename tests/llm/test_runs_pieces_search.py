@@ -8,11 +8,14 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from commerce_lake.llm import lexical_search, piece_codec
 from commerce_lake.llm.lexical_search import best, multiply, panels, ranked_search
+from commerce_lake.llm.line_dedup import _code, dedup_lines
 from commerce_lake.llm.periodic_runs import collapse, periodic_runs, runs_of, shallowest
 from commerce_lake.llm.piece_codec import agree, code_pieces, codec
+from commerce_lake.llm.url_filters import judge_urls
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 # Extra columns with names that the operators use inside.
@@ -219,3 +222,32 @@ def test_equal_scores_go_by_place():
     assert best(np.array([5, 0, 7, 5, 5, 9]), 3).tolist() == [5, 2, 0]
     assert best(np.array([5, 0, 7, 5, 5, 9]), 10).tolist() == [5, 2, 0, 3, 4]
     assert best(np.array([0, 0]), 3).tolist() == []
+
+
+# --- earlier operators: clashing names, words that share a code
+
+
+def test_extra_columns_may_have_any_name(spark):
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, action string")
+    urls = spark.createDataFrame([("http://a.net/", 1, 2)], "url string, best int, action int")
+    row = judge_urls(urls, rules).first()
+    assert (row["best"], row["action"], row["verdict"]) == (1, 2, "block")
+    docs = spark.createDataFrame([(1, "one line\none line", 3, 4)], "doc_id bigint, text string, gone int, line int")
+    row = dedup_lines(docs).first()
+    assert (row["text"], row["gone"], row["line"], row["n_dropped"]) == ("one line", 3, 4, 1)
+
+
+def test_words_of_one_code_are_still_told_apart(spark):
+    """Three of twenty words are changed, one to a word with the same code: beyond a tenth."""
+    words = spark.range(60_000).select(F.concat(F.lit("w"), "id").alias("word"))
+    same = words.groupBy(_code(F.col("word")).alias("code")).agg(F.min("word").alias("a"), F.max("word").alias("b"))
+    pairs = same.where("a <> b").orderBy("code").limit(30).collect()
+    lines = []
+    for k, p in enumerate(pairs):
+        line = [f"x{k}y{i}" for i in range(20)]
+        line[9] = p["a"]
+        changed = [*line[:3], f"new{k}", *line[4:9], p["b"], *line[10:15], f"other{k}", *line[16:]]
+        lines += [" ".join(line), " ".join(changed), " ".join(line[:19] + [f"last{k}"])]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    gone = {r["doc_id"] for r in dedup_lines(docs).collect() if r["n_dropped"]}
+    assert gone == {i for i in range(len(lines)) if i % 3 == 2}  # one of twenty words changed
