@@ -249,6 +249,70 @@ def test_packing_round_trip(spark, awkward):
     assert packing.pack(pieces.limit(0), capacity=256).count() == 0
 
 
+def best_fit_decreasing(lengths, capacity):
+    """Number of bins if each piece, longest first, goes to the fullest bin that has room."""
+    rooms = collections.Counter()
+    bins = 0
+    for n in sorted(lengths, reverse=True):
+        room = min((r for r in rooms if r >= n and rooms[r]), default=None)
+        if room is None:
+            bins, room = bins + 1, capacity
+        else:
+            rooms[room] -= 1
+        rooms[room - n] += 1
+    return bins
+
+
+def fewest_bins(lengths, capacity):
+    """By trying everything."""
+    best = len(lengths)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for k, room in enumerate(rooms):
+            if room >= lengths[i] and room not in rooms[:k]:
+                place(i + 1, [*rooms[:k], room - lengths[i], *rooms[k + 1 :]])
+        place(i + 1, [*rooms, capacity - lengths[i]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("capacity, low, high, n", [(1024, 20, 1025, 400), (1024, 300, 600, 500), (1024, 1, 200, 900), (100, 1, 101, 60), (100, 26, 51, 333)])
+def test_no_more_bins_than_best_fit_decreasing(capacity, low, high, n):
+    rng = np.random.default_rng(n)
+    for _ in range(5):
+        lengths = rng.integers(low, high, n).tolist()
+        plan = packing.plan_bins(collections.Counter(lengths), capacity)
+        assert all(sum(k * m for k, m in filling.items()) <= capacity for filling, _ in plan)
+        assert sum((collections.Counter({k: m * bins for k, m in f.items()}) for f, bins in plan), collections.Counter()) == collections.Counter(lengths)
+        assert sum(bins for _, bins in plan) <= best_fit_decreasing(lengths, capacity)
+
+
+def test_few_pieces_take_the_fewest_bins():
+    rng = np.random.default_rng(9)
+    over = 0
+    for _ in range(60):
+        lengths = sorted(rng.integers(8, 60, 9).tolist(), reverse=True)
+        bins, least = sum(b for _, b in packing.plan_bins(collections.Counter(lengths), 64)), fewest_bins(lengths, 64)
+        assert bins <= least + 1
+        over += bins > least
+    assert over <= 1
+    assert packing.plan_bins({}, 64) == []
+
+
+def test_documents_take_no_more_sequences_than_best_fit_decreasing(spark):
+    pieces = packing.token_pieces(spark.read.parquet(f"{FOLDER}/documents.parquet"), **BYTE_BPE)
+    packed = packing.pack(pieces)
+    lengths = [r["length"] for r in pieces.select("length").collect()]
+    assert packed.select("sequence_id").distinct().count() <= best_fit_decreasing(lengths, 1024)
+
+
 def test_fullest_is_the_best_subset():
     rng = np.random.default_rng(4)
     for _ in range(50):
