@@ -18,7 +18,7 @@ from commerce_lake.llm.text import blocks, words
 #: Counts up to this one are discounted by their own Good-Turing estimate.
 K = 5
 #: Tokens that a task holds at a time, and bytes of text whose bigrams meet in one group.
-FLUSH, GROUP_BYTES = 3_000_000, 32 << 20
+FLUSH, GROUP_BYTES = 3_000_000, 8 << 20
 #: A word holding more than 1/HOT of all tokens (fewer than HOT words do) is split over all groups.
 HOT = 1000
 #: Words are told apart by 56-bit hashes.
@@ -121,6 +121,8 @@ def _bigrams(groups: int, hot: np.ndarray):
     def flush(part: int, docs: list, held: list[bool], sizes: list[int], tokens: list[np.ndarray], place: list[np.ndarray]):
         w = np.concatenate(tokens)
         d = np.concatenate(place)
+        tokens.clear()
+        place.clear()
         v = np.empty_like(w)
         v[1:] = w[:-1]
         v[np.concatenate([[0], np.flatnonzero(w[:-1] == END) + 1])] = START
@@ -129,7 +131,9 @@ def _bigrams(groups: int, hot: np.ndarray):
         key[spread] = (w[spread] ^ v[spread]) * np.uint64(0x9E3779B97F4A7C15)
         order = np.argsort(key, kind="stable")
         to = ((key[order] >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+        del key, spread
         w, v, d = w[order], v[order], d[order]
+        del order
         info = _squeeze(pickle.dumps((docs, held, sizes)))
         yield -1 - part % (1 << 40), "docs", part, info
         flags = np.array(held, bool)
@@ -168,7 +172,7 @@ def _bigrams(groups: int, hot: np.ndarray):
                 is_end[where] = True
                 both[is_end], both[~is_end] = END, h & _WORD
                 tokens.append(both)
-                place.append(np.repeat(np.arange(len(docs), len(docs) + end - first), n + 1))
+                place.append(np.repeat(np.arange(len(docs), len(docs) + end - first, dtype=np.int32), n + 1))
                 docs += batch.column(1)[first:end].to_pylist()
                 held += batch.column(2)[first:end].to_pylist()
                 sizes += (n + 1).tolist()
@@ -207,8 +211,10 @@ def _meet(groups: int, hot: np.ndarray, hot_counts: np.ndarray, total: int, unig
         new = _runs(w[order], v[order])
         pair = np.empty(len(w), np.int64)
         pair[order] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(w))))
+        del learnt
         r = np.bincount(pair, of_pair, len(new)).astype(np.int64)
-        pw, pv = w[order][new], v[order][new]
+        pw, pv = w[order[new]], v[order[new]]
+        del w, v, order
         word_new = _runs(pw)
         c = np.add.reduceat(r, word_new)
         known = np.isin(pw[word_new], hot)
@@ -218,6 +224,7 @@ def _meet(groups: int, hot: np.ndarray, hot_counts: np.ndarray, total: int, unig
             p1 = np.where(c > 0, _discounted(c, unigram) / max(1, total), unknown)
             unseen_log = np.log10(p1)
         own = np.repeat(pair, hits)
+        del pair, hits
         seen = r[own] > 0
         level = np.minimum(r, K + 1)
         n = firsts[-1]
