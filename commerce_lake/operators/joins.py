@@ -27,7 +27,7 @@ class HotKey:
 
 def find_hot_keys(
     df: DataFrame,
-    key: str,
+    key: str | Column,
     *,
     rows: int | None = None,
     min_share: float = 0.001,
@@ -45,7 +45,7 @@ def find_hot_keys(
         return []
     seen = Observation()
     counts = (
-        df.select(F.col(key).alias("value"))
+        df.select((F.col(key) if isinstance(key, str) else key).alias("value"))
         .sample(fraction, seed)
         .groupBy("value")
         .count()
@@ -94,32 +94,33 @@ def join_on_key(
         raise ValueError(f"unsupported join type {how!r}")
     if not hot:
         return left.join(right, key, how)
-    spark = left.sparkSession
-    kind = left.schema[key].dataType.simpleString()
-    # At most 1/min_share rows (see find_hot_keys): small enough for every executor.
-    parts = F.broadcast(
-        spark.createDataFrame(
-            [(h.value, h.parts) for h in hot], f"_hot {kind}, _parts int"
-        )
-    )
+    salted = _dealt(left, F.col(key), hot, "_salt")
+    copies = _copied(right, F.col(key), hot, "_salt")
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+
+
+def _parts(df: DataFrame, key: Column, hot: Sequence[HotKey]) -> DataFrame:
+    """(_hot, _parts), at most 1/min_share rows (see find_hot_keys): small enough for every executor."""
+    kind = df.select(key.alias("_hot")).schema["_hot"].dataType.simpleString()
+    rows = [(h.value, h.parts) for h in hot]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, f"_hot {kind}, _parts int"))
+
+
+def _dealt(df: DataFrame, key: Column, hot: Sequence[HotKey], salt: str) -> DataFrame:
+    """Add `salt`: rows of a hot key are dealt over its parts, all others have 0."""
     spread = F.pmod(
-        F.xxhash64(F.spark_partition_id(), *left.columns), F.coalesce("_parts", F.lit(1))
-    )
-    salted = (
-        left.join(parts, F.col(key).eqNullSafe(F.col("_hot")), "left")
-        .withColumn("_salt", spread)
-        .drop("_hot", "_parts")
+        F.xxhash64(F.spark_partition_id(), *df.columns), F.coalesce("_parts", F.lit(1))
     )
-    copies = (
-        right.where(F.col(key).isNotNull())
-        .join(parts, F.col(key) == F.col("_hot"), "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1).cast("array<bigint>")),
-        )
-        .drop("_hot", "_parts")
-    )
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    with_parts = df.join(_parts(df, key, hot), key.eqNullSafe(F.col("_hot")), "left")
+    return with_parts.withColumn(salt, spread).drop("_hot", "_parts")
+
+
+def _copied(df: DataFrame, key: Column, hot: Sequence[HotKey], salt: str) -> DataFrame:
+    """Rows that have a key, once for each part (`salt`) of theirs."""
+    last = F.coalesce("_parts", F.lit(1)) - 1
+    every = F.explode(F.sequence(F.lit(0), last).cast("array<bigint>"))
+    with_parts = df.where(key.isNotNull()).join(_parts(df, key, hot), key == F.col("_hot"), "left")
+    return with_parts.withColumn(salt, every).drop("_hot", "_parts")
 
 
 def lookup(
@@ -133,9 +134,29 @@ def lookup(
     return join_on_key(rows, dimension.select(key, *columns), key, "left", hot)
 
 
-def lookup_where(rows: DataFrame, dimension: DataFrame, condition: Column) -> DataFrame:
-    """Left outer join on an expression, for keys that are named differently on the two sides."""
-    return rows.join(dimension, condition, "left")
+def lookup_where(
+    rows: DataFrame,
+    dimension: DataFrame,
+    condition: Column,
+    *,
+    on: tuple[Column, Column] | None = None,
+    hot: Sequence[HotKey] = (),
+) -> DataFrame:
+    """Left outer join on an expression, for keys that are named differently on the two sides.
+
+    `on` are the two sides of an equality that `condition` implies: an expression over `rows` and
+    one over `dimension`. With it, the rows of `hot` keys (values of the first) are spread over
+    several partitions, each of which gets a copy of the dimension rows of that key. The result is
+    that of the plain join, whatever else the condition asks for.
+    """
+    if not hot:
+        return rows.join(dimension, condition, "left")
+    if on is None:
+        raise ValueError("hot keys need the equality they are keys of (`on`)")
+    dealt = _dealt(rows, on[0], hot, "_dealt")
+    copies = _copied(dimension, on[1], hot, "_copied")
+    same = (on[0] == on[1]) & (F.col("_dealt") == F.col("_copied"))
+    return dealt.join(copies, condition & same, "left").drop("_dealt", "_copied")
 
 
 def inherit_event_time(

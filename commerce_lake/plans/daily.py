@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from commerce_lake import schemas
 from commerce_lake.operators.days import of_days
 from commerce_lake.operators.joins import find_hot_keys, plan_lookup
 from commerce_lake.operators.merge import merge_by_key, union_all
-from commerce_lake.operators.quality import table_summary
+from commerce_lake.operators.quality import fail_on_collisions, table_summary
 from commerce_lake.plans import gold
 from commerce_lake.plans.day_index import ARRIVAL, DayIndex, arrivals
 from commerce_lake.plans.ratings import RatingState
@@ -21,7 +21,7 @@ from commerce_lake.shared import materialize
 from commerce_lake.sinks import folders
 from commerce_lake.sinks.files import drop_partitions, write_partitioned
 from commerce_lake.sinks.pointer import current_path, read_current, write_current
-from commerce_lake.sinks.publish import Fact, publish_all
+from commerce_lake.sinks.publish import Fact, Reference, publish_all
 from commerce_lake.sinks.versions import create_database, write_version
 from commerce_lake.sources.files import (
     EVENT_DATE,
@@ -39,6 +39,22 @@ FACTS = {
     "fact_orders": Fact("fact_orders", "order_item_id", "order_date_id"),
     "fact_events": Fact("fact_events", "event_id", "event_date_id"),
 }
+# What facts refer to in dimensions made of the same records; see Lake.check_references.
+REFERENCES_OF = {
+    "fact_orders": (
+        Reference("order_date_id", "dim_date", "date_id"),
+        Reference("status_id", "dim_order_status", "status_id"),
+    ),
+    "fact_events": (
+        Reference("event_date_id", "dim_date", "date_id"),
+        Reference("event_type_id", "dim_event_type", "event_type_id"),
+    ),
+}
+# Surrogate and natural key of dimensions that are numbered by a hash.
+HASHED = {
+    "dim_order_status": ("status_id", "order_status"),
+    "dim_event_type": ("event_type_id", "event_type_name"),
+}
 # Dimensions that grow by merging what a run brings in, with their key.
 MERGED_DIMENSIONS = {
     "dim_date": "date_id",
@@ -64,7 +80,9 @@ class Lake:
 
     `multi_line` is for stream files and `static_multi_line` for reference files: whether a file is one
     JSON array, or has a record on each line. Names of stream files must not be used twice.
-    `index_buckets` must stay as it is once a lake has been begun.
+    `index_buckets` must stay as it is once a lake has been begun. With `check_references`, a fact row
+    whose day (outside first_day to last_day), status or event type has no dimension row stops
+    publishing; dimensions of which one hashed key stands for two values always do.
     """
 
     landing: str
@@ -79,6 +97,7 @@ class Lake:
     last_day: dt.date = gold.LAST_DAY
     returned_label: str = "Returned"
     index_buckets: int = 256
+    check_references: bool = False
 
     @property
     def index(self) -> DayIndex:
@@ -247,8 +266,8 @@ def rebuild_facts(spark: SparkSession, lake: Lake, days: DataFrame | None = None
     for name, df in built.items():
         day = FACTS[name].date_column
         # Records without a readable time stay in Bronze (see gold.undated).
-        replace = "static" if days is None else "dynamic"
-        write_partitioned(df.where(F.col(day).isNotNull()), lake.gold(name), [day], replace=replace)
+        mode = "static" if days is None else "dynamic"
+        write_partitioned(df.where(F.col(day).isNotNull()), lake.gold(name), [day], replace=mode)
     for name in built if days is not None else ():
         day = FACTS[name].date_column
         kept = of_days(read_or_empty(spark, lake.gold(name), CONTRACTS[name]), days, day)
@@ -292,6 +311,8 @@ def rebuild_dimensions(spark: SparkSession, lake: Lake, arrived: DataFrame | Non
             if new.isEmpty():
                 continue
             new = merge_by_key(spark.table(table), new, [key])
+        if name in HASHED:
+            new = fail_on_collisions(new, *HASHED[name])
         write_version(new.orderBy(key), table)
 
 
@@ -314,7 +335,8 @@ def publish_gold(
     """Publish all dimensions and the fact rows of `days`."""
     tables = gold_tables(spark, lake)
     names = [n for n in (*MERGED_DIMENSIONS, *REPLACED_DIMENSIONS) if n in tables]
-    facts = [(fact, tables[name]) for name, fact in FACTS.items()]
+    held = REFERENCES_OF if lake.check_references else {}
+    facts = [(replace(f, references=held.get(n, ())), tables[n]) for n, f in FACTS.items()]
     return publish_all({n: tables[n] for n in names}, facts, lake.warehouse_database, days)
 
 

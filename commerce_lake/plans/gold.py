@@ -229,6 +229,7 @@ def build_fact_events(
     resent: bool = True,
     dates: Sequence[dt.date] | DataFrame | None = None,
     funnel_order: Sequence[str] | None = None,
+    hot_types: Sequence[HotKey] = (),
     loaded_at: Column | None = None,
 ) -> DataFrame:
     """One row per event that has an id, a user and a product.
@@ -245,9 +246,8 @@ def build_fact_events(
     if event_types is None:
         rows = rows.withColumn("event_type_id", hash_key("event_type", strategy))
     else:
-        rows = lookup_where(
-            rows, event_types, rows["event_type"] == event_types["event_type_name"]
-        )
+        on = (rows["event_type"], event_types["event_type_name"])
+        rows = lookup_where(rows, event_types, on[0] == on[1], on=on, hot=hot_types)
     step = F.col("event_type_id")
     if funnel_order is not None:
         steps = {name: number for number, name in enumerate(funnel_order, start=1)}

@@ -10,19 +10,34 @@ from pyspark.sql import functions as F
 
 from commerce_lake.operators.days import of_days
 from commerce_lake.operators.dedup import dedup_by_key
+from commerce_lake.operators.quality import fail_on_orphans
 from commerce_lake.schemas import schema_differences
 from commerce_lake.sinks.versions import current_version, write_version
 from commerce_lake.sources.tables import table_exists, target_keys
 
 
+@dataclass(frozen=True)
+class Reference:
+    """A fact column whose values must be keys of a dimension; null refers to nothing."""
+
+    column: str
+    dimension: str
+    key: str
+
+
 @dataclass(frozen=True)
 class Fact:
-    """How a fact table is published; `key_implies_date` states that no key ever changes its day."""
+    """How a fact table is published; `key_implies_date` states that no key ever changes its day.
+
+    Rows to be published must hold to `references`: one that does not makes publishing fail, and
+    the fact table stays as it was.
+    """
 
     name: str
     key: str
     date_column: str
     key_implies_date: bool = False
+    references: tuple[Reference, ...] = ()
 
 
 def table_name(database: str, name: str) -> str:
@@ -87,24 +102,40 @@ def append_fact(
     return appended.get["rows"]
 
 
+def _referring(df: DataFrame, fact: Fact, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows that make the write fail where they refer to nothing."""
+    for reference in fact.references:
+        if reference.dimension not in dimensions:
+            raise ValueError(f"{fact.name} refers to {reference.dimension}, which is not published")
+        df = fail_on_orphans(df, reference.column, dimensions[reference.dimension], reference.key)
+    return df
+
+
 def publish_fact(
-    df: DataFrame, database: str, fact: Fact, dates: DataFrame | Sequence | None = None
+    df: DataFrame,
+    database: str,
+    fact: Fact,
+    dates: DataFrame | Sequence | None = None,
+    dimensions: Mapping[str, DataFrame] | None = None,
 ) -> int:
     """Append new fact rows, with `dates` those of these days only. Returns how many.
 
     Readers use a view; the rows are in a version of the table behind it. A fact that was never
     published, or whose columns have changed, is filled from all days into a version of its own,
     which the view shows once it is complete: a refill that fails, or finds no rows, leaves the
-    table as it was, with its old columns.
+    table as it was, with its old columns. The fact's references are looked up in `dimensions`
+    (by name) as its rows are written, all rows of `dates` where rows are appended.
     """
     spark, name = df.sparkSession, table_name(database, fact.name)
     # A plain table, as earlier releases wrote it, is appended to until its columns change.
     shown = current_version(spark, name) or (name if table_exists(spark, name) else None)
     if shown is None or schema_differences(spark.table(shown).schema, df.schema):
-        rows = new_rows(_checked(df, name, fact.key), fact.key, None)
+        df = _checked(_referring(df, fact, dimensions or {}), name, fact.key)
+        rows = new_rows(df, fact.key, None)
         return write_version(rows, name, by=[fact.date_column], allow_empty=shown is None)
     if dates is not None:
         df = of_days(df, dates, fact.date_column)
+    df = _referring(df, fact, dimensions or {})
     return append_fact(
         df, shown, fact.key, date_column=fact.date_column, key_implies_date=fact.key_implies_date
     )
@@ -118,11 +149,12 @@ def publish_all(
 ) -> dict[str, int | None]:
     """Publish dimensions, then facts; the first failure stops the run.
 
-    With `dates`, only the fact rows of these days are looked at (see `publish_fact`).
+    With `dates`, only the fact rows of these days are looked at (see `publish_fact`). Facts are held
+    against the dimensions published with them.
     """
     done: dict[str, int | None] = {}
     for name, df in dimensions.items():
         done[name] = publish_dimension(df, database, name)
     for fact, df in facts:
-        done[fact.name] = publish_fact(df, database, fact, dates)
+        done[fact.name] = publish_fact(df, database, fact, dates, dimensions)
     return done

@@ -2,18 +2,23 @@ import datetime as dt
 import glob
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from commerce_lake.operators import envelope as env
+from commerce_lake.operators import quality
 from commerce_lake.operators.dedup import dedup_by_key
 from commerce_lake.operators.joins import (
-    HotKey, find_hot_keys, inherit_event_time, join_on_key, lookup, plan_lookup, rows_of,
+    HotKey, find_hot_keys, inherit_event_time, join_on_key, lookup, lookup_where, plan_lookup,
+    rows_of,
 )
 from commerce_lake.operators.merge import merge_by_key, union_distinct
 from commerce_lake.operators.numbering import number_rows
-from commerce_lake.operators.quality import count_by, orphan_keys, table_summary
+from commerce_lake.operators.quality import (
+    count_by, fail_on_collisions, fail_on_orphans, orphan_keys, table_summary,
+)
 from commerce_lake.plans.event_stream import build_event_stream, tables_of_day, write_batch_files
 from commerce_lake.schemas import SchemaMismatch, require_columns, require_schema, columns
 from frames import frame, values
@@ -108,11 +113,53 @@ def test_hot_keys_are_spread_over_partitions(spark, skewed):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("hot", [HOT, [HotKey("hot", 32)], [HotKey(None, 4)]])
+def test_spreading_hot_keys_does_not_change_a_join_on_an_expression(spark, skewed, hot):
+    left, right = skewed
+    other = right.select(F.col("key").alias("name"), "v")
+    other = other.union(frame(spark, "name string, v int", ["hot", 7], ["k1", None], [None, 9]))
+    on = (F.lower(left["key"]), other["name"])
+    for condition in (on[0] == on[1], (on[0] == on[1]) & (left["n"] > other["v"])):
+        spread = lookup_where(left, other, condition, on=on, hot=hot)
+        plain = lookup_where(left, other, condition)
+        assert spread.columns == plain.columns
+        assert values(spread) == values(plain)
+        assert lookup_where(left.where("false"), other, condition, on=on, hot=hot).isEmpty()
+        none = lookup_where(left, other.where("false"), condition, on=on, hot=hot)
+        assert none.count() == left.count() and none.where("v IS NOT NULL").isEmpty()
+    with pytest.raises(ValueError):
+        lookup_where(left, other, on[0] == on[1], hot=hot)
+
+
+def test_hot_keys_of_an_expression_are_spread_over_partitions(spark, skewed, capsys):
+    left, right = skewed
+    other = right.select(F.col("key").alias("name"), "v")
+    on = (left["key"], other["name"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def sizes(hot):
+            joined = lookup_where(left, other, on[0] == on[1], on=on, hot=hot)
+            counts = joined.where("key = 'hot'").groupBy(F.spark_partition_id()).count()
+            return joined, counts.agg(F.max("count"), F.count("*")).first()
+
+        (_, plain), (joined, spread) = sizes([]), sizes([HotKey("hot", 32)])
+        assert plain[1] == 1
+        assert spread[1] > 4 and spread[0] < 0.5 * plain[0]
+        exchanges = re.findall(r"hashpartitioning\((.*?), 8\)", plan_of(joined, capsys))
+        assert len(exchanges) == 2 and all("_dealt" in e or "_copied" in e for e in exchanges)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_hot_keys_are_found(spark, skewed):
     left, _ = skewed
     found = find_hot_keys(left, "key", min_share=0.05, fraction=1.0, min_rows=100)
     assert {h.value for h in found} == {"hot", None}
     assert all(h.parts >= 2 for h in found)
+    lower = find_hot_keys(left, F.upper("key"), min_share=0.05, fraction=1.0, min_rows=100)
+    assert {h.value for h in lower} == {"HOT", None}
     assert find_hot_keys(left, "key") == find_hot_keys(left, "key", rows=6000) == []
     assert find_hot_keys(left.where("false"), "key", fraction=1.0, min_rows=0) == []
 
@@ -179,6 +226,33 @@ def test_exact_copies_spread_over_partitions(spark):
     assert spread <= 1000
 
 
+# --- gates
+
+
+def test_collisions_stop_what_is_written(spark):
+    good = frame(spark, "id int, name string", [1, "a"], [1, "a"], [2, "b"], [3, None], [None, "c"])
+    assert values(fail_on_collisions(good, "id", "name")) == values(good)
+    assert fail_on_collisions(good.where("false"), "id", "name").isEmpty()
+    for row in ([1, "z"], [1, None], [None, "d"]):
+        bad = good.union(frame(spark, "id int, name string", row))
+        with pytest.raises(Exception, match="id of several name"):
+            fail_on_collisions(bad, "id", "name").collect()
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_orphans_stop_what_is_written(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(quality, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(quality, "find_hot_keys", lambda *_: [HotKey("a", 3), HotKey(None, 2)])
+    facts = frame(spark, "n int, k string", [1, "a"], [2, "a"], [3, None], [4, "b"], [4, "b"])
+    keys = frame(spark, "name string, n int", ["a", 1], ["a", 2], ["b", 3], [None, 4])
+    checked = fail_on_orphans(facts, "k", keys, "name")
+    assert checked.columns == facts.columns and values(checked) == values(facts)
+    with pytest.raises(Exception, match="k without a row: b"):
+        fail_on_orphans(facts, "k", keys.where("name = 'a'"), "name").collect()
+    assert fail_on_orphans(facts.where("k IS NULL"), "k", keys.where("false"), "name").count() == 1
+
+
 # --- merging
 
 

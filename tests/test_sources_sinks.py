@@ -322,6 +322,29 @@ def test_changed_columns_refill_without_a_gap(spark, database):
     assert publish.publish_fact(more, database, FACT) == 0
 
 
+def test_rows_that_refer_to_nothing_stop_publishing(spark, database):
+    name = f"{database}.FACT"
+    fact = publish.Fact("fact", "k", "d", references=(publish.Reference("s", "dim_s", "id"),))
+    dims = {"dim_s": frame(spark, "id int, name string", [1, "a"], [2, "b"])}
+    rows = frame(spark, "k string, s int, d date", ["1", 1, D1], ["2", None, D2])
+    orphan = frame(spark, "k string, s int, d date", ["3", 7, D2])
+    with pytest.raises(Exception, match="s without a row: 7"):  # at first, nothing is there
+        publish.publish_all(dims, [(fact, rows.union(orphan))], database)
+    assert not spark.catalog.tableExists(name)
+    assert publish.publish_all(dims, [(fact, rows)], database)["fact"] == 2
+    with pytest.raises(Exception, match="s without a row: 7"):  # an append
+        publish.publish_all(dims, [(fact, rows.union(orphan))], database, [D2])
+    assert publish.publish_all(dims, [(fact, rows.union(orphan))], database, [D1])["fact"] == 0
+    wider = rows.union(orphan).withColumn("w", F.lit(1))
+    with pytest.raises(Exception, match="s without a row: 7"):  # a refill
+        publish.publish_all(dims, [(fact, wider)], database)
+    assert values(spark.table(name), "k", "s") == [("1", 1), ("2", None)]
+    dims["dim_s"] = dims["dim_s"].union(frame(spark, "id int, name string", [7, "c"]))
+    assert publish.publish_all(dims, [(fact, rows.union(orphan))], database)["fact"] == 1
+    with pytest.raises(ValueError, match="not published"):
+        publish.publish_all({}, [(fact, rows)], database)
+
+
 def test_readers_keep_the_version_before(spark, database):
     rows = frame(spark, "k string, d date", ["1", D1])
     publish.publish_fact(rows, database, FACT)

@@ -1,18 +1,20 @@
 import datetime as dt
 import glob
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from commerce_lake import schemas
+from commerce_lake.operators.merge import merge_by_key
 from commerce_lake.operators.quality import orphan_keys
-from commerce_lake.plans import daily
-from commerce_lake.sinks.versions import create_database
+from commerce_lake.plans import daily, gold
+from commerce_lake.sinks.versions import create_database, write_version
 from commerce_lake.sources.files import read_bronze, read_rejected
 from commerce_lake.streaming.facts import start_append
 from commerce_lake.streaming.landing import drop_repeats, read_landing, start_bronze
-from frames import event, item, order, review, values, write_array
+from frames import event, frame, item, order, review, values, write_array
 
 DAY1, DAY2 = "2024-01-01 10:00:00", "2024-01-02 10:00:00"
 
@@ -151,6 +153,31 @@ def test_late_and_resent_records(spark, lake):
     assert published(spark, lake, "fact_orders", "order_item_id") == [("i1",), ("i2",), ("i3",), ("i4",)]
 
 
+def test_facts_outside_the_calendar_stop_publishing_when_asked(spark, lake):
+    daily.run_daily(spark, lake)
+    before = published(spark, lake, "fact_events", "event_id")
+    strict = replace(lake, check_references=True)
+    write_array(lake.stream_landing, "y.json", [event("e8", "2019-01-01 10:00:00"), event("e7", DAY1)])
+    with pytest.raises(Exception, match="event_date_id without a row: 2019-01-01"):
+        daily.run_daily(spark, strict)
+    assert published(spark, lake, "fact_events", "event_id") == before
+    # A calendar that holds the day makes up for it.
+    dates = gold.build_dim_date(frame(spark, "day date", [dt.date(2019, 1, 1)]), dt.date(2019, 1, 1))
+    write_version(merge_by_key(spark.table(lake.gold_table("dim_date")), dates, ["date_id"]), lake.gold_table("dim_date"))
+    assert daily.run_daily(spark, strict)["fact_events"] == 2
+
+
+def test_a_hash_of_two_statuses_stops_the_run(spark, lake, monkeypatch):
+    daily.run_daily(spark, lake)
+    before = values(spark.table(lake.gold_table("dim_event_type")))
+    plain = gold.build_dim_event_type
+    monkeypatch.setattr(gold, "build_dim_event_type", lambda df: plain(df).withColumn("event_type_id", F.lit(5)))
+    write_array(lake.stream_landing, "z.json", [event("e7", DAY1, "wave"), event("e8", DAY1, "nod")])
+    with pytest.raises(Exception, match="event_type_id of several event_type_name"):
+        daily.run_daily(spark, lake)
+    assert values(spark.table(lake.gold_table("dim_event_type"))) == before
+
+
 def test_moved_records_and_items_of_other_days_equal_a_full_build(spark, lake):
     daily.run_daily(spark, lake)
     write_array(
