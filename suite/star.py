@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from commerce_lake import schemas
 from commerce_lake.operators.joins import find_hot_keys, plan_lookup
-from commerce_lake.operators.quality import key_collisions, orphan_keys
+from commerce_lake.operators.quality import (
+    fail_on_collisions, fail_on_orphans, key_collisions, orphan_keys,
+)
 from commerce_lake.plans import gold
 from commerce_lake.plans.bronze import ingest_static_bronze
 from commerce_lake.plans.event_stream import timed_tables
@@ -129,6 +131,18 @@ def fact_events(t: Tables) -> DataFrame:
     return schemas.require_schema(built, schemas.FACT_EVENTS)
 
 
+@query("fact_events_gated", FACT_EVENTS_SQL, "shop_events")
+def fact_events_gated(t: Tables) -> DataFrame:
+    """The same facts, held against the event types and days of all events as they are read."""
+    events = as_text(t.events())
+    types = gold.build_dim_event_type(events)
+    types = fail_on_collisions(types, "event_type_id", "event_type_name")
+    days = gold.build_dim_date(gold.event_days(events))
+    facts = gold.build_fact_events(events, loaded_at=loaded_at())
+    facts = fail_on_orphans(facts, "event_type_id", types, "event_type_id")
+    return fail_on_orphans(facts, "event_date_id", days, "date_id")
+
+
 @query("fact_orders_from_bronze", FACT_ORDERS_SQL, "items", "shop_orders", "products")
 def fact_orders_from_bronze(t: Tables) -> DataFrame:
     """The same facts after a round trip through landing files and Bronze."""

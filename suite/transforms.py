@@ -241,6 +241,20 @@ def join_left_expr(t: Tables) -> DataFrame:
     return joins.lookup_where(events, types, same).select("event_id", "event_type_id")
 
 
+@query(
+    "join_left_expr_spread",
+    f"SELECT event_id, {id_case('event_type', EVENT_TYPE_ID)} AS event_type_id FROM shop_events",
+    "shop_events",
+)
+def join_left_expr_spread(t: Tables) -> DataFrame:
+    """The same with the rows of frequent types spread, though the table may be small."""
+    events, types = t.events(), gold.build_dim_event_type(t.events())
+    on = (events["event_type"], types["event_type_name"])
+    hot = joins.find_hot_keys(events, "event_type", fraction=0.01, min_rows=1)
+    joined = joins.lookup_where(events, types, on[0] == on[1], on=on, hot=hot)
+    return joined.select("event_id", "event_type_id")
+
+
 @query(
     "semi_items_of_day_orders",
     f"""
