@@ -82,7 +82,8 @@ class Lake:
     JSON array, or has a record on each line. Names of stream files must not be used twice.
     `index_buckets` must stay as it is once a lake has been begun. With `check_references`, a fact row
     whose day (outside first_day to last_day), status or event type has no dimension row stops
-    publishing; dimensions of which one hashed key stands for two values always do.
+    publishing. With `key_filters`, new facts are compared with those published days alone that may
+    hold them. Dimensions of which one hashed key stands for two values stop a run always.
     """
 
     landing: str
@@ -98,6 +99,7 @@ class Lake:
     returned_label: str = "Returned"
     index_buckets: int = 256
     check_references: bool = False
+    key_filters: bool = False
 
     @property
     def index(self) -> DayIndex:
@@ -337,7 +339,8 @@ def publish_gold(
     names = [n for n in (*MERGED_DIMENSIONS, *REPLACED_DIMENSIONS) if n in tables]
     held = REFERENCES_OF if lake.check_references else {}
     facts = [(replace(f, references=held.get(n, ())), tables[n]) for n, f in FACTS.items()]
-    return publish_all({n: tables[n] for n in names}, facts, lake.warehouse_database, days)
+    filters = lake.state("published_keys") if lake.key_filters else None
+    return publish_all({n: tables[n] for n in names}, facts, lake.warehouse_database, days, filters)
 
 
 def run_daily(spark: SparkSession, lake: Lake) -> dict[str, int | None]:

@@ -12,6 +12,8 @@ from commerce_lake.operators.days import of_days
 from commerce_lake.operators.dedup import dedup_by_key
 from commerce_lake.operators.quality import fail_on_orphans
 from commerce_lake.schemas import schema_differences
+from commerce_lake.shared import materialize
+from commerce_lake.sinks.key_filter import KeyFilter
 from commerce_lake.sinks.versions import current_version, write_version
 from commerce_lake.sources.tables import table_exists, target_keys
 
@@ -74,16 +76,25 @@ def append_fact(
     *,
     date_column: str | None = None,
     key_implies_date: bool = False,
+    key_filter: KeyFilter | None = None,
 ) -> int:
     """Append the rows whose key the table does not hold yet. Returns how many were appended.
 
     Running it again appends nothing. Rows without a key cannot be compared and make it fail,
     before anything is written. With `key_implies_date` (a key never moves to another day), only
-    the target partitions of the days in the batch are read.
+    the target partitions of the days in the batch are read. With `key_filter` (and a
+    `date_column`), only those that may hold one of the batch's keys, on whatever day; the filter is
+    built when it is first used, and `df` is read several times.
     """
     spark = df.sparkSession
     existing = None
-    if table_exists(spark, table):
+    if table_exists(spark, table) and key_filter and date_column and not key_implies_date:
+        if not key_filter.exists(spark):
+            key_filter.build(spark.table(table), key, date_column)
+        dates = materialize(key_filter.days_of(df, key), "days_of_keys")
+        existing = target_keys(spark, table, key, date_column, dates)
+        key_filter.add(df, key, date_column)
+    elif table_exists(spark, table):
         by_day = key_implies_date and date_column
         dates = df.select(F.col(date_column).alias("day")).distinct() if by_day else None
         existing = target_keys(spark, table, key, date_column, dates)
@@ -117,6 +128,7 @@ def publish_fact(
     fact: Fact,
     dates: DataFrame | Sequence | None = None,
     dimensions: Mapping[str, DataFrame] | None = None,
+    filters: str | None = None,
 ) -> int:
     """Append new fact rows, with `dates` those of these days only. Returns how many.
 
@@ -124,7 +136,8 @@ def publish_fact(
     published, or whose columns have changed, is filled from all days into a version of its own,
     which the view shows once it is complete: a refill that fails, or finds no rows, leaves the
     table as it was, with its old columns. The fact's references are looked up in `dimensions`
-    (by name) as its rows are written, all rows of `dates` where rows are appended.
+    (by name) as its rows are written, all rows of `dates` where rows are appended. In the folder
+    `filters`, each version of the table has a filter of its keys (see `append_fact`).
     """
     spark, name = df.sparkSession, table_name(database, fact.name)
     # A plain table, as earlier releases wrote it, is appended to until its columns change.
@@ -137,7 +150,12 @@ def publish_fact(
         df = of_days(df, dates, fact.date_column)
     df = _referring(df, fact, dimensions or {})
     return append_fact(
-        df, shown, fact.key, date_column=fact.date_column, key_implies_date=fact.key_implies_date
+        df,
+        shown,
+        fact.key,
+        date_column=fact.date_column,
+        key_implies_date=fact.key_implies_date,
+        key_filter=KeyFilter(f"{filters}/{shown}") if filters else None,
     )
 
 
@@ -146,6 +164,7 @@ def publish_all(
     facts: Sequence[tuple[Fact, DataFrame]],
     database: str,
     dates: DataFrame | Sequence | None = None,
+    filters: str | None = None,
 ) -> dict[str, int | None]:
     """Publish dimensions, then facts; the first failure stops the run.
 
@@ -156,5 +175,5 @@ def publish_all(
     for name, df in dimensions.items():
         done[name] = publish_dimension(df, database, name)
     for fact, df in facts:
-        done[fact.name] = publish_fact(df, database, fact, dates, dimensions)
+        done[fact.name] = publish_fact(df, database, fact, dates, dimensions, filters)
     return done

@@ -13,7 +13,7 @@ from commerce_lake.operators.days import of_days
 from commerce_lake.plans import csv_entry
 from commerce_lake.plans.bronze import ingest_static_bronze, ingest_stream_bronze
 from commerce_lake.sinks import files as out
-from commerce_lake.sinks import folders, pointer, publish, versions
+from commerce_lake.sinks import folders, key_filter, pointer, publish, versions
 from commerce_lake.sources import files, tables
 from frames import event, frame, item, order, review, values, write_array
 
@@ -300,9 +300,73 @@ def test_days_may_be_a_table_of_any_length(spark, tmp_path):
     assert "dynamicpruning" in plan.lower()
 
 
+def test_key_filters_find_all_keys_and_few_others(spark, tmp_path):
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("k"), "id").alias("k"), F.date_add(F.lit(D1), (F.col("id") % 10).cast("int")).alias("d")
+    )
+    kept = key_filter.KeyFilter(str(tmp_path / "filter"))
+    assert not kept.exists(spark)
+    kept.build(rows.where("id < 15000"), "k", "d")
+    kept.add(rows.where("id >= 15000"), "k", "d")
+    assert kept.exists(spark) and kept.days_of(rows, "k").count() == 10
+    for n in (0, 7, 19_999):
+        assert D1 + dt.timedelta(n % 10) in {r[0] for r in kept.days_of(rows.where(f"id = {n}"), "k").collect()}
+    others = spark.range(200).select(F.concat(F.lit("x"), "id").alias("k"))
+    assert sum(kept.days_of(others.where(F.col("k") == f"x{n}"), "k").count() for n in range(5)) <= 1
+    assert kept.days_of(rows.where("false"), "k").isEmpty()
+    kept.add(frame(spark, "k string, d date", [None, D1]), "k", "d")
+    empty = key_filter.KeyFilter(str(tmp_path / "empty"))
+    empty.build(rows.where("false"), "k", "d")
+    assert empty.exists(spark) and empty.days_of(rows, "k").isEmpty()
+
+
+def test_an_append_with_a_filter_reads_touched_days_only(spark, database, tmp_path):
+    table, kept = f"{database}.t", key_filter.KeyFilter(str(tmp_path / "filter"))
+    options = {"date_column": "d", "key_filter": kept}
+    days = [D1 + dt.timedelta(n) for n in range(4)]
+    rows = frame(spark, "k string, d date", *[[f"{n}", d] for n, d in enumerate(days)])
+    assert publish.append_fact(rows, table, "k", **options) == 4
+    assert publish.append_fact(rows, table, "k", **options) == 0  # builds the filter
+    moved = frame(spark, "k string, d date", ["1", days[3]], ["9", days[3]])
+    assert publish.append_fact(moved, table, "k", **options) == 1  # "1" is there, on another day
+    location = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first()[1].removeprefix("file:")
+    for part in glob.glob(f"{location}/d={days[0]}/*.parquet"):
+        with open(part, "wb") as file:  # a day that cannot be read
+            file.write(b"nothing")
+    spark.catalog.refreshTable(table)
+    again = frame(spark, "k string, d date", ["2", days[1]], ["10", days[2]], ["9", days[2]])
+    assert publish.append_fact(again, table, "k", **options) == 1
+    with pytest.raises(Exception):
+        publish.append_fact(frame(spark, "k string, d date", ["0", days[1]]), table, "k", **options)
+
+
+def test_false_positives_change_nothing(spark, database, tmp_path, monkeypatch):
+    rows = frame(spark, "k string, d date", *[[f"{n}", D1 if n % 3 else D2] for n in range(30)])
+    more = frame(spark, "k string, d date", *[[f"{n}", D2 if n % 2 else D1] for n in range(20, 50)])
+    appended = []
+    for name in ("plain", "filtered", "full"):
+        if name == "full":  # each key sets and asks for the same bits of one block
+            monkeypatch.setattr(key_filter, "key_bits", lambda key: F.lit(1).cast("bigint"))
+            monkeypatch.setattr(key_filter, "key_block", lambda key, size: F.lit(0).cast("bigint"))
+        table, kept = f"{database}.{name}", key_filter.KeyFilter(str(tmp_path / name))
+        options = {"date_column": "d", "key_filter": None if name == "plain" else kept}
+        counts = [publish.append_fact(df, table, "k", **options) for df in (rows, more, rows)]
+        appended.append((counts, values(spark.table(table), "k", "d")))
+    assert appended[0] == appended[1] == appended[2] and appended[0][0] == [30, 20, 0]
+
+
 FACT = publish.Fact("fact", "k", "d")
 
 
+def test_a_new_version_has_a_filter_of_its_own(spark, database, tmp_path):
+    filters = str(tmp_path / "filters")
+    rows = frame(spark, "k string, d date", ["1", D1], ["2", D2])
+    for df in (rows, rows.withColumn("v", F.lit(1))):
+        assert publish.publish_fact(df, database, FACT, filters=filters) == 2
+        assert publish.publish_fact(df, database, FACT, filters=filters) == 0
+    assert len(glob.glob(f"{filters}/*/_complete")) == 2
+
+
 def test_changed_columns_refill_without_a_gap(spark, database):
     name = f"{database}.FACT"
     rows = frame(spark, "k string, v int, d date", ["1", 0, D1], ["2", 0, D2])
