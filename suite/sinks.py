@@ -9,6 +9,7 @@ from commerce_lake.plans import gold
 from commerce_lake.plans.event_stream import landing_records
 from commerce_lake.schemas import DIM_USERS
 from commerce_lake.sinks import files
+from commerce_lake.sinks.key_filter import KeyFilter
 from commerce_lake.sinks.pointer import read_current, write_current
 from commerce_lake.sinks.publish import Fact, append_fact, publish_dimension, publish_fact
 from commerce_lake.sources.files import read_bronze, read_envelopes
@@ -121,6 +122,24 @@ def fact_incremental_append(t: Tables) -> DataFrame:
     return t.spark.table(table)
 
 
+@query(
+    "append_by_key_filter",
+    f"SELECT event_id, event_type, {day_text('event_time')} AS day FROM shop_events",
+    "shop_events",
+)
+def append_by_key_filter(t: Tables) -> DataFrame:
+    """Events of two types, then all of them under the next day, then all of them: keys are found on
+    whatever day they were published under."""
+    table, kept = f"{t.new_database('filtered')}.fact_events", KeyFilter(t.new_path("key_filter"))
+    rows = t.events().withColumn("day", F.col("event_time").cast("date")).select("event_id", "event_type", "day")
+    options = {"date_column": "day", "key_filter": kept}
+    early = rows.where("event_type IN ('view', 'click')")
+    append_fact(early, table, "event_id", **options)
+    append_fact(early.withColumn("day", F.date_add("day", 1)), table, "event_id", **options)
+    append_fact(rows, table, "event_id", **options)
+    return t.spark.table(table)
+
+
 @query("sink_guarded_replacement", "SELECT user_id, name, email, gender, city FROM users", "users")
 def sink_guarded_replacement(t: Tables) -> DataFrame:
     """A dimension at a path: half of it, then all, then an empty and a failing replacement."""

@@ -156,7 +156,7 @@ def test_late_and_resent_records(spark, lake):
 def test_facts_outside_the_calendar_stop_publishing_when_asked(spark, lake):
     daily.run_daily(spark, lake)
     before = published(spark, lake, "fact_events", "event_id")
-    strict = replace(lake, check_references=True)
+    strict = replace(lake, check_references=True, key_filters=True)
     write_array(lake.stream_landing, "y.json", [event("e8", "2019-01-01 10:00:00"), event("e7", DAY1)])
     with pytest.raises(Exception, match="event_date_id without a row: 2019-01-01"):
         daily.run_daily(spark, strict)
