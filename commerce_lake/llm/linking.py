@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commerce_lake.llm.tables import forget, keep, left_by_size
+from commerce_lake.llm.tables import drop_shuffles, forget, keep, left_by_size
 
 #: Bytes of a node with its component, for the choice of a join.
 _NODE_BYTES = 64
@@ -67,6 +67,7 @@ def linked_components(
     verify: Callable[[DataFrame], DataFrame],
     sketches: Callable[[DataFrame], DataFrame],
     close: Callable[[Column, Column], Column],
+    slices: int = 1,
 ) -> DataFrame:
     """(node, component) of all nodes that are linked with another.
 
@@ -80,11 +81,21 @@ def linked_components(
     there are, in groups that do not hang together; hence `sketches` adds a `sketch` to nodes
     (node), and where two of them are not `close`, the nodes are known not to be linked and no pair
     is formed. Each pair is verified once.
+
+    Most keys are held by one node and go at once. Keys are looked through in `slices` parts of their
+    hash space, one after another, so that the shuffle of all postings is never on disk as a whole;
+    each part makes the postings anew.
     """
     first = F.first(F.struct("node", "about")).over(
         Window.partitionBy(*key).orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
     )
-    shared = keep(postings.withColumn("hub", first).where("hub.node <> node"), "shared_keys")
+    shared = None
+    for k in range(slices):
+        part = postings if slices == 1 else postings.where(F.pmod(F.xxhash64(*key), F.lit(slices)) == k)
+        part = keep(part.withColumn("hub", first).where("hub.node <> node"), "shared_keys")
+        shared = part if shared is None else shared.union(part)
+        if slices > 1:
+            drop_shuffles(postings.sparkSession)
     members = shared.select(*key, "node", "about").union(shared.select(*key, "hub.node", "hub.about").distinct())
     members = left_by_size(members, weights, "node", 16).withColumn("weight", F.coalesce("weight", F.lit(0)))
     heaviest = F.first(F.struct("weight", "node", "about")).over(

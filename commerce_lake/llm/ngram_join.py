@@ -24,6 +24,8 @@ _AT = (1 << 32) - 1
 PARTS = 64
 #: Bits of the sketch of a set, which tells sets apart before they are compared.
 SKETCH = 1024
+#: Parts of the postings that are shuffled one after another, for less disk at a time.
+SLICES = 3
 
 
 def _id(grams: np.ndarray) -> int:
@@ -163,7 +165,7 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
         found = sets.select(F.col("id").alias("node"), F.struct("n", *[f"p{k}" for k in range(SKETCH // 64)]).alias("sketch"))
         return semi_by_size(found, nodes, "node")
 
-    linked = keep(linked_components(postings, ["gram"], sets.select(F.col("id").alias("node"), "weight"), plausible, verify, sketches, close), "ngram_components")
+    linked = keep(linked_components(postings, ["gram"], sets.select(F.col("id").alias("node"), "weight"), plausible, verify, sketches, close, SLICES), "ngram_components")
     named = sets.select(F.col("id").alias("node"), "doc_id").join(linked, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

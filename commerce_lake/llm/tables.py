@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from commerce_lake.shared import materialize
 
-__all__ = ["keep", "forget", "semi_by_size", "left_by_size", "read_table", "numbered"]
+__all__ = ["keep", "forget", "drop_shuffles", "semi_by_size", "left_by_size", "read_table", "numbered"]
 
 #: A side of up to this many bytes of data is sent to every executor; above, both are shuffled.
 BROADCAST_BYTES = 16 << 20
@@ -32,6 +34,15 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs.
+
+    It does so once their plans are garbage in Python and in the driver's JVM, else up to half an hour later.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _small(df: DataFrame, row_bytes: int) -> bool:
     return df.count() * row_bytes <= BROADCAST_BYTES
 
