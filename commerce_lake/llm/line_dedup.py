@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from commerce_lake.llm.decontamination import BETWEEN_WORDS, row_key
 from commerce_lake.llm.linking import linked_components, sketch_apart
-from commerce_lake.llm.tables import keep, left_by_size, semi_by_size
+from commerce_lake.llm.tables import drop_shuffles, forget, keep, left_by_size, semi_by_size
 
 #: Shorter lines have exact copies only.
 MIN_WORDS = 5
@@ -29,11 +29,15 @@ CONFIRM = [1, 2, 3]
 PAIRS = 4096
 #: Bits of the sketch that tells lines apart before they are compared word by word.
 SKETCH = 2048
+#: Words of 64 bits that the sketch is folded to.
+FOLDS = 4
+#: Parts of the grams that are shuffled one after another, for less disk at a time.
+SLICES = 3
 
 
-def normalised(line: Column) -> Column:
-    """Lower case, words of letters and digits parted by single spaces."""
-    return F.trim(F.regexp_replace(F.lower(line), BETWEEN_WORDS, " "))
+def normalised(text: Column) -> Column:
+    """Lower case, words of letters and digits parted by single spaces; ends of lines stay, with spaces around them."""
+    return F.regexp_replace(F.lower(text), BETWEEN_WORDS.replace(r"\x00-\x2F", r"\x00-\x09\x0B-\x2F"), " ")
 
 
 def spaced(norm: Column) -> Column:
@@ -42,20 +46,20 @@ def spaced(norm: Column) -> Column:
     return F.when((F.octet_length(norm) > F.length(norm)) & norm.rlike(UNSPACED), parted).otherwise(norm)
 
 
-def _lines(docs: DataFrame, text: str, *columns) -> DataFrame:
-    """`columns`, line_no, norm of each line; none for a null text."""
-    return docs.select(*columns, F.posexplode(F.split(text, "\n")).alias("line_no", "norm")).withColumn("norm", normalised(F.col("norm")))
-
-
 def placed_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(doc, doc_id, line_no, line): place and hash of each line that is not blank and has MIN_BYTES of letters."""
-    lines = _lines(docs, text, row_key(id, text).alias("doc"), F.col(id).alias("doc_id"))
+    """(doc, doc_id, line_no, line, norm): place, hash and words of each line that is not blank and has MIN_BYTES of letters.
+
+    Texts are normalised as a whole and then split, so that each is gone through once. None for a null text.
+    """
+    lines = docs.select(
+        row_key(id, text).alias("doc"), F.col(id).alias("doc_id"), F.posexplode(F.split(normalised(F.col(text)), "\n")).alias("line_no", "norm")
+    ).withColumn("norm", F.trim("norm"))
     told = (F.octet_length(F.translate("norm", " ", "")) >= MIN_BYTES) & F.col("norm").rlike(r"[^\s\p{Z}]")
-    return lines.where(told).select("doc", "doc_id", "line_no", F.xxhash64("norm").alias("line"))
+    return lines.where(told).select("doc", "doc_id", "line_no", F.xxhash64("norm").alias("line"), "norm")
 
 
-def first_grams(docs: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """(gram, node, about) of each different line: the grams (hashed) that it may share with similar lines.
+def first_grams(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(grams, node, about) of each different line: the grams (hashed) that it may share with similar lines.
 
     Of two lines of n words or fewer, d edits apart, either has at most GRAM * d different grams that
     the other has not. So in any order of all grams (here that of their hashes), the first that both
@@ -63,14 +67,14 @@ def first_grams(docs: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataF
     line's grams d <= n / 10 edits leave n + 1 - GRAM * (d + 1) > 0 whole. A line does not know the
     longer one's length, but that is at most 10 / 9 of its own, so d is at most a ninth of that.
     """
-    lines = _lines(docs, text).select(F.xxhash64("norm").alias("node"), F.split(spaced(F.col("norm")), " ").alias("words"))
+    lines = lines.select(F.col("line").alias("node"), F.split(spaced(F.col("norm")), " ").alias("words"))
     words = lines.where(F.size("words") >= max(min_words, LEAST_EDITED)).select("node", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
     gram = lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(GRAM)])
     grams = F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), gram)))
     firsts = words.select("node", F.size("h").alias("n"), F.slice(grams, F.lit(1), F.expr(f"{GRAM} * (size(h) div {LEAST_EDITED}) + 1").cast("int")).alias("grams"))
     # Copies of a line go here, before each is dealt out by its grams.
     firsts = firsts.groupBy("node").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
-    return firsts.select(F.explode("grams").alias("gram"), "node", F.struct("n").alias("about"))
+    return firsts.select("grams", "node", F.struct("n").alias("about"))
 
 
 def _code(word: Column, seed: int = 0) -> Column:
@@ -90,13 +94,21 @@ def _sketched(texts: DataFrame) -> DataFrame:
     items = items.withColumn("bit", F.expr("shiftleft(1L, cast(item % 64 as int))"))
     parts = [F.coalesce(F.bit_xor(F.when(F.expr("item div 64") == k, F.col("bit"))), F.lit(0).cast("long")).alias(f"p{k}") for k in range(SKETCH // 64)]
     counted = items.groupBy("node").agg(F.count("*").alias("words"), *parts)
+    # Items at the same place of FOLDS parts: a sketch of fewer bits, which is compared first.
+    for k in range(FOLDS):
+        folded = F.col(f"p{k}")
+        for i in range(k + FOLDS, SKETCH // 64, FOLDS):
+            folded = folded.bitwiseXOR(F.col(f"p{i}"))
+        counted = counted.withColumn(f"f{k}", folded)
     return counted.select("node", F.struct(*[c for c in counted.columns if c != "node"]).alias("sketch"))
 
 
 def _close(x: Column, y: Column) -> Column:
     """False where two sketches show that more than a tenth of the words must be edited."""
     longer = F.greatest(x["words"], y["words"])
-    few = (F.abs(x["words"] - y["words"]) * TENTH <= longer) & (sketch_apart(x, y, SKETCH) * TENTH <= 2 * longer)
+    folded = [F.bit_count(x[f"f{k}"].bitwiseXOR(y[f"f{k}"])) for k in range(FOLDS)]
+    few = (F.abs(x["words"] - y["words"]) * TENTH <= longer) & (sum(folded[1:], folded[0]) * TENTH <= 2 * longer)
+    few = few & (sketch_apart(x, y, SKETCH) * TENTH <= 2 * longer)
     return few | (longer > LONGEST_EDIT)
 
 
@@ -124,21 +136,19 @@ def _edit_similar(a: Column, b: Column) -> Column:
     return F.when(~near, False).when(longer <= LONGEST_EDIT, by_edits).otherwise(by_words)
 
 
-def line_groups(places: DataFrame, docs: DataFrame, id: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """(node, component) of lines (by hash) that are linked with a line of other words."""
+def line_groups(places: DataFrame, lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(node, component) of lines (by hash) that are linked with a line of other words.
+
+    `lines` has them with their words (line, norm), `places` (line) once for each place.
+    """
     weights = keep(places.groupBy(F.col("line").alias("node")).agg(F.count("*").alias("weight")).where("weight > 1"), "line_weights")
 
     def plausible(x: Column, y: Column) -> Column:
         return F.abs(x["n"] - y["n"]) * TENTH <= F.greatest(x["n"], y["n"])
 
-    keyed = docs.select(row_key(id, text).alias("doc"), F.col(text).alias("text"))
-
     def texts_of(nodes: DataFrame) -> DataFrame:
-        at = semi_by_size(places.select(F.col("line").alias("node"), "doc", "line_no"), nodes, "node")
-        at = at.groupBy("node").agg(F.min(F.struct("doc", "line_no")).alias("at"))
-        bodies = semi_by_size(keyed, keep(at.select("at.doc").distinct(), "line_docs"), "doc")
-        texts = _lines(bodies, "text", "doc").select(F.xxhash64("norm").alias("node"), spaced(F.col("norm")).alias("norm"))
-        return semi_by_size(texts, nodes, "node").dropDuplicates(["node"])
+        texts = semi_by_size(lines.select(F.col("line").alias("node"), "norm"), nodes, "node").dropDuplicates(["node"])
+        return texts.select("node", spaced(F.col("norm")).alias("norm"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         nodes = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "line_nodes")
@@ -162,8 +172,10 @@ def line_groups(places: DataFrame, docs: DataFrame, id: str, text: str, min_word
             pairs = keep(both.where(similar).select("a", "b"), "similar_pairs")
         return pairs
 
-    postings = first_grams(docs, text, min_words)
-    return linked_components(postings, ["gram"], weights, plausible, verify, lambda nodes: _sketched(texts_of(nodes)), _close)
+    firsts = keep(first_grams(lines, min_words), "first_grams")
+    postings = firsts.select(F.explode("grams").alias("gram"), "node", "about")
+    drop_shuffles(lines.sparkSession)
+    return linked_components(postings, ["gram"], weights, plausible, verify, lambda nodes: _sketched(texts_of(nodes)), _close, SLICES)
 
 
 def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -185,8 +197,10 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
     """
     docs = docs.drop("n_lines", "n_dropped")
     # A row that is there twice is one document, so its lines have one place.
-    placed = keep(placed_lines(docs, id, text).dropDuplicates(["doc", "line_no"]), "placed_lines")
-    groups = keep(line_groups(placed, docs, id, text, min_words), "line_groups").select(F.col("node").alias("line"), "component")
+    lines = keep(placed_lines(docs, id, text), "lines")
+    placed = keep(lines.drop("norm").dropDuplicates(["doc", "line_no"]), "placed_lines")
+    groups = keep(line_groups(placed, lines, min_words), "line_groups").select(F.col("node").alias("line"), "component")
+    forget(lines)
     places = left_by_size(placed, groups, "line", 16)
     places = places.select("doc", "doc_id", "line_no", F.coalesce("component", "line").alias("group"))
     firsts = places.groupBy("group").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "line_no", "doc")).alias("kept"))
@@ -194,10 +208,10 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
     gone = left_by_size(places, firsts, "group", 32).where("kept_doc IS NOT NULL AND (doc <> kept_doc OR line_no <> kept_no)")
     gone = keep(gone.groupBy("doc").agg(F.sort_array(F.collect_list("line_no")).alias("gone_lines_")), "lines_gone")
     out = left_by_size(docs.withColumn("doc_key_", row_key(id, text)), gone.withColumnRenamed("doc", "doc_key_"), "doc_key_", 64)
-    lines = F.split(text, "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone_lines_"), i)), "\n")
+    all_lines = F.split(text, "\n")
+    left = F.array_join(F.filter(all_lines, lambda x, i: ~F.array_contains(F.col("gone_lines_"), i)), "\n")
     return out.withColumns({
-        "n_lines": F.coalesce(F.size(lines), F.lit(0)),
+        "n_lines": F.coalesce(F.size(all_lines), F.lit(0)),
         "n_dropped": F.coalesce(F.size("gone_lines_"), F.lit(0)),
         text: F.when(F.col("gone_lines_").isNull(), F.col(text)).otherwise(left),
     }).select(*docs.columns, "n_lines", "n_dropped")
