@@ -101,6 +101,27 @@ def test_json_sink_is_read_back(spark, tmp_path):
     assert values(back, "product_id", "price", "brand") == [("p1", 1.0, None), ("p2", None, None)]
 
 
+def test_json_files_are_packed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(out, "PACKED_ROWS", 3)
+    path = str(tmp_path / "packed")
+    out.write_json(spark.range(10).selectExpr("CAST(id AS STRING) AS product_id").coalesce(1), path)
+    written = glob.glob(f"{path}/part-*")
+    assert len(written) == 4 and all(f.endswith(".json.gz") for f in written)
+    back = files.read_json_table(spark, path, schemas.PRODUCTS, multi_line=False)
+    assert values(back, "product_id") == [(str(n),) for n in range(10)]
+
+
+def test_packed_csv_files_are_read_by_their_headers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(out, "PACKED_ROWS", 2)
+    users = frame(spark, "user_id string, name string", *[(f"u{n}", f"n{n}") for n in range(5)])
+    for k, half in enumerate((users, users.select("name", "user_id"))):
+        out.packed(half.coalesce(1).write).csv(str(tmp_path / "users" / str(k)), header=True)
+    written = glob.glob(f"{tmp_path}/users/*/part-*")
+    assert len(written) == 6 and all(f.endswith(".csv.gz") for f in written)
+    back = files.read_csv_by_name(spark, str(tmp_path / "users"), schemas.columns("user_id string, name string"))
+    assert values(back) == sorted([(f"u{n}", f"n{n}") for n in range(5)] * 2)
+
+
 # --- Bronze
 
 
