@@ -16,7 +16,7 @@ from commerce_lake.plans.event_stream import (
     landing_records,
     write_batch_files,
 )
-from commerce_lake.sinks.files import write_json, write_partitioned
+from commerce_lake.sinks.files import packed, write_json, write_partitioned
 from commerce_lake.sources.files import read_bronze, read_envelopes, split_bronze
 from commerce_lake.streaming.facts import rebuild_late_days, start_append
 from commerce_lake.streaming.landing import read_landing, start_bronze
@@ -55,7 +55,7 @@ def csv_to_event_stream(t: Tables) -> DataFrame:
             even = F.col("order_id").cast("bigint") % 2 == 0
             halves = [named.where(even), named.where(~even).select(*reversed(named.columns))]
         for k, half in enumerate(halves):
-            half.write.csv(f"{folder}/{name}.csv/{k}", header=True)
+            packed(half.write).csv(f"{folder}/{name}.csv/{k}", header=True)
     return csv_event_stream(t.spark, folder, BATCH).select("batch_id", "stream_type", "event_time", "data.*")
 
 
