@@ -27,7 +27,7 @@ from commerce_lake import schemas
 from commerce_lake.functions.cleaning import parse_date
 from commerce_lake.operators.days import of_days
 from commerce_lake.operators.merge import union_distinct
-from commerce_lake.shared import materialize
+from commerce_lake.shared import INTERMEDIATE, materialize, new_folder
 from commerce_lake.sinks import folders, pointer
 from commerce_lake.sources.files import read_or_empty
 
@@ -112,26 +112,34 @@ class DayIndex:
         place = pointer.current_path(spark, self._held)
         return spark.createDataFrame([], schema) if place is None else read_or_empty(spark, place, schema)
 
-    def lookup(self, asked: DataFrame) -> DataFrame:
-        """Entries of the (relation, key) asked for; only the buckets that these fall in are read."""
-        spark = asked.sparkSession
-        asked = asked.select("relation", "key").where(F.col("key").isNotNull()).distinct()
+    def _near(self, asked: DataFrame) -> DataFrame:
+        """Entries in the buckets that the (relation, key) asked for fall in; no others are read."""
+        asked = asked.where(F.col("key").isNotNull())
         touched: dict[str, list[int]] = {}
         for relation, bucket in asked.select("relation", self.bucket("key")).distinct().collect():
             touched.setdefault(relation, []).append(bucket)  # at most `buckets` each
         wanted = F.lit(False)
         for relation, buckets in touched.items():
             wanted = wanted | ((F.col("relation") == relation) & F.col(BUCKET).isin(sorted(buckets)))
-        held = self.entries(spark).where(wanted)
-        return held.join(asked, ["relation", "key"], "left_semi").drop(BUCKET).distinct()
+        return self.entries(asked.sparkSession).where(wanted).drop(BUCKET)
+
+    def lookup(self, asked: DataFrame) -> DataFrame:
+        """Entries of the (relation, key) asked for; only the buckets that these fall in are read."""
+        held = self._near(asked)
+        return held.join(asked.select("relation", "key"), ["relation", "key"], "left_semi").distinct()
 
     # --- growing
 
     def add(self, rows: DataFrame) -> None:
         """Add arrived records (a written table with the columns ARRIVAL), then their links."""
-        entries = _entries(rows)
-        self._append(entries)
-        self._link(entries)
+        spark, place = rows.sparkSession, new_folder(rows.sparkSession, "entries")
+        try:
+            _entries(rows).write.parquet(place, compression=INTERMEDIATE)
+            entries = spark.read.schema(ENTRY).parquet(place)
+            self._append(entries)
+            self._link(entries)
+        finally:
+            folders.remove(spark, place)
 
     def _link(self, new: DataFrame) -> None:
         def ask(kind: str, relation: str, first: bool) -> Column:
@@ -145,8 +153,9 @@ class DayIndex:
             "events": F.array(ask("events", "events", True)),
         }
         asked = new.select("key", "day", F.explode(_choose(asks, "relation")).alias("a"))
-        asked = asked.select("key", "day", "a.kind", F.col("a._asked").alias("relation"), "a.first").distinct()
-        held = self.lookup(asked).select("relation", "key", F.col("day").alias("_day")).distinct()
+        asked = asked.select("key", "day", "a.kind", F.col("a._asked").alias("relation"), "a.first")
+        # Each side is shuffled once; what repeats goes with the pairs, of which there are few.
+        held = self._near(asked).select("relation", "key", F.col("day").alias("_day"))
         met = asked.join(held, ["relation", "key"]).where(~F.col("day").eqNullSafe(F.col("_day")))
         one = F.struct(F.when(F.col("first"), F.col("day")).otherwise(F.col("_day")).alias("day"),
                        F.when(F.col("first"), F.col("_day")).otherwise(F.col("day")).alias("other"))

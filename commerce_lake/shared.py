@@ -9,6 +9,10 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Packing of tables that only the next steps read.
+INTERMEDIATE = "zstd"
+
+
 @lru_cache(maxsize=1)
 def _folder_of_this_process() -> str:
     return tempfile.mkdtemp(prefix="commerce-lake-")
@@ -38,5 +42,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage, so that later stages lost with an executor are recomputed from the table.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=INTERMEDIATE)
     return df.sparkSession.read.schema(df.schema).parquet(path)

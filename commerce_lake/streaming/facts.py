@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from commerce_lake import schemas
 from commerce_lake.plans.bronze import bronze_partitions, bronze_rows
-from commerce_lake.shared import new_folder
+from commerce_lake.shared import INTERMEDIATE, new_folder
 from commerce_lake.sinks import folders
 from commerce_lake.sinks.files import write_partitioned
 from commerce_lake.sinks.publish import append_fact
@@ -53,7 +53,7 @@ def start_landing(
         spark, place = batch.sparkSession, new_folder(batch.sparkSession, "landed")
         rows = bronze_rows(batch, by_date=True)
         try:
-            rows.write.parquet(place)
+            rows.write.parquet(place, compression=INTERMEDIATE)
             written = spark.read.schema(rows.schema).parquet(place)
             note(written.where(F.col("stream_type") != REJECTED), batch_id)
             write_partitioned(

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from commerce_lake.shared import INTERMEDIATE
 from commerce_lake.sinks import folders
 
 
@@ -24,7 +25,7 @@ class PendingLog:
     def add(self, name: str, rows: DataFrame) -> DataFrame:
         """Write an entry and return it as written."""
         place = f"{self.path}/{name}"
-        rows.write.mode("overwrite").parquet(place)
+        rows.write.mode("overwrite").parquet(place, compression=INTERMEDIATE)
         return rows.sparkSession.read.schema(rows.schema).parquet(place)
 
     def names(self, spark: SparkSession, prefix: str = "") -> list[str]:

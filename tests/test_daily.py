@@ -15,6 +15,7 @@ from commerce_lake.operators.days import of_days
 from commerce_lake.plans import daily
 from commerce_lake.plans.day_index import DayIndex, arrivals
 from commerce_lake.plans.ratings import RatingState
+from commerce_lake.shared import shared_folder
 from commerce_lake.sinks import folders
 from commerce_lake.streaming.facts import rebuild_late_days
 from commerce_lake.streaming.landing import read_landing
@@ -293,6 +294,25 @@ def test_links_join_days_of_one_id(spark, tmp_path):
     assert values(index.affected_days(again)) == [(DAYS[0],), (DAYS[1],)]  # of the order it had before
 
 
+def test_arrivals_are_shuffled_once(spark, tmp_path, monkeypatch):
+    seen, link = [], DayIndex._link
+
+    def watched(self, new):
+        seen.append(new._jdf.queryExecution().executedPlan().toString())
+        link(self, new)
+
+    monkeypatch.setattr(DayIndex, "_link", watched)
+    before = folders.children(spark, shared_folder(spark) + "/commerce_lake")
+    index = DayIndex(str(tmp_path / "index"), 4)
+    for day in ("2024-01-01", "2024-01-02"):
+        index.add(arrivals(flat(spark, order("o1", f"{day} 08:00:00"), order("o1", f"{day} 08:00:00"))))
+    assert len(seen) == 2 and all("Exchange" not in plan for plan in seen)
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    assert values(index.links(spark, "orders")) == [(d1, d2), (d2, d1)]
+    left = folders.children(spark, shared_folder(spark) + "/commerce_lake")
+    assert not [n for n in left if n.startswith("entries") and n not in before]
+
+
 def test_compacting_changes_no_answer(spark, tmp_path):
     index = DayIndex(str(tmp_path / "index"), 2)
     for n in range(6):
