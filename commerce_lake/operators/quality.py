@@ -13,15 +13,15 @@ from commerce_lake.operators.merge import union_all
 
 
 def table_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count per table. On parquet tables this reads the file footers only."""
-    return union_all(
-        [
-            df.agg(F.count("*").alias("row_count")).select(
-                F.lit(name).alias("table_name"), "row_count"
-            )
-            for name, df in tables.items()
-        ]
-    )
+    """Row count per table, 0 for empty ones. On parquet tables this reads the file footers only."""
+    counted = []
+    for name, df in tables.items():
+        none = df.sparkSession.range(0, 1, 1, 1)  # so that a table without rows has its line too
+        for rows, each in ((df, 1), (none, 0)):
+            weight = F.lit(each).cast("bigint").alias("row_count")
+            counted.append(rows.select(F.lit(name).alias("table_name"), weight))
+    total = F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+    return union_all(counted).groupBy("table_name").agg(total)
 
 
 def count_by(df: DataFrame, column: str) -> DataFrame:
