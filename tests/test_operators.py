@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import gzip
 import json
 import random
 import re
@@ -21,6 +22,7 @@ from commerce_lake.operators.quality import (
 )
 from commerce_lake.plans.event_stream import build_event_stream, tables_of_day, write_batch_files
 from commerce_lake.schemas import SchemaMismatch, require_columns, require_schema, columns
+from commerce_lake.sources.files import read_envelopes
 from frames import frame, values
 
 
@@ -321,6 +323,21 @@ def test_batch_files_are_ordered_arrays(spark, shop, tmp_path):
     }
 
 
+def test_packed_batch_files_are_the_same_arrays(spark, shop, tmp_path):
+    plain, small = str(tmp_path / "plain"), str(tmp_path / "packed")
+    stream, arrived = build_event_stream(shop, 3), F.lit(T1)
+    write_batch_files(stream, plain, arrived)
+    write_batch_files(stream, small, arrived, compression="gzip")
+    found = {}
+    for file in glob.glob(f"{small}/batch_id=*/*.txt.gz"):
+        with gzip.open(file, "rt") as f:
+            found[file.split("batch_id=")[1].split("/")[0]] = f.read()
+    assert len(found) == 3 and found == {
+        f.split("batch_id=")[1].split("/")[0]: open(f).read() for f in glob.glob(f"{plain}/batch_id=*/*.txt")
+    }
+    assert values(read_envelopes(spark, small)) == values(read_envelopes(spark, plain))
+
+
 def test_one_day_of_the_stream(spark, shop):
     day = tables_of_day(shop, dt.date(2024, 1, 2))
     assert {n: df.count() for n, df in day.items()} == {
@@ -353,6 +370,9 @@ def test_orphans_and_summary(spark):
     dim = frame(spark, "id int", [1])
     assert values(orphan_keys(fact, "k", dim, "id")) == [(2, 2)]
     assert values(table_summary({"fact": fact, "dim": dim})) == [("dim", 1), ("fact", 4)]
+    summary = table_summary({"fact": fact, "none": fact.where("false")})
+    assert values(summary) == [("fact", 4), ("none", 0)]
+    assert "SinglePartition" not in summary._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in count_by(fact, "k").collect()] == [(None, 1), (1, 1), (2, 2)]
 
 
