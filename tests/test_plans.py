@@ -5,6 +5,7 @@ import re
 import pytest
 
 from suite import QUERIES
+from suite.entities import Tables
 from test_queries import FOLDER
 
 # Queries whose result is one row, a top-k, or a count per table.
@@ -61,3 +62,17 @@ def test_hash_keys_need_no_lookup_join(plan):
 def test_dedup_is_partial_before_each_shuffle(plan):
     text = plan("fact_events")
     assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_items_of_the_landing_files_meet_their_orders_by_number(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        found = spark.sparkContext._jvm.PythonSQLUtils.explainString(
+            Tables(spark, FOLDER).envelopes()._jdf.queryExecution(), "formatted"
+        )
+    finally:
+        spark.conf.set(threshold, before)
+    shuffled = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]", found)
+    assert shuffled and not any("order_item_id" in columns for columns in shuffled)
