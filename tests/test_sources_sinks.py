@@ -135,6 +135,14 @@ def test_bronze_keeps_rejected_records_apart(spark, tmp_path):
     assert files.read_rejected(spark, bronze).first()[0] == "{not json"
 
 
+def test_bronze_is_packed(spark, tmp_path):
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    write_array(landing, "a.json", [event("e1", "2024-01-01 00:00:00"), order("o1", "2024-01-01 00:00:00")])
+    ingest_stream_bronze(spark, str(landing), bronze)
+    found = glob.glob(f"{bronze}/*/*.parquet")
+    assert found and all(f.endswith(".zstd.parquet") for f in found)
+
+
 def test_empty_landing_leaves_bronze_as_it_is(spark, tmp_path):
     landing, empty, bronze = tmp_path / "landing", tmp_path / "empty", str(tmp_path / "bronze")
     write_array(landing, "a.json", [event("e1", "2024-01-01 00:00:00")])
