@@ -145,7 +145,8 @@ def linked_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
         nodes = keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ngram_wanted")
         keys = semi_by_size(sets.select("id", "row_key"), nodes, "id").select("row_key").distinct()
         wanted = semi_by_size(rows, keep(keys, "ngram_rows"), "row_key").select("text").mapInArrow(_sets, "id bigint, grams array<bigint>")
-        wanted = keep(wanted.dropDuplicates(["id"]), "ngram_wanted_sets")
+        # Not written: the shuffle that brings repeats of a row together is also that of both joins.
+        wanted = wanted.dropDuplicates(["id"])
         side = lambda x: wanted.select(F.col("id").alias(x), F.col("grams").alias(f"{x}_grams"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         common = F.size(F.array_intersect("a_grams", "b_grams"))
@@ -205,8 +206,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose counts in each part of the hash space allow for the similarity."""
+    # Few sets are in pairs; only their counts are sent to both ends.
+    pairs = keep(pairs, "bound_pairs")
+    ends = keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "bound_nodes")
+    counts = keep(semi_by_size(sets.select("id", "parts"), ends, "id"), "bound_parts")
     for x in ("a", "b"):
-        pairs = left_by_size(pairs, sets.select(F.col("id").alias(x), F.col("parts").alias(f"{x}_parts")), x, 200)
+        pairs = left_by_size(pairs, counts.select(F.col("id").alias(x), F.col("parts").alias(f"{x}_parts")), x, 200)
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
