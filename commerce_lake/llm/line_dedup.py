@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commerce_lake.llm.decontamination import BETWEEN_WORDS, row_key
-from commerce_lake.llm.linking import linked_components, sketch_apart
+from commerce_lake.llm.linking import linked_members, sketch_apart
 from commerce_lake.llm.tables import drop_shuffles, forget, keep, left_by_size, semi_by_size
+from commerce_lake.shared import INTERMEDIATE
 
 #: Shorter lines have exact copies only.
 MIN_WORDS = 5
@@ -15,7 +16,9 @@ MIN_WORDS = 5
 MIN_BYTES = 3
 #: Characters of scripts that put no spaces between words; each counts as a word in the comparison by edits.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
-#: Words in a row that make a gram; lines are compared if they share one of their first grams.
+#: All of these are there, and few letters of other scripts; much quicker to look for.
+BEYOND_E00 = r"[\x{E00}-\x{10FFFF}]"
+#: Words in a row that make a gram; lines are compared if they share one of their chosen grams.
 GRAM = 3
 #: Words of the shortest line that an edit of a tenth can make into another (one of ten words).
 LEAST_EDITED = 9
@@ -25,6 +28,10 @@ TENTH = 10
 LONGEST_EDIT = 1 << 20
 #: Seeds of the codes of words that confirm a similar pair; with the first, 28,000^4 (2^59) codes.
 CONFIRM = [1, 2, 3]
+#: Words of the longer line from which the words that only one line has are counted before its edits are.
+COUNT_FIRST = 512
+#: Pairs for each line up to which what hubs did not join is compared without sketches.
+FEW = 50
 #: Pairs that one task compares.
 PAIRS = 4096
 #: Bits of the sketch that tells lines apart before they are compared word by word.
@@ -43,38 +50,93 @@ def normalised(text: Column) -> Column:
 def spaced(norm: Column) -> Column:
     """A normalised line with each character of UNSPACED as a word."""
     parted = F.trim(F.regexp_replace(F.regexp_replace(norm, UNSPACED, " $0 "), " +", " "))
-    return F.when((F.octet_length(norm) > F.length(norm)) & norm.rlike(UNSPACED), parted).otherwise(norm)
+    there = (F.octet_length(norm) > F.length(norm)) & norm.rlike(BEYOND_E00) & norm.rlike(UNSPACED)
+    return F.when(there, parted).otherwise(norm)
 
 
 def placed_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(doc, doc_id, line_no, line, norm): place, hash and words of each line that is not blank and has MIN_BYTES of letters.
 
     Texts are normalised as a whole and then split, so that each is gone through once. None for a null text.
+    Equal lines have equal hashes before characters of UNSPACED are set apart.
     """
     lines = docs.select(
         row_key(id, text).alias("doc"), F.col(id).alias("doc_id"), F.posexplode(F.split(normalised(F.col(text)), "\n")).alias("line_no", "norm")
     ).withColumn("norm", F.trim("norm"))
-    told = (F.octet_length(F.translate("norm", " ", "")) >= MIN_BYTES) & F.col("norm").rlike(r"[^\s\p{Z}]")
-    return lines.where(told).select("doc", "doc_id", "line_no", F.xxhash64("norm").alias("line"), "norm")
+    # Spaces stand alone between words, so that letters are counted in short lines only.
+    long_enough = (F.octet_length("norm") >= 2 * MIN_BYTES) | (F.octet_length(F.translate("norm", " ", "")) >= MIN_BYTES)
+    told = long_enough & F.col("norm").rlike(r"[^\s\p{Z}]")
+    return lines.where(told).select("doc", "doc_id", "line_no", F.xxhash64("norm").alias("line"), spaced(F.col("norm")).alias("norm"))
 
 
-def first_grams(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(grams, node, about) of each different line: the grams (hashed) that it may share with similar lines.
+def _rank(word: Column) -> Column:
+    """Longer words, which are seldom ones, come last; those of a length in the order of their hashes."""
+    return F.shiftleft(F.octet_length(word), 24).bitwiseOR(F.hash(word).bitwiseAND(F.lit((1 << 24) - 1)))
 
-    Of two lines of n words or fewer, d edits apart, either has at most GRAM * d different grams that
-    the other has not. So in any order of all grams (here that of their hashes), the first that both
-    have is among the first GRAM * d + 1 of each; and they have one in common, since of the longer
-    line's grams d <= n / 10 edits leave n + 1 - GRAM * (d + 1) > 0 whole. A line does not know the
-    longer one's length, but that is at most 10 / 9 of its own, so d is at most a ninth of that.
+
+def chosen_grams(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(gram, node, place) of each line: the grams (hashed) that it may share with similar lines, and where they are.
+
+    Of two lines of n words or fewer, d edits apart, an edit touches at most GRAM of the places where
+    either line has a gram. A line chooses the grams whose first word comes late in the order of
+    _rank: all from some rank on, so many that there are GRAM * d + 1 of them or more (GRAM * (d + 1)
+    words have that rank, of which GRAM - 1 may be too near the end to begin a gram). One of these
+    stays whole in the other line, at most d words further on or back from either end. The line that
+    chooses from the higher rank on thus has a gram that the other has chosen too. There are as many
+    words, as n >= GRAM * (d + 1). A line does not know the longer one's length, but that is at most
+    10 / 9 of its own, so d is at most a ninth of that.
     """
-    lines = lines.select(F.col("line").alias("node"), F.split(spaced(F.col("norm")), " ").alias("words"))
-    words = lines.where(F.size("words") >= max(min_words, LEAST_EDITED)).select("node", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    gram = lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(GRAM)])
-    grams = F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), gram)))
-    firsts = words.select("node", F.size("h").alias("n"), F.slice(grams, F.lit(1), F.expr(f"{GRAM} * (size(h) div {LEAST_EDITED}) + 1").cast("int")).alias("grams"))
-    # Copies of a line go here, before each is dealt out by its grams.
-    firsts = firsts.groupBy("node").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
-    return firsts.select("grams", "node", F.struct("n").alias("about"))
+    words = lines.select(F.col("line").alias("node"), F.split("norm", " ").alias("words")).withColumn("n", F.size("words"))
+    ranks = F.sort_array(F.transform("words", lambda w: _rank(w)))
+    least = F.get(ranks, F.expr(f"cast(n - {GRAM} * (n div {LEAST_EDITED} + 1) as int)"))
+    # Conditions are where the optimizer does not have the words split and ranked for them once more,
+    # and `least` is in what is exploded to be computed once a line, not once a word.
+    words = words.withColumn("least", F.coalesce(least, F.lit(0)))
+    long_enough = F.when((F.col("n") >= max(min_words, LEAST_EDITED)) & F.col("least").isNotNull(), F.col("words"))
+    placed = words.select("*", F.posexplode(long_enough).alias("i", "word"))
+    placed = placed.where((_rank(F.col("word")) >= F.col("least")) & (F.col("i") <= F.col("n") - GRAM))
+    gram = F.xxhash64("word", *[F.get("words", F.col("i") + k) for k in range(1, GRAM)])
+    place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long"))
+    return placed.select(gram.alias("gram"), "node", place.alias("place"))
+
+
+def _in_reach(x: Column, y: Column) -> Column:
+    """Whether lines that have a gram from place `first` to place `last` on may be similar, by its distance from both ends."""
+    ends = {}
+    for name, about in (("x", x), ("y", y)):
+        n = F.shiftrightunsigned(about["first"], 32)
+        ends[name] = n, *(about[end].bitwiseAND(F.lit((1 << 32) - 1)) for end in ("first", "last"))
+    (n, low, high), (m, least, most) = ends["x"], ends["y"]
+    longer = F.greatest(n, m)
+    near = F.abs(n - m) * TENTH <= longer
+    for beyond in (low - most, least - high, (n - high) - (m - least), (m - most) - (n - low)):
+        near = near & (beyond * TENTH <= longer)
+    return near | (longer > LONGEST_EDIT)
+
+
+def shared_grams(grams: DataFrame) -> DataFrame:
+    """(gram, node, about), once each, of the `grams` (a written table) that a line shares with another in reach.
+
+    Most grams are in one line, or in two out of reach, and go at once. They are looked through in
+    SLICES parts of their hash space, one after another, so that the shuffle of all is never on disk
+    as a whole.
+    """
+    found = None
+    for k in range(SLICES):
+        part = grams.where(F.pmod("gram", F.lit(SLICES)) == k)
+        ends = [F.min("node").alias("node"), F.max("node").alias("other"), F.min("place").alias("place"), F.max("place").alias("last"), F.count("*").alias("n")]
+        shared = part.groupBy("gram").agg(*ends).where("node <> other")
+        one = lambda place: F.struct(F.col(place).alias("first"), F.col(place).alias("last"))
+        shared = keep(shared.where((F.col("n") > 2) | _in_reach(one("place"), one("last"))).select("gram"), "shared_grams")
+        part = semi_by_size(part, shared, "gram").groupBy("gram", "node").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+        part = keep(part.select("gram", "node", F.struct("first", "last").alias("about")), "gram_lines")
+        other = part.select(F.col("gram").alias("of"), F.col("node").alias("other"), F.col("about").alias("there"))
+        met = (F.col("gram") == F.col("of")) & (F.col("node") != F.col("other")) & _in_reach(F.col("about"), F.col("there"))
+        members = keep(part.join(other, met, "left_semi"), "gram_members")
+        forget(part)
+        found = members if found is None else found.union(members)
+        drop_shuffles(grams.sparkSession)
+    return found
 
 
 def _code(word: Column, seed: int = 0) -> Column:
@@ -114,7 +176,7 @@ def _close(x: Column, y: Column) -> Column:
 
 def _coded(norm: Column, seed: int = 0) -> Column:
     """A line with one character (of 28,000, by a hash) for each word."""
-    code = lambda w: F.lpad(F.hex(F.lit(0x4000) + _code(w, seed)), 4, "0")
+    code = lambda w: F.hex(F.lit(0x4000) + _code(w, seed))  # four digits each
     return F.decode(F.unhex(F.array_join(F.transform(F.split(norm, " "), code), "")), "UTF-16BE")
 
 
@@ -125,57 +187,59 @@ def _edit_similar(a: Column, b: Column) -> Column:
     while top >= 16:  # levenshtein takes a constant limit, beyond which it gives -1, here made large
         edits = F.levenshtein(a, b, top // TENTH).cast("long").bitwiseAND(F.lit((1 << 31) - 1).cast("long"))
         apart = F.when(longer <= top, edits).otherwise(apart)
-        top //= 2
+        top //= 4
     by_edits = apart * TENTH <= longer
-    # Each edit takes away at most one kind of word; this is cheap, and most pairs end here.
+    # Each edit takes away at most one kind of word; in long lines this is much cheaper than edits.
     x, y = F.split(a, ""), F.split(b, "")
     near = (F.abs(F.length(a) - F.length(b)) * TENTH <= longer) & (
-        F.greatest(F.size(F.array_except(x, y)), F.size(F.array_except(y, x))) * TENTH <= longer
+        (longer < COUNT_FIRST) | (F.greatest(F.size(F.array_except(x, y)), F.size(F.array_except(y, x))) * TENTH <= longer)
     )
     by_words = F.size(F.array_intersect(x, y)) * TENTH >= F.size(F.array_union(x, y)) * (TENTH - 1)
     return F.when(~near, False).when(longer <= LONGEST_EDIT, by_edits).otherwise(by_words)
 
 
-def line_groups(places: DataFrame, lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def line_groups(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(node, component) of lines (by hash) that are linked with a line of other words.
 
-    `lines` has them with their words (line, norm), `places` (line) once for each place.
+    `lines` (a written table) has them with their words (line, norm) once for each place, numbered
+    by `row`.
     """
-    weights = keep(places.groupBy(F.col("line").alias("node")).agg(F.count("*").alias("weight")).where("weight > 1"), "line_weights")
-
-    def plausible(x: Column, y: Column) -> Column:
-        return F.abs(x["n"] - y["n"]) * TENTH <= F.greatest(x["n"], y["n"])
-
-    def texts_of(nodes: DataFrame) -> DataFrame:
-        texts = semi_by_size(lines.select(F.col("line").alias("node"), "norm"), nodes, "node").dropDuplicates(["node"])
-        return texts.select("node", spaced(F.col("norm")).alias("norm"))
+    weights = lines.groupBy(F.col("line").alias("node")).agg(F.count("*").alias("weight"), F.min("row").alias("first"))
+    weights = keep(weights.where("weight > 1"), "line_weights")
+    once = left_by_size(lines.select("line", "row", "norm"), weights.select(F.col("node").alias("line"), "first"), "line", 32)
+    once = once.where("first IS NULL OR row = first").select("line", "norm")
+
+    grams = keep(chosen_grams(once, min_words), "chosen_grams", INTERMEDIATE)
+    members = shared_grams(grams)
+    forget(grams)
+    nodes = keep(members.select("node").distinct(), "line_nodes")
+    texts = keep(semi_by_size(once.withColumnRenamed("line", "node"), nodes, "node"), "line_texts", INTERMEDIATE)
+    first_codes = keep(texts.select("node", _coded(F.col("norm"), 0).alias("c0")), "line_codes", INTERMEDIATE)
+
+    def similar(pairs: DataFrame, coded: DataFrame, seeds: list[int]) -> DataFrame:
+        side = lambda x: coded.select(F.col("node").alias(x), *[F.col(f"c{k}").alias(f"{x}{k}") for k in seeds])
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        # Few bytes, but long to compare: spread by number. The part's own number in the condition
+        # keeps the optimizer from comparing before that.
+        both = both.repartition(1 + pairs.count() // PAIRS, "a", "b").withColumn("task", F.spark_partition_id())
+        alike = F.col("task") >= 0
+        for k in seeds:
+            alike = alike & _edit_similar(F.col(f"a{k}"), F.col(f"b{k}"))
+        return keep(both.where(alike).select("a", "b"), "similar_pairs")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "line_nodes")
-        texts = keep(texts_of(nodes), "line_texts")
-        near = keep(_sketched(texts), "line_sketches")
-        for x in ("a", "b"):
-            pairs = left_by_size(pairs, near.select(F.col("node").alias(x), F.col("sketch").alias(f"{x}_sketch")), x, 300)
-        pairs = keep(pairs.where(_close(F.col("a_sketch"), F.col("b_sketch"))).select("a", "b"), "close_pairs")
         # Different words may have one character, which makes lines look nearer than they are. What
         # is similar by one code is compared again by others, of which each would have to err.
-        for seeds in ([0], CONFIRM):
-            coded = texts.select("node", *[_coded(F.col("norm"), k).alias(f"c{k}") for k in seeds])
-            side = lambda x: coded.select(F.col("node").alias(x), *[F.col(f"c{k}").alias(f"{x}{k}") for k in seeds])  # noqa: E731, B023
-            both = pairs.join(side("a"), "a").join(side("b"), "b")
-            # Few bytes, but long to compare: spread by number. The part's own number in the condition
-            # keeps the optimizer from comparing before that.
-            both = both.repartition(1 + pairs.count() // PAIRS, "a", "b").withColumn("task", F.spark_partition_id())
-            similar = F.col("task") >= 0
-            for k in seeds:
-                similar = similar & _edit_similar(F.col(f"a{k}"), F.col(f"b{k}"))
-            pairs = keep(both.where(similar).select("a", "b"), "similar_pairs")
-        return pairs
-
-    firsts = keep(first_grams(lines, min_words), "first_grams")
-    postings = firsts.select(F.explode("grams").alias("gram"), "node", "about")
+        pairs = similar(pairs, first_codes, [0])
+        left = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "similar_nodes")
+        coded = semi_by_size(texts, left, "node").select("node", *[_coded(F.col("norm"), k).alias(f"c{k}") for k in CONFIRM])
+        return similar(pairs, coded, CONFIRM)
+
+    def sketches(nodes: DataFrame) -> DataFrame:
+        return _sketched(semi_by_size(texts, nodes, "node"))
+
     drop_shuffles(lines.sparkSession)
-    return linked_components(postings, ["gram"], weights, plausible, verify, lambda nodes: _sketched(texts_of(nodes)), _close, SLICES)
+    return linked_members(members, ["gram"], weights.select("node", "weight"), _in_reach, verify, sketches, _close, FEW)
 
 
 def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -183,8 +247,8 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
 
     Lines are equal if they are after lower-casing and reduction to words (64-bit hashes are
     compared). Different lines are linked if their edit distance in words is at most a tenth of the
-    longer one's length; all such pairs are found (see first_grams). Lines beyond LONGEST_EDIT words
-    are linked if nine tenths of their words are common and one of their first grams is. Of each
+    longer one's length; all such pairs are found (see chosen_grams). Lines beyond LONGEST_EDIT words
+    are linked if nine tenths of their words are common and one of their chosen grams is. Of each
     connected group one occurrence stays, the first by id, line number and a hash of the text. Each
     character of a script without spaces (UNSPACED) counts as a word there. Lines of fewer than
     `min_words` words are linked with exact copies only. Lines without letters and digits (blank
@@ -197,9 +261,9 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
     """
     docs = docs.drop("n_lines", "n_dropped")
     # A row that is there twice is one document, so its lines have one place.
-    lines = keep(placed_lines(docs, id, text), "lines")
-    placed = keep(lines.drop("norm").dropDuplicates(["doc", "line_no"]), "placed_lines")
-    groups = keep(line_groups(placed, lines, min_words), "line_groups").select(F.col("node").alias("line"), "component")
+    lines = keep(placed_lines(docs, id, text).withColumn("row", F.monotonically_increasing_id()), "lines", INTERMEDIATE)
+    placed = keep(lines.drop("norm", "row").dropDuplicates(["doc", "line_no"]), "placed_lines", INTERMEDIATE)
+    groups = keep(line_groups(lines, min_words), "line_groups").select(F.col("node").alias("line"), "component")
     forget(lines)
     places = left_by_size(placed, groups, "line", 16)
     places = places.select("doc", "doc_id", "line_no", F.coalesce("component", "line").alias("group"))

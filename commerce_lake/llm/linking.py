@@ -69,18 +69,7 @@ def linked_components(
     close: Callable[[Column, Column], Column],
     slices: int = 1,
 ) -> DataFrame:
-    """(node, component) of all nodes that are linked with another.
-
-    Two nodes may be linked if they share a key in `postings` (key..., node, about) and
-    `plausible(about, about)` holds; `verify` keeps those pairs (a, b) that are. Every link between
-    two nodes counts, yet not every pair is formed: at first each node is compared with the hub of
-    one of its keys alone, the node of the largest weight there (`weights`: node, weight), ROUNDS
-    times over among the hubs it is not joined with. What that joins needs no further look. Then
-    the nodes still outside the component of a key's hub are compared with the nodes of other
-    components in that key, so no link between components is missed. These are as many pairs as
-    there are, in groups that do not hang together; hence `sketches` adds a `sketch` to nodes
-    (node), and where two of them are not `close`, the nodes are known not to be linked and no pair
-    is formed. Each pair is verified once.
+    """`linked_members` of the keys in `postings` (key..., node, about) that several nodes hold.
 
     Most keys are held by one node and go at once. Keys are looked through in `slices` parts of their
     hash space, one after another, so that the shuffle of all postings is never on disk as a whole;
@@ -97,6 +86,35 @@ def linked_components(
         if slices > 1:
             drop_shuffles(postings.sparkSession)
     members = shared.select(*key, "node", "about").union(shared.select(*key, "hub.node", "hub.about").distinct())
+    return linked_members(members, key, weights, plausible, verify, sketches, close)
+
+
+def linked_members(
+    members: DataFrame,
+    key: list[str],
+    weights: DataFrame,
+    plausible: Callable[[Column, Column], Column],
+    verify: Callable[[DataFrame], DataFrame],
+    sketches: Callable[[DataFrame], DataFrame],
+    close: Callable[[Column, Column], Column],
+    few: int = 0,
+) -> DataFrame:
+    """(node, component) of all nodes that are linked with another.
+
+    Two nodes may be linked if they share a key in `members` (a written table, one row (key...,
+    node, about) for a node and key) and `plausible(about, about)` holds; `verify` keeps those pairs
+    (a, b) that are. Every link between two nodes counts, yet not every pair is formed: at first
+    each node is compared with the hub of one of its keys alone, the node of the largest weight
+    there (`weights`: node, weight), ROUNDS times over among the hubs it is not joined with. What
+    that joins needs no further look. Then the nodes still outside the component of a key's hub are
+    compared with the nodes of other components in that key, so no link between components is
+    missed. These are as many pairs as there are, in groups that do not hang together; hence
+    `sketches` adds a `sketch` to nodes (node), and where two of them are not `close`, the nodes are
+    known not to be linked and no pair is formed. Where plausible pairs are at most `few` times as
+    many as nodes, they are verified without sketches. Each pair is verified once. The files of
+    `members` are deleted.
+    """
+    keys = members
     members = left_by_size(members, weights, "node", 16).withColumn("weight", F.coalesce("weight", F.lit(0)))
     heaviest = F.first(F.struct("weight", "node", "about")).over(
         Window.partitionBy(*key).orderBy(F.desc("weight"), "node").rowsBetween(Window.unboundedPreceding, 0)
@@ -109,7 +127,7 @@ def linked_components(
         ),
         "star",
     )
-    forget(shared)
+    forget(keys)
 
     def with_component(df: DataFrame, joined: DataFrame, node: str, name: str) -> DataFrame:
         side = joined.select(F.col("node").alias("_node"), F.col("component").alias(name))
@@ -145,11 +163,19 @@ def linked_components(
     open_keys = placed.groupBy(*key).agg(F.count("*").alias("n"), F.max("stray").alias("any")).where("any AND n > 1").select(*key)
     rest = keep(placed.join(open_keys, key).select(*key, "node", "about", "c", "stray"), "open_members")
     if not rest.isEmpty():
-        near = keep(sketches(keep(rest.select("node").distinct(), "open_nodes")), "sketches")
-        rest = keep(left_by_size(rest, near, "node", _SKETCH_BYTES), "sketched_members")
-        s = rest.where("stray").select(*key, *[F.col(x).alias(f"s_{x}") for x in ("node", "about", "c", "sketch")])
-        more = s.join(rest, key).where("c <> s_c AND (NOT stray OR s_node < node)")
-        more = more.where(plausible(F.col("s_about"), F.col("about")) & close(F.col("s_sketch"), F.col("sketch")))
+        nodes = keep(rest.select("node").distinct(), "open_nodes")
+
+        def met(rest: DataFrame, *sketch: str) -> DataFrame:
+            s = rest.where("stray").select(*key, *[F.col(x).alias(f"s_{x}") for x in ("node", "about", "c", *sketch)])
+            pairs = s.join(rest, key).where("c <> s_c AND (NOT stray OR s_node < node)")
+            near = plausible(F.col("s_about"), F.col("about"))
+            return pairs.where(near & close(F.col("s_sketch"), F.col("sketch")) if sketch else near)
+
+        more = met(rest)
+        if not few or more.count() > few * nodes.count():
+            near = keep(sketches(nodes), "sketches")
+            rest = keep(left_by_size(rest, near, "node", _SKETCH_BYTES), "sketched_members")
+            more = met(rest, "sketch")
         left = left.union(more.select(*ordered("s_node", "node")))
     left = keep(left.distinct().join(tried, ["a", "b"], "left_anti"), "rest_pairs")
     forget(placed)

@@ -21,9 +21,9 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
+def keep(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """A written copy in the shared folder: lost executors cost nothing that came before it."""
-    return materialize(df, label)
+    return materialize(df, label, compression)
 
 
 def forget(df: DataFrame) -> None:

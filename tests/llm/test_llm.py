@@ -15,7 +15,8 @@ from comparison import connect, difference  # noqa: E402
 
 from commerce_lake.llm import ann, katz, packing, sharding, text, toxicity  # noqa: E402
 from commerce_lake.llm.decontamination import contamination, near_hits  # noqa: E402
-from commerce_lake.llm.line_dedup import dedup_lines  # noqa: E402
+from commerce_lake.llm.line_dedup import chosen_grams, dedup_lines, shared_grams  # noqa: E402
+from commerce_lake.llm.tables import keep  # noqa: E402
 from commerce_lake.llm.linking import components  # noqa: E402
 from commerce_lake.llm.ngram_join import linked_documents  # noqa: E402
 from commerce_lake.llm.queries import BYTE_BPE, QUERIES, SQL  # noqa: E402
@@ -410,6 +411,27 @@ def test_all_lines_within_a_tenth_of_edits_are_found(spark):
     assert gone == set(pairs) and min(collections.Counter(pairs.values()).values()) >= 20
 
 
+def test_lines_that_share_words_out_of_reach_are_not_compared(spark):
+    """A phrase that lines have at other places or in other company makes them no pair; one that is there twice may."""
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    phrase = ["internationalisation", "of", "commonplaces"]
+    other = ["telecommunications", "and", "others"]
+    own = words("aa", 40)
+    near = own[:20] + ["changed"] + own[21:]
+    lines = {
+        1: phrase + words("b", 37), 2: words("c", 37) + phrase, 3: words("d", 17) + other + words("e", 20),
+        4: own, 5: near, 6: phrase + words("f", 200), 7: words("g", 9), 8: words("g", 8),
+        9: phrase + words("h", 34) + phrase, 10: words("k", 2) + phrase + words("l", 35),
+        11: other + words("m", 37), 12: words("o", 37) + other,
+    }
+    rows = [(i, " ".join(w)) for i, w in lines.items()]
+    grams = keep(chosen_grams(spark.createDataFrame(rows, "line bigint, norm string")), "test_grams")
+    n = {r["node"]: r["n"] for r in grams.groupBy("node").agg(F.count("*").alias("n")).collect()}
+    assert set(n) == {1, 2, 3, 4, 5, 6, 7, 9, 10, 11, 12}
+    assert all(n[i] >= 3 * (len(lines[i]) // 9) + 1 for i in n) and sum(n.values()) < sum(map(len, lines.values())) / 2
+    assert {r["node"] for r in shared_grams(grams).collect()} == {1, 2, 4, 5, 9, 10}
+
+
 def test_copies_of_short_lines_and_of_unspaced_scripts_go(spark):
     rng = np.random.default_rng(12)
     han = "".join(chr(0x4E00 + int(k)) for k in rng.integers(0, 3000, 60))
