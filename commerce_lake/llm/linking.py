@@ -159,6 +159,7 @@ def linked_members(
             forget(placed)
             tried, edges = tried.union(now), with_links(joined, verify(now))
     forget(star)
+    drop_shuffles(placed.sparkSession)
     left = placed.where("stray AND ok").select(*ordered("hub", "node"))
     open_keys = placed.groupBy(*key).agg(F.count("*").alias("n"), F.max("stray").alias("any")).where("any AND n > 1").select(*key)
     rest = keep(placed.join(open_keys, key).select(*key, "node", "about", "c", "stray"), "open_members")
