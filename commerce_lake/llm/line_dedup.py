@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from commerce_lake.llm.decontamination import BETWEEN_WORDS, row_key
 from commerce_lake.llm.linking import linked_members, sketch_apart
-from commerce_lake.llm.tables import drop_shuffles, forget, keep, left_by_size, semi_by_size
+from commerce_lake.llm.tables import _small, drop_shuffles, forget, keep, left_by_size, semi_by_size
+from commerce_lake.operators.merge import union_all
 from commerce_lake.shared import INTERMEDIATE
 
 #: Shorter lines have exact copies only.
@@ -38,6 +39,8 @@ PAIRS = 4096
 SKETCH = 2048
 #: Words of 64 bits that the sketch is folded to.
 FOLDS = 4
+#: Places from which on a gram is common; lines that have it meet by others, as far as they have any.
+COMMON = 128
 #: Parts of the grams that are shuffled one after another, for less disk at a time.
 SLICES = 3
 
@@ -85,16 +88,25 @@ def chosen_grams(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     chooses from the higher rank on thus has a gram that the other has chosen too. There are as many
     words, as n >= GRAM * (d + 1). A line does not know the longer one's length, but that is at most
     10 / 9 of its own, so d is at most a ninth of that.
+
+    With a column `more` in `lines`, these are the grams that so many words further down in the order
+    begin with, without those chosen before; all grams where it is null.
     """
-    words = lines.select(F.col("line").alias("node"), F.split("norm", " ").alias("words")).withColumn("n", F.size("words"))
+    again = "more" in lines.columns
+    words = lines.select(F.col("line").alias("node"), F.split("norm", " ").alias("words"), *["more"] * again).withColumn("n", F.size("words"))
     ranks = F.sort_array(F.transform("words", lambda w: _rank(w)))
-    least = F.get(ranks, F.expr(f"cast(n - {GRAM} * (n div {LEAST_EDITED} + 1) as int)"))
+    at = F.expr(f"cast(n - {GRAM} * (n div {LEAST_EDITED} + 1) as int)")
+    first = F.coalesce(F.get(ranks, at), F.lit(0))
+    below = F.coalesce(F.get(ranks, at - F.col("more").cast("int")), F.lit(-(1 << 31))) if again else first
+    least = F.struct(below.alias("chosen"), *[F.when(F.col("more").isNotNull(), first).alias("before")] * again)
     # Conditions are where the optimizer does not have the words split and ranked for them once more,
     # and `least` is in what is exploded to be computed once a line, not once a word.
-    words = words.withColumn("least", F.coalesce(least, F.lit(0)))
+    words = words.withColumn("least", least)
     long_enough = F.when((F.col("n") >= max(min_words, LEAST_EDITED)) & F.col("least").isNotNull(), F.col("words"))
     placed = words.select("*", F.posexplode(long_enough).alias("i", "word"))
-    placed = placed.where((_rank(F.col("word")) >= F.col("least")) & (F.col("i") <= F.col("n") - GRAM))
+    placed = placed.where((_rank(F.col("word")) >= F.col("least.chosen")) & (F.col("i") <= F.col("n") - GRAM))
+    if again:
+        placed = placed.where(F.col("least.before").isNull() | (_rank(F.col("word")) < F.col("least.before")))
     gram = F.xxhash64("word", *[F.get("words", F.col("i") + k) for k in range(1, GRAM)])
     place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long"))
     return placed.select(gram.alias("gram"), "node", place.alias("place"))
@@ -114,29 +126,71 @@ def _in_reach(x: Column, y: Column) -> Column:
     return near | (longer > LONGEST_EDIT)
 
 
-def shared_grams(grams: DataFrame) -> DataFrame:
+def without_common(lines: DataFrame, grams: DataFrame, common: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(gram, node, place, common): what lines that chose `common` grams (gram) choose in place of these.
+
+    Lines would meet by a common phrase as many times as there are pairs of them. So common grams come
+    first in the order that grams are chosen in, before all others: a line that has chosen some must
+    choose as many others further down, for GRAM * d + 1 in all that are not common (see chosen_grams).
+    One that has not so many chooses all of them, and the common ones that it had, which come last of
+    these. What other lines have chosen is what they choose in this order as well. The order decides
+    how lines meet; all similar pairs are found in any.
+    """
+    lost = keep(semi_by_size(grams, common, "gram"), "common_chosen", INTERMEDIATE)
+    held = keep(lost.groupBy(F.col("node").alias("line")).agg(F.count("*").alias("lost")), "common_holders")
+    marked = common.withColumn("common", F.lit(True))
+
+    def choose(holders: DataFrame) -> DataFrame:
+        again = lines.join(F.broadcast(holders) if _small(holders, 32) else holders, "line")
+        chosen = left_by_size(chosen_grams(again, min_words), marked, "gram", 16)
+        return keep(chosen.where("common IS NULL").drop("common"), "chosen_again", INTERMEDIATE)
+
+    chosen = choose(held.select("line", (F.col("lost") + GRAM).alias("more")))
+    found = keep(chosen.groupBy(F.col("node").alias("line")).agg(F.count("*").alias("found")), "found_again")
+    lacking = left_by_size(held, found, "line", 32).where("found IS NULL OR found < lost")
+    lacking = keep(lacking.select("line", F.lit(None).cast("long").alias("more")), "common_lines")
+    back = semi_by_size(lost, lacking.select(F.col("line").alias("node")), "node")
+    chosen = chosen.union(choose(lacking)).withColumn("common", F.lit(False))
+    return chosen.union(back.withColumn("common", F.lit(True)))
+
+
+def shared_grams(grams: DataFrame, lines: DataFrame | None = None, min_words: int = MIN_WORDS) -> DataFrame:
     """(gram, node, about), once each, of the `grams` (a written table) that a line shares with another in reach.
 
-    Most grams are in one line, or in two out of reach, and go at once. They are looked through in
-    SLICES parts of their hash space, one after another, so that the shuffle of all is never on disk
-    as a whole.
+    Most grams are there once and go at once. Those that are there COMMON times or more are replaced
+    by others of the `lines` they were chosen from, if these are given (see without_common). Grams are
+    looked through in SLICES parts of their hash space, one after another, so that the shuffle of all
+    is never on disk as a whole.
     """
-    found = None
-    for k in range(SLICES):
-        part = grams.where(F.pmod("gram", F.lit(SLICES)) == k)
-        ends = [F.min("node").alias("node"), F.max("node").alias("other"), F.min("place").alias("place"), F.max("place").alias("last"), F.count("*").alias("n")]
-        shared = part.groupBy("gram").agg(*ends).where("node <> other")
-        one = lambda place: F.struct(F.col(place).alias("first"), F.col(place).alias("last"))
-        shared = keep(shared.where((F.col("n") > 2) | _in_reach(one("place"), one("last"))).select("gram"), "shared_grams")
-        part = semi_by_size(part, shared, "gram").groupBy("gram", "node").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    spark = grams.sparkSession
+    slices = [F.pmod("gram", F.lit(SLICES)) == k for k in range(SLICES)]
+    shared = []
+    for of_slice in slices:
+        counted = grams.where(of_slice).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+        shared.append(keep(counted, "shared_grams"))
+        drop_shuffles(spark)
+    common, more = keep(union_all(shared).where(F.col("n") >= COMMON).select("gram"), "common_grams"), None
+    if lines is not None and not common.isEmpty():
+        more = keep(without_common(lines, grams, common, min_words), "more_grams", INTERMEDIATE)
+        drop_shuffles(spark)
+    found = []
+    for of_slice, counted in zip(slices, shared, strict=True):
+        keys = counted.select("gram")
+        if more is not None:
+            new = more.where(of_slice)
+            rare = counted.where(F.col("n") < COMMON).select("gram")
+            keys = keep(rare.union(new.where("NOT common").select("gram")).distinct(), "gram_keys")
+        part = semi_by_size(grams.where(of_slice), keys, "gram")
+        if more is not None:
+            part = part.union(new.select(part.columns))
+        part = part.groupBy("gram", "node").agg(F.min("place").alias("first"), F.max("place").alias("last"))
         part = keep(part.select("gram", "node", F.struct("first", "last").alias("about")), "gram_lines")
         other = part.select(F.col("gram").alias("of"), F.col("node").alias("other"), F.col("about").alias("there"))
         met = (F.col("gram") == F.col("of")) & (F.col("node") != F.col("other")) & _in_reach(F.col("about"), F.col("there"))
-        members = keep(part.join(other, met, "left_semi"), "gram_members")
+        found.append(keep(part.join(other, met, "left_semi"), "gram_members"))
         forget(part)
-        found = members if found is None else found.union(members)
-        drop_shuffles(grams.sparkSession)
-    return found
+        drop_shuffles(spark)
+    return union_all(found)
 
 
 def _code(word: Column, seed: int = 0) -> Column:
@@ -187,7 +241,7 @@ def _edit_similar(a: Column, b: Column) -> Column:
     while top >= 16:  # levenshtein takes a constant limit, beyond which it gives -1, here made large
         edits = F.levenshtein(a, b, top // TENTH).cast("long").bitwiseAND(F.lit((1 << 31) - 1).cast("long"))
         apart = F.when(longer <= top, edits).otherwise(apart)
-        top //= 4
+        top = top // 4 if top > COUNT_FIRST else top * 3 // 4  # its time grows with the limit
     by_edits = apart * TENTH <= longer
     # Each edit takes away at most one kind of word; in long lines this is much cheaper than edits.
     x, y = F.split(a, ""), F.split(b, "")
@@ -210,7 +264,7 @@ def line_groups(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     once = once.where("first IS NULL OR row = first").select("line", "norm")
 
     grams = keep(chosen_grams(once, min_words), "chosen_grams", INTERMEDIATE)
-    members = shared_grams(grams)
+    members = shared_grams(grams, once, min_words)
     forget(grams)
     nodes = keep(members.select("node").distinct(), "line_nodes")
     texts = keep(semi_by_size(once.withColumnRenamed("line", "node"), nodes, "node"), "line_texts", INTERMEDIATE)
@@ -233,7 +287,7 @@ def line_groups(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         pairs = similar(pairs, first_codes, [0])
         left = keep(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "similar_nodes")
         coded = semi_by_size(texts, left, "node").select("node", *[_coded(F.col("norm"), k).alias(f"c{k}") for k in CONFIRM])
-        return similar(pairs, coded, CONFIRM)
+        return similar(pairs, keep(coded, "confirm_codes", INTERMEDIATE), CONFIRM)
 
     def sketches(nodes: DataFrame) -> DataFrame:
         return _sketched(semi_by_size(texts, nodes, "node"))

@@ -432,6 +432,25 @@ def test_lines_that_share_words_out_of_reach_are_not_compared(spark):
     assert {r["node"] for r in shared_grams(grams).collect()} == {1, 2, 4, 5, 9, 10}
 
 
+def test_lines_do_not_meet_by_a_common_phrase(spark):
+    """Lines with the same phrase at the same place meet by other grams; those that are similar still do, also where phrases are all they have."""
+    rng = np.random.default_rng(31)
+    word = lambda: "".join(chr(97 + int(k)) for k in rng.integers(0, 26, int(rng.integers(5, 9))))
+    phrase = ["internationalisation", "of", "institutionalised", "commonplaces", "everywhere"]
+    lines = {i: [word() for _ in range(12)] + phrase + [word() for _ in range(12)] for i in range(400)}
+    lines[400] = lines[7][:3] + ["changed"] + lines[7][4:20] + lines[7][21:]
+    lines |= {401 + i: phrase + ["mutual"] + phrase for i in range(2)}
+    lines[402] = phrase + ["common"] + phrase
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in lines.items()], "line bigint, norm string")
+    grams = keep(chosen_grams(rows), "test_grams")
+    assert shared_grams(grams).select("node").distinct().count() > 400
+    members = shared_grams(grams, rows).collect()
+    assert {r["node"] for r in members} == {7, 400, 401, 402}
+    assert len({r["gram"] for r in members if r["node"] == 7} & {r["gram"] for r in members if r["node"] == 400}) > 0
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in lines.items()], "doc_id bigint, text string")
+    assert {r["doc_id"] for r in dedup_lines(docs).where("n_dropped > 0").collect()} == {400, 402}
+
+
 def test_copies_of_short_lines_and_of_unspaced_scripts_go(spark):
     rng = np.random.default_rng(12)
     han = "".join(chr(0x4E00 + int(k)) for k in rng.integers(0, 3000, 60))
