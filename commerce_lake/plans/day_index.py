@@ -59,6 +59,8 @@ def _choose(branches: Mapping[str, Column], of: str) -> Column:
 
 
 def _entries(rows: DataFrame) -> DataFrame:
+    """What is kept of arrived records; not yet distinct."""
+
     def entry(relation: str, key: str, other: Column | None = None) -> Column:
         other = F.lit(None).cast("string") if other is None else other
         return F.struct(F.lit(relation).alias("relation"), F.col(key).alias("key"), other.alias("other"), "day")
@@ -72,7 +74,7 @@ def _entries(rows: DataFrame) -> DataFrame:
     }
     known = rows.where(F.col("stream_type").isin(*of_type))
     found = known.select(F.explode(_choose(of_type, "stream_type")).alias("e")).select("e.*")
-    return found.where(F.col("key").isNotNull()).distinct()
+    return found.where(F.col("key").isNotNull())
 
 
 @dataclass(frozen=True)
@@ -123,9 +125,10 @@ class DayIndex:
             wanted = wanted | ((F.col("relation") == relation) & F.col(BUCKET).isin(sorted(buckets)))
         return self.entries(asked.sparkSession).where(wanted).drop(BUCKET)
 
-    def lookup(self, asked: DataFrame) -> DataFrame:
-        """Entries of the (relation, key) asked for; only the buckets that these fall in are read."""
-        held = self._near(asked)
+    def lookup(self, asked: DataFrame, days: DataFrame | None = None) -> DataFrame:
+        """Entries of the (relation, key) asked for, with `days` those of these days; only the buckets that
+        these fall in are read."""
+        held = self._near(asked) if days is None else of_days(self._near(asked), days, "day")
         return held.join(asked.select("relation", "key"), ["relation", "key"], "left_semi").distinct()
 
     # --- growing
@@ -134,7 +137,7 @@ class DayIndex:
         """Add arrived records (a written table with the columns ARRIVAL), then their links."""
         spark, place = rows.sparkSession, new_folder(rows.sparkSession, "entries")
         try:
-            _entries(rows).write.parquet(place, compression=INTERMEDIATE)
+            _entries(rows).distinct().write.parquet(place, compression=INTERMEDIATE)
             entries = spark.read.schema(ENTRY).parquet(place)
             self._append(entries)
             self._link(entries)
@@ -202,17 +205,46 @@ class DayIndex:
         """Days (`day`, not null) whose facts may change by these records, or by these products.
 
         An item belongs to its order's day, whatever its own time. So these are all days that the
-        orders and events concerned ever had, also the orders an item was sent with before.
+        orders and events concerned ever had, also the orders an item was sent with before. The days
+        that orders and events came with are among them; ids are looked up for those alone that are
+        not, and only if the links between days allow for any.
         """
-        new = _entries(rows)
-        items = new.where("relation = 'order_items'")
-        before = self.lookup(items).select(F.lit("orders").alias("relation"), F.col("other").alias("key"))
-        named = new.where("relation IN ('orders', 'items_of_orders')").select(F.lit("orders").alias("relation"), "key")
-        asked = [before, named, new.where("relation = 'events'").select("relation", "key")]
+        spark, new = rows.sparkSession, _entries(rows)
+        came = materialize(new.select("relation", "day").distinct(), "came")
+        days = came.where("relation IN ('orders', 'events') AND day IS NOT NULL").select("day").distinct()
+        far = materialize(self._reached(came).join(days, "day", "left_anti").where("day IS NOT NULL"), "far")
+        found = [days]
+        if not far.isEmpty():
+            # Items that may have been sent with an order that has one of these days.
+            linked = self.links(spark, "of_order")
+            near = far.union(linked.join(far, "day", "left_semi").select("other")).distinct()
+            items = of_days(self._near(new.where("relation = 'order_items'")), near, "day")
+            items = items.join(new.where("relation = 'order_items'").select("key"), "key", "left_semi")
+            before = items.select(F.lit("orders").alias("relation"), F.col("other").alias("key"))
+            named = new.where("relation IN ('orders', 'items_of_orders')").select(F.lit("orders").alias("relation"), "key")
+            asked = [before, named, new.where("relation = 'events'").select("relation", "key")]
+            found.append(self.lookup(materialize(union_distinct(asked), "asked"), far).select("day"))
         if products is not None:
-            asked.append(products.select(F.lit("products").alias("relation"), F.col("product_id").alias("key")))
-        days = self.lookup(materialize(union_distinct(asked), "asked")).select("day")
-        return days.where("day IS NOT NULL").distinct()
+            asked = products.select(F.lit("products").alias("relation"), F.col("product_id").alias("key")).distinct()
+            found.append(self.lookup(materialize(asked, "asked")).select("day"))
+        return union_distinct(found).where("day IS NOT NULL")
+
+    def _reached(self, came: DataFrame) -> DataFrame:
+        """Days that orders and events of arrived entries (relation, day) can have by the links between days; null too.
+
+        Any other day of an order, item or event is linked with the one that came, and so is the day
+        of an item's order. No ids are looked up for that.
+        """
+        def with_linked(some: DataFrame, kind: str, by: str = "day", to: str = "other") -> DataFrame:
+            linked = self.links(came.sparkSession, kind).select(F.col(by).alias("_by"), F.col(to).alias("_to"))
+            met = linked.join(some.select("day").distinct(), F.col("_by").eqNullSafe(F.col("day")), "left_semi")
+            return some.select("day").union(met.select("_to"))
+
+        def of(relation: str) -> DataFrame:
+            return came.where(F.col("relation") == relation)
+
+        items = with_linked(with_linked(of("order_items").union(of("items_of_orders")), "order_items"), "of_order", "other", "day")
+        return union_distinct([with_linked(of("orders"), "orders"), with_linked(of("events"), "events"), items])
 
     def links(self, spark: SparkSession, kind: str) -> DataFrame:
         return read_or_empty(spark, self._linked, LINK).where(F.col("kind") == kind).select("day", "other")

@@ -294,6 +294,27 @@ def test_links_join_days_of_one_id(spark, tmp_path):
     assert values(index.affected_days(again)) == [(DAYS[0],), (DAYS[1],)]  # of the order it had before
 
 
+def test_ids_are_looked_up_for_days_in_doubt_only(spark, tmp_path, monkeypatch):
+    """Days that orders and events came with are affected; others only where a link leads there."""
+    asked, lookup = [], DayIndex.lookup
+    monkeypatch.setattr(DayIndex, "lookup", lambda self, *of: asked.append(of) or lookup(self, *of))
+    index = DayIndex(str(tmp_path / "index"), 4)
+
+    def add(*records):
+        rows = arrivals(flat(spark, *records)).cache()
+        index.add(rows)
+        return values(index.affected_days(rows))
+
+    first = order("o1", TIMES[0]), order("o2", TIMES[1]), item("i1", "o1", TIMES[0]), item("i2", "o2", TIMES[0]), event("e1", TIMES[2])
+    assert add(*first) == [(DAYS[0],), (DAYS[1],), (DAYS[2],)] and not asked
+    assert add(event("e2", "junk")) == [] and not asked
+    assert add(order("o3", TIMES[0]), item("i3", "o3", TIMES[0])) == [(DAYS[0],)]  # the link of o2 puts day 1 in doubt
+    assert len(asked) == 1
+    assert add(item("i2", "o9", TIMES[5])) == [(DAYS[1],)]  # no order o9; o2 had the item before
+    assert add(order("o3", TIMES[6])) == [(DAYS[0],), (DAYS[6],)]
+    assert add(event("e1", "junk")) == [(DAYS[2],)]
+
+
 def test_arrivals_are_shuffled_once(spark, tmp_path, monkeypatch):
     seen, link = [], DayIndex._link
 
