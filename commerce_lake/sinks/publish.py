@@ -59,8 +59,8 @@ def publish_dimension(
 
 def new_rows(df: DataFrame, key: str, existing: DataFrame | None) -> DataFrame:
     """One row per key that `existing` does not have; rows without a key are left out."""
-    unique = dedup_by_key(df, [key])
-    return unique if existing is None else unique.join(existing, key, "left_anti")
+    # Rows that are there already go first, so that no more are sorted than are new.
+    return dedup_by_key(df if existing is None else df.join(existing, key, "left_anti"), [key])
 
 
 def _checked(df: DataFrame, table: str, key: str) -> DataFrame:
