@@ -129,7 +129,7 @@ class DayIndex:
         """Entries of the (relation, key) asked for, with `days` those of these days; only the buckets that
         these fall in are read."""
         held = self._near(asked) if days is None else of_days(self._near(asked), days, "day")
-        return held.join(asked.select("relation", "key"), ["relation", "key"], "left_semi").distinct()
+        return held.join(asked.select("relation", "key"), ["key", "relation"], "left_semi").distinct()
 
     # --- growing
 
@@ -159,7 +159,7 @@ class DayIndex:
         asked = asked.select("key", "day", "a.kind", F.col("a._asked").alias("relation"), "a.first")
         # Each side is shuffled once; what repeats goes with the pairs, of which there are few.
         held = self._near(asked).select("relation", "key", F.col("day").alias("_day"))
-        met = asked.join(held, ["relation", "key"]).where(~F.col("day").eqNullSafe(F.col("_day")))
+        met = asked.join(held, ["key", "relation"]).where(~F.col("day").eqNullSafe(F.col("_day")))
         one = F.struct(F.when(F.col("first"), F.col("day")).otherwise(F.col("_day")).alias("day"),
                        F.when(F.col("first"), F.col("_day")).otherwise(F.col("day")).alias("other"))
         back = F.struct(F.col("_day").alias("day"), F.col("day").alias("other"))
